@@ -10,9 +10,9 @@ group first and, beyond a row bound, switches to a distributed selection:
 2. exact counts of distinct (group, value) pairs are aggregated (hot values
    collapse map-side);
 3. the count of values below ``lo`` is summed per (group, p) -- a plain
-   aggregate -- and only the few values inside ``[lo, hi]`` are ranked with a
-   window, so no task ever sees more than ~``2 * margin / accuracy`` of a
-   group;
+   aggregate -- and only the few values inside ``[lo, hi]`` (plus the nearest
+   distinct value on either side) are ranked with a window, so no task sees
+   more than ~``2 * margin / accuracy`` of a group;
 4. the two order statistics around ``p * (n - 1)`` are interpolated exactly
    as ``percentile_cont`` does.
 
@@ -73,14 +73,27 @@ def _distributed(vals: DataFrame, group_cols: list[str], probs: dict[str, float]
 
     counts = vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
     # Join on the group keys only; AQE splits a skewed group across tasks.
-    jb = counts.join(brackets, group_cols)
+    jb = counts.join(brackets.select(*group_cols, "_pi", "_lo", "_hi"), group_cols)
     keys = group_cols + ["_pi"]
-    below = jb.filter(F.col("_v") < F.col("_lo")).groupBy(*keys).agg(F.sum("_c").alias("_below"))
-    cand = jb.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    v, c = F.col("_v"), F.col("_c")
+    # Outside the bracket only a count and the nearest distinct value on each
+    # side survive (plain aggregates); the neighbours absorb the rounding of
+    # a quantile to a rank when the group is small.
+    below = jb.filter(v < F.col("_lo")).groupBy(*keys).agg(
+        F.sum(c).alias("_below"), F.max_by(F.struct(v, c), v).alias("_prev"))
+    above = jb.filter(v > F.col("_hi")).groupBy(*keys).agg(
+        F.min_by(F.struct(v, c), v).alias("_next"))
+    inside = jb.filter((v >= F.col("_lo")) & (v <= F.col("_hi"))).select(*keys, "_v", "_c")
+    cand = (inside
+            .unionByName(below.select(*keys, "_prev._v", "_prev._c"))
+            .unionByName(above.select(*keys, "_next._v", "_next._c")))
+    base = below.select(*keys, (F.col("_below") - F.col("_prev._c")).alias("_base"))
     w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     cand = cand.select("*", F.sum("_c").over(w).alias("_cum"))
-    cand = cand.join(below, keys, "left").select(
-        "*", (F.coalesce(F.col("_below"), F.lit(0)) + F.col("_cum") - F.col("_c")).alias("_start"))
+    cand = (cand.join(base, keys, "left")
+            .join(brackets.select(*keys, "_h", "_rlo", "_rhi"), keys)
+            .select("*", (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_cum") - F.col("_c"))
+                    .alias("_start")))
     end = F.col("_start") + F.col("_c") - 1
 
     def holds(rank):
