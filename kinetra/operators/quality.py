@@ -218,9 +218,9 @@ def freshness(tables: dict[str, DataFrame], as_of: dt.datetime) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    age_s = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.lit(as_of).cast(
+    age_us = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), F.lit(as_of).cast(
         dict(out.dtypes)["max_loaded_at"]))
-    age_h = age_s / F.lit(3600.0)
+    age_h = age_us / F.lit(3600.0 * 1e6)
     status = (F.when(F.col("max_loaded_at").isNull(), "error")
               .when(age_h > ERROR_AFTER_HOURS, "error")
               .when(age_h > WARN_AFTER_HOURS, "warn").otherwise("pass"))
