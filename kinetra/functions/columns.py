@@ -48,7 +48,7 @@ def speed_bucket(speed) -> Column:
 
 def strip_ws(c) -> Column:
     """Strip all leading/trailing whitespace (Unicode aware, like str.strip)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
 
 
 # Number syntax accepted by the strict parser -- the decimal

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.functions.columns import strict_double, strict_int, strip_ws
+from kinetra.functions.columns import FLOAT_PATTERN, strict_double, strict_int, strip_ws
 from kinetra.schemas import POINT_MEASURES
 
 FIXED_FIELDS = 4
@@ -82,9 +82,12 @@ def _with_lineage(df: DataFrame) -> DataFrame:
 
 
 def tokenize(lines: DataFrame) -> DataFrame:
-    """Add ``fields`` (array<string>): strip, drop trailing ';', split, strip."""
+    """Add ``fields`` (array<string>): strip the line, drop trailing ';',
+    split, strip every field.  Splitting on whitespace-padded delimiters
+    strips the inner fields in the same regex pass (no per-field lambda)."""
     body = F.regexp_replace(strip_ws("line"), f"{DELIMITER}+$", "")
-    fields = F.transform(F.split(body, DELIMITER, -1), lambda x: strip_ws(x))
+    body = F.regexp_replace(body, r"(?U)\s+$", "")
+    fields = F.split(body, rf"(?U)\s*{DELIMITER}\s*", -1)
     return lines.withColumn("fields", fields)
 
 
@@ -92,8 +95,16 @@ def _parse_columns() -> dict[str, Column]:
     f = F.col("fields")
     n = F.size(f)
     n_frames = F.when(n > FIXED_FIELDS, F.floor((n - FIXED_FIELDS) / BLOCK_FIELDS)).otherwise(0)
-    nums = F.transform(F.slice(f, FIXED_FIELDS + 1, F.greatest(n - FIXED_FIELDS, F.lit(0))),
-                       lambda x: strict_double(x))
+    tail = F.slice(f, FIXED_FIELDS + 1, F.greatest(n - FIXED_FIELDS, F.lit(0)))
+    # Block numbers are cast as one array (codegen'd).  The cast accepts a
+    # few Java-only forms (1.0d, 1.5f, 0x1p3) and misses two Python ones
+    # (1_000, -nan); all of them need one of a handful of characters, so
+    # only lines whose numbers hold such a character take the slow path: a
+    # strict regex per field and normalisation before the cast.
+    suspicious = F.array_join(tail, ";").rlike(r"[xXpPdD_]|[fF](;|$)|[+-][nN]")
+    normal = F.transform(tail, lambda x: F.regexp_replace(
+        F.regexp_replace(x, "(?<=[0-9])_(?=[0-9])", ""), "^[+-]([nN][aA][nN])$", "$1"))
+    strict_ok = ~F.exists(tail, lambda x: ~x.rlike(FLOAT_PATTERN))
     return {
         "n_fields": n,
         "n_frames": n_frames.cast("int"),
@@ -102,7 +113,8 @@ def _parse_columns() -> dict[str, Column]:
         "vehicle_type": F.get(f, 1),
         "traveled_d": strict_double(F.get(f, 2)),
         "avg_speed": strict_double(F.get(f, 3)),
-        "nums": nums,
+        "nums_syntax_ok": F.when(suspicious, strict_ok).otherwise(F.lit(True)),
+        "nums": F.when(suspicious, normal).otherwise(tail).try_cast("array<double>"),
     }
 
 
@@ -110,8 +122,8 @@ def _reject_reason() -> Column:
     n = F.col("n_fields")
     header_bad = (F.col("track_id").isNull() | F.col("traveled_d").isNull()
                   | F.col("avg_speed").isNull())
-    nums_bad = F.exists(F.col("nums"), lambda x: x.isNull())
-    return (F.when(F.col("line").contains("�"), REJECT_ENCODING)
+    nums_bad = ~F.col("nums_syntax_ok") | F.exists(F.col("nums"), lambda x: x.isNull())
+    return (F.when(F.col("line").contains("\ufffd"), REJECT_ENCODING)
             .when(n < FIXED_FIELDS, REJECT_TOO_FEW)
             .when((n - FIXED_FIELDS) % BLOCK_FIELDS != 0, REJECT_REMAINDER)
             .when(header_bad | nums_bad, REJECT_NUMBER))
@@ -122,40 +134,48 @@ def parse(lines: DataFrame) -> DataFrame:
     (NULL when the line is good), header fields and the numeric block array."""
     tok = tokenize(lines)
     cols = _parse_columns()
-    # _row_in_split (with _block_start) orders lines as in the file.  Being
-    # nondeterministic it also stops Catalyst from pushing the reject filters
-    # below this projection, which would re-tokenise the line once per use.
+    # _row_in_split (with _block_start) orders lines as in the file.
     parsed = tok.select("*", *[c.alias(k) for k, c in cols.items()],
                         F.monotonically_increasing_id().alias("_row_in_split"))
     return parsed.withColumn("reject_reason", _reject_reason())
 
 
+# headers / frames / rejects select rows with a conditional ``inline`` (an
+# empty array for the other lines) rather than a Filter: Catalyst would push
+# a Filter on parsed columns below the parse projection by substituting the
+# parse expressions, re-tokenising every line once per reference.
+
+def _select_rows(parsed: DataFrame, cond: Column, cols: list) -> DataFrame:
+    row = F.struct(*cols)
+    return parsed.select(F.inline(F.filter(F.array(row), lambda _: cond)))
+
+
 def headers(parsed: DataFrame) -> DataFrame:
     """Track headers of good lines (one row per line, file order kept)."""
-    return parsed.filter(F.col("reject_reason").isNull()).select(
+    return _select_rows(parsed, F.col("reject_reason").isNull(), [
         "source_file", "track_id", "vehicle_type", "traveled_d", "avg_speed",
-        "_block_start", "_row_in_split")
+        "_block_start", "_row_in_split"])
 
 
 def frames(parsed: DataFrame) -> DataFrame:
     """One row per frame of every good line; frame_idx is zero-based."""
-    good = parsed.filter(F.col("reject_reason").isNull() & (F.col("n_frames") > 0))
     nums = F.col("nums")
 
     def frame(i):
         base = i * BLOCK_FIELDS
-        return F.struct(i.alias("frame_idx"),
+        return F.struct(F.col("source_file"), F.col("track_id"), F.col("_block_start"),
+                        F.col("_row_in_split"), i.alias("frame_idx"),
                         *[nums[base + j].alias(c) for j, c in enumerate(POINT_MEASURES)])
 
-    arr = F.transform(F.sequence(F.lit(0), F.col("n_frames") - 1), frame)
-    return good.select("source_file", "track_id", "_block_start", "_row_in_split",
-                       F.inline(arr))
+    good = F.col("reject_reason").isNull() & (F.col("n_frames") > 0)
+    arr = F.when(good, F.transform(F.sequence(F.lit(0), F.col("n_frames") - 1), frame))
+    return parsed.select(F.inline(arr))
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("reject_reason").isNotNull()).select(
+    return _select_rows(parsed, F.col("reject_reason").isNotNull(), [
         "source_file", "line", F.get("fields", 0).alias("first_field"), "n_fields",
-        "reject_reason", "_block_start", "_row_in_split")
+        "reject_reason", "_block_start", "_row_in_split"])
 
 
 @dataclass
