@@ -17,6 +17,18 @@ from pyspark.sql import functions as F
 # Frames per chunk.  Tracks in the source data have up to ~20,000 frames, so
 # a typical track is one to five chunks.
 DEFAULT_CHUNK = 4096
+# Largest group a single window task may take whole; beyond it the chunked
+# plan is used (see choose_chunk_size).
+PLAIN_WINDOW_MAX_ROWS = 5_000_000
+
+
+def choose_chunk_size(largest_group_rows: int | None,
+                      max_rows: int = PLAIN_WINDOW_MAX_ROWS) -> int | None:
+    """Plain window (None) when the largest group is known to fit one task,
+    else the chunked plan."""
+    if largest_group_rows is not None and largest_group_rows <= max_rows:
+        return None
+    return DEFAULT_CHUNK
 
 
 def with_predecessor(df: DataFrame, group_cols: list[str], order_col: str,
@@ -42,7 +54,8 @@ def with_predecessor(df: DataFrame, group_cols: list[str], order_col: str,
         *[F.lag(c).over(w).alias(prefix + c) for c in value_cols],
     )
     # Last row of every chunk, then the last row of the previous non-empty
-    # chunk of the same group: one row per chunk.
+    # chunk of the same group: one row per chunk.  (This branch re-reads the
+    # input with only the key and value columns.)
     last = lagged.filter(F.col("_seq_next_ord").isNull()).select(
         *keys, F.struct(*value_cols).alias("_seq_last"))
     carry = last.select(

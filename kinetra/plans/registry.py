@@ -227,13 +227,13 @@ def _old_fact_table(spark, sf_dir, drop: list[str] = (), extra: dict | None = No
 def q_incremental_new_rows(spark, sf_dir):
     path, w = _old_fact_table(spark, sf_dir)
     mark = incremental.high_water_mark(spark.read.parquet(path))
-    return fact_view(incremental.new_fact_rows(w.stg_points, mark))
+    return fact_view(incremental.new_fact_rows(w.stg_points, mark, w.resolved_chunk_size))
 
 
 def q_fact_merge(spark, sf_dir):
     path, w = _old_fact_table(spark, sf_dir)
     mark = incremental.high_water_mark(spark.read.parquet(path))
-    incremental.merge_into(spark, path, incremental.new_fact_rows(w.stg_points, mark))
+    incremental.merge_into(spark, path, incremental.new_fact_rows(w.stg_points, mark, w.resolved_chunk_size))
     return fact_view(spark.read.parquet(path))
 
 
@@ -242,7 +242,7 @@ def q_fact_schema_sync(spark, sf_dir):
     path, w = _old_fact_table(spark, sf_dir, drop=["speed_bucket"],
                               extra={"legacy_flag": F.lit(True)})
     mark = incremental.high_water_mark(spark.read.parquet(path))
-    incremental.merge_into(spark, path, incremental.new_fact_rows(w.stg_points, mark))
+    incremental.merge_into(spark, path, incremental.new_fact_rows(w.stg_points, mark, w.resolved_chunk_size))
     return fact_view(spark.read.parquet(path))
 
 

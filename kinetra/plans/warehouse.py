@@ -12,9 +12,10 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinetra.operators import marts, staging, trajectory
-from kinetra.operators.sequence import DEFAULT_CHUNK
+from kinetra.operators.sequence import choose_chunk_size
 from kinetra.sources import testdata
 
 
@@ -22,7 +23,7 @@ from kinetra.sources import testdata
 class Warehouse:
     raw_tracks: DataFrame
     raw_points: DataFrame
-    chunk_size: int | None = DEFAULT_CHUNK
+    chunk_size: int | None | str = "auto"
     percentile_strategy: str = "auto"
     _tables: dict = field(default_factory=dict)
 
@@ -42,7 +43,17 @@ class Warehouse:
     # intermediate
     @cached_property
     def points_with_deltas(self) -> DataFrame:
-        return trajectory.points_with_deltas(self.stg_points, chunk_size=self.chunk_size)
+        return trajectory.points_with_deltas(self.stg_points, chunk_size=self.resolved_chunk_size)
+
+    @cached_property
+    def resolved_chunk_size(self) -> int | None:
+        """``auto``: size check on the per-track frame counts (the kinematics
+        table, which the marts need anyway) -- one task takes a whole track
+        only when the largest track is provably small."""
+        if self.chunk_size != "auto":
+            return self.chunk_size
+        largest = self.track_kinematics.agg(F.max("point_count")).first()[0]
+        return choose_chunk_size(largest)
 
     @cached_property
     def track_kinematics(self) -> DataFrame:
