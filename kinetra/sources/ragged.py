@@ -173,8 +173,9 @@ def frames(parsed: DataFrame) -> DataFrame:
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
+    first = F.col("first_field") if "first_field" in parsed.columns else F.get("fields", 0)
     return _select_rows(parsed, F.col("reject_reason").isNotNull(), [
-        "source_file", "line", F.get("fields", 0).alias("first_field"), "n_fields",
+        "source_file", "line", first.alias("first_field"), "n_fields",
         "reject_reason", "_block_start", "_row_in_split"])
 
 
@@ -194,6 +195,16 @@ class RaggedBatch:
     def rejects(self) -> DataFrame:
         return rejects(self.parsed)
 
+    def slim(self) -> "RaggedBatch":
+        """Only what tracks / frames / rejects need (line text kept for
+        rejected lines only): the form worth persisting."""
+        p = self.parsed
+        return RaggedBatch(p.select(
+            "source_file", "_block_start", "_row_in_split", "n_fields", "n_frames", "track_id",
+            "vehicle_type", "traveled_d", "avg_speed", "nums", "reject_reason",
+            F.when(F.col("reject_reason").isNotNull(), F.col("line")).alias("line"),
+            F.when(F.col("reject_reason").isNotNull(), F.get("fields", 0)).alias("first_field")))
+
     def drop_failed_files(self) -> "RaggedBatch":
         """Per-file all-or-nothing: a file with any bad line contributes no
         rows (one transaction per file).  The set of bad files is joined with
