@@ -152,10 +152,14 @@ def evaluate(models: dict[str, DataFrame], checks: list[Check] = CHECKS,
             f = (df.filter(~col.isin(list(c.values))).select(col).distinct()
                  .agg(F.count(F.lit(1)).alias("failures")))
         elif c.test == "relationships":
+            # Child keys are counted first (partial aggregation: a hot key
+            # collapses map-side), then anti-joined with the parent keys; the
+            # failures are the child rows behind the orphan keys.
             parent = models[c.parent].select(F.col(c.parent_column).alias("_pk")).distinct()
-            f = (df.select(col.alias("_fk")).filter(F.col("_fk").isNotNull())
-                 .join(parent, F.col("_fk") == F.col("_pk"), "left_anti")
-                 .agg(F.count(F.lit(1)).alias("failures")))
+            child = (df.select(col.alias("_fk")).filter(F.col("_fk").isNotNull())
+                     .groupBy("_fk").agg(F.count(F.lit(1)).alias("_n")))
+            f = (child.join(parent, F.col("_fk") == F.col("_pk"), "left_anti")
+                 .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures")))
         else:
             continue
         parts.append(_one(c.model, c, f))

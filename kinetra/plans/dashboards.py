@@ -52,8 +52,8 @@ def speed_histogram(fct: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins between min and max speed; the max lands in the last
     bin.  min/max are scalar subqueries (no join)."""
     s = fct.select("speed_kmh").filter(F.col("speed_kmh").isNotNull())
-    lo = s.agg(F.min("speed_kmh")).scalar()
-    hi = s.agg(F.max("speed_kmh")).scalar()
+    bounds = s.agg(F.struct(F.min("speed_kmh").alias("lo"), F.max("speed_kmh").alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("speed_kmh") - lo) / width), F.lit(bins - 1))).cast("int")

@@ -280,7 +280,8 @@ def _dq(tests: set[str] | None):
 
 
 def q_dq_max_speed(spark, sf_dir):
-    return quality.assert_max_speed(built_ragged_wh(spark, sf_dir).dim_track)
+    # Over the events warehouse: its speeds reach ~490 km/h, so rows return.
+    return quality.assert_max_speed(events_wh(spark, sf_dir).dim_track)
 
 
 def q_dq_negative_distance(spark, sf_dir):
