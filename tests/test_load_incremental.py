@@ -137,3 +137,27 @@ def test_stream_ingest_new_files_once(spark, tmp_dir):
     t = load.read_raw(spark, root, "tracks")
     assert t.count() == 4
     assert spark.read.parquet(os.path.join(root, "fct_trajectory_points")).count() == 7
+
+
+def test_transform_run_history_and_gate(spark, tmp_dir):
+    from kinetra.plans.warehouse import run_transform
+    root = os.path.join(tmp_dir, "raw")
+    out = os.path.join(tmp_dir, "wh")
+    load.load_batch(sample(spark), root, loaded_at=dt.datetime(2024, 1, 1, 12))
+    now = dt.datetime(2024, 1, 2)
+    w, res = run_transform(spark, root, out, "run-1", as_of=now)
+    assert res.count() == 71 and res.filter("status = 'fail'").count() == 0
+    assert spark.read.parquet(os.path.join(out, "fct_trajectory_points")).count() == 6
+    # same raw data again: fact unchanged, history grows by one run
+    run_transform(spark, root, out, "run-2", as_of=now)
+    assert spark.read.parquet(os.path.join(out, "fct_trajectory_points")).count() == 6
+    assert spark.read.parquet(os.path.join(out, "_check_history")).select("run_id").distinct().count() == 2
+    # stale sources stop the run
+    with pytest.raises(RuntimeError):
+        run_transform(spark, root, out, "run-3", as_of=dt.datetime(2024, 2, 1))
+    # a failing error-level check raises after the writes
+    src = os.path.join(tmp_dir, "src")
+    write_text(src, "z.csv", HEADER + "9; Boat; 1.0; 1.0; 37.95; 23.75; 5; 0; 0; 0;\n")
+    load.load_batch(ragged.read_ragged(spark, src, "z.csv"), root, loaded_at=dt.datetime(2024, 1, 1, 13))
+    with pytest.raises(AssertionError):
+        run_transform(spark, root, out, "run-4", as_of=now)
