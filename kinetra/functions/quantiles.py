@@ -30,17 +30,36 @@ DEFAULT_ACCURACY = 100_000
 SINGLE_BUFFER_MAX_ROWS = 2_000_000
 
 
+def choose_strategy(largest_group_rows: int | None,
+                    max_single_buffer_rows: int = SINGLE_BUFFER_MAX_ROWS) -> str:
+    if largest_group_rows is not None and largest_group_rows <= max_single_buffer_rows:
+        return "single"
+    return "distributed"
+
+
+def single_buffer_columns(value_col: str, probs: dict[str, float]) -> list:
+    """Aggregate expressions for the single-buffer path, to be used inside a
+    caller's own ``agg`` (one pass together with other statistics)."""
+    pct = F.percentile(F.col(value_col), F.array(*[F.lit(float(p)) for p in probs.values()]))
+    return [pct.alias("_pct")]
+
+
 def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
                       probs: dict[str, float], strategy: str = "auto",
                       accuracy: int = DEFAULT_ACCURACY,
-                      max_single_buffer_rows: int = SINGLE_BUFFER_MAX_ROWS) -> DataFrame:
+                      max_single_buffer_rows: int = SINGLE_BUFFER_MAX_ROWS,
+                      largest_group_rows: int | None = None) -> DataFrame:
     """One row per group with non-NULL values: ``group_cols`` + one column per
-    entry of ``probs`` (name -> p in [0, 1])."""
+    entry of ``probs`` (name -> p in [0, 1]).
+
+    ``largest_group_rows``: a known upper bound on the rows of any group
+    (e.g. from a per-track count table); without it ``auto`` measures it."""
     vals = df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
     if strategy == "auto":
-        largest = (vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
-                   .agg(F.max("n")).first()[0]) or 0
-        strategy = "single" if largest <= max_single_buffer_rows else "distributed"
+        if largest_group_rows is None:
+            largest_group_rows = (vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
+                                  .agg(F.max("n")).first()[0]) or 0
+        strategy = choose_strategy(largest_group_rows, max_single_buffer_rows)
     if strategy == "single":
         names = list(probs)
         pct = F.percentile(F.col("_v"), F.array(*[F.lit(float(probs[k])) for k in names]))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinetra.functions.columns import surrogate_key
-from kinetra.functions.quantiles import exact_percentiles
+from kinetra.functions.quantiles import choose_strategy, exact_percentiles, single_buffer_columns
 
 # Dimension tables broadcast only below this many rows (checked by count).
 BROADCAST_MAX_ROWS = 100_000
@@ -65,24 +65,40 @@ def points_by_type(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,
     return fct.select("track_sk", *cols).join(trk, "track_sk").join(types, "vehicle_type_sk")
 
 
+def largest_type_rows(dim_trk: DataFrame) -> int:
+    """Upper bound on the points of any vehicle type, from the track
+    dimension (one row per track, not per point)."""
+    n = (dim_trk.filter(F.col("vehicle_type_sk").isNotNull())
+         .groupBy("vehicle_type_sk").agg(F.sum("point_count").alias("n"))
+         .agg(F.max("n")).first()[0])
+    return int(n or 0)
+
+
 def agg_speed_by_vehicle_type(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,
                               percentile_strategy: str = "auto") -> DataFrame:
     j = points_by_type(fct, dim_trk, vehicle_types, ["speed_kmh"])
     keys = ["vehicle_type_sk", "vehicle_type_name"]
     s = F.col("speed_kmh")
-    basic = j.groupBy(*keys).agg(
+    probs = {"median_speed_kmh": 0.5, "p95_speed_kmh": 0.95}
+    basic = [
         F.count(F.lit(1)).alias("observation_count"),
         F.avg(s).alias("avg_speed_kmh"),
         F.min(s).alias("min_speed_kmh"),
         F.max(s).alias("max_speed_kmh"),
         F.stddev_samp(s).alias("stddev_speed_kmh"),
-    )
-    pct = exact_percentiles(j, keys, "speed_kmh",
-                            {"median_speed_kmh": 0.5, "p95_speed_kmh": 0.95},
-                            strategy=percentile_strategy)
-    return basic.join(pct, keys, "left").select(
-        *keys, "observation_count", "avg_speed_kmh", "min_speed_kmh", "max_speed_kmh",
-        "stddev_speed_kmh", "median_speed_kmh", "p95_speed_kmh")
+    ]
+    out_cols = [*keys, "observation_count", "avg_speed_kmh", "min_speed_kmh", "max_speed_kmh",
+                "stddev_speed_kmh", "median_speed_kmh", "p95_speed_kmh"]
+    strategy = percentile_strategy
+    if strategy == "auto":
+        strategy = choose_strategy(largest_type_rows(dim_trk))
+    if strategy == "single":
+        # Small groups: every statistic in one aggregation pass.
+        one = j.groupBy(*keys).agg(*basic, *single_buffer_columns("speed_kmh", probs))
+        return one.select(*keys, *[c for c in out_cols if c not in keys and c not in probs],
+                          *[F.col("_pct")[i].alias(k) for i, k in enumerate(probs)]).select(*out_cols)
+    pct = exact_percentiles(j, keys, "speed_kmh", probs, strategy=strategy)
+    return j.groupBy(*keys).agg(*basic).join(pct, keys, "left").select(*out_cols)
 
 
 def agg_speed_approx(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinetra.functions.quantiles import exact_percentiles
-from kinetra.operators.marts import broadcast_if_small, points_by_type
+from kinetra.operators.marts import broadcast_if_small, largest_type_rows, points_by_type
 
 HISTOGRAM_BINS = 30
 TOP_N = 10
@@ -33,7 +33,8 @@ def speed_box_by_type(fct: DataFrame, dim_track: DataFrame, vehicle_types: DataF
     j = points_by_type(fct, dim_track, vehicle_types, ["speed_kmh"]).filter(
         F.col("speed_kmh").isNotNull())
     q = exact_percentiles(j, ["vehicle_type_name"], "speed_kmh",
-                          {"q1": 0.25, "median": 0.5, "q3": 0.75}, strategy=percentile_strategy)
+                          {"q1": 0.25, "median": 0.5, "q3": 0.75}, strategy=percentile_strategy,
+                          largest_group_rows=largest_type_rows(dim_track))
     q = q.select("*", (F.col("q3") - F.col("q1")).alias("iqr"))
     lo = F.col("q1") - 1.5 * F.col("iqr")
     hi = F.col("q3") + 1.5 * F.col("iqr")
