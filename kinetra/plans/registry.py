@@ -21,7 +21,7 @@ from kinetra.operators.load import first_wins
 from kinetra.plans import dashboards
 from kinetra.plans.warehouse import Warehouse
 from kinetra.schemas import POINT_KEY, TRACK_KEY
-from kinetra.session import scratch_path
+from kinetra.session import for_partitioned_write, scratch_path
 from kinetra.sources import ragged, testdata
 from kinetra.streaming import ingest
 
@@ -220,7 +220,7 @@ def _old_fact_table(spark, sf_dir, drop: list[str] = (), extra: dict | None = No
         fct = fct.withColumn(c, v)
     fct = fct.drop(*drop)
     path = scratch_path(spark, "fact") + "/fct_trajectory_points"
-    fct.write.partitionBy("source_file").parquet(path)
+    for_partitioned_write(fct).write.partitionBy("source_file").parquet(path)
     return path, w
 
 

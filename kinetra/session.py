@@ -14,6 +14,8 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     # Parquet scan splits of 128 MB keep one task's input well inside
     # executor memory; the ragged text reader uses the same split size.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
@@ -60,6 +62,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return str(d)
 
 
+def for_partitioned_write(df, partition_col: str = "source_file"):
+    """Rebalance rows by the table's partition column before a partitioned
+    write: AQE then coalesces small partitions and splits a hot file's rows
+    into several tasks, so each partition folder gets a few files of the
+    advisory size instead of one file per upstream task."""
+    return df.hint("rebalance", partition_col)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
