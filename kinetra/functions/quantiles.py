@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinetra.session import materialize
+
 DEFAULT_ACCURACY = 100_000
 # Largest group (rows) for which the single-buffer exact aggregate is used.
 SINGLE_BUFFER_MAX_ROWS = 2_000_000
@@ -91,6 +93,11 @@ def _distributed(vals: DataFrame, group_cols: list[str], probs: dict[str, float]
         "*", F.floor("_h").cast("long").alias("_rlo"), F.ceil("_h").cast("long").alias("_rhi"))
 
     counts = vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # Both tables are read several times below: write them once to the
+    # shared checkpoint folder (lineage cut) instead of re-running the input
+    # plan per reference.  The input is read twice in total (sketch + counts).
+    brackets = materialize(brackets, "pct-brackets")
+    counts = materialize(counts, "pct-counts")
     # Join on the group keys only; AQE splits a skewed group across tasks.
     jb = counts.join(brackets.select(*group_cols, "_pi", "_lo", "_hi"), group_cols)
     keys = group_cols + ["_pi"]

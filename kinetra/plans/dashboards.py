@@ -51,10 +51,15 @@ def speed_box_by_type(fct: DataFrame, dim_track: DataFrame, vehicle_types: DataF
 
 def speed_histogram(fct: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins between min and max speed; the max lands in the last
-    bin.  min/max are scalar subqueries (no join)."""
+    bin.  The bounds come from one small aggregate (two numbers to the
+    driver) and enter the binning pass as literals: two passes over the fact,
+    no join.  (A scalar subquery here was planned once per reference.)"""
     s = fct.select("speed_kmh").filter(F.col("speed_kmh").isNotNull())
-    bounds = s.agg(F.struct(F.min("speed_kmh").alias("lo"), F.max("speed_kmh").alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    b_lo, b_hi = s.agg(F.min("speed_kmh"), F.max("speed_kmh")).first()
+    if b_lo is None:
+        return s.sparkSession.createDataFrame(
+            [], "bin int, bin_lower double, bin_upper double, point_count long")
+    lo, hi = F.lit(float(b_lo)), F.lit(float(b_hi))
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("speed_kmh") - lo) / width), F.lit(bins - 1))).cast("int")

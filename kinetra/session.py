@@ -70,6 +70,15 @@ def for_partitioned_write(df, partition_col: str = "source_file"):
     return df.hint("rebalance", partition_col)
 
 
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet below the shared checkpoint folder and
+    return a reader on it: cuts lineage (survives executor loss) and turns
+    several later uses into cheap columnar scans."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
