@@ -107,3 +107,30 @@ def test_chunked_ordinal_equals_row_number(spark):
     got = with_ordinal(df, ["g"], ["o"], chunk=F.floor(F.col("o") / 97), name="k")
     want = df.withColumn("k", (F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1).cast("int"))
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_fact_chunked_equals_plain_on_events(spark):
+    sf = "/root/testdata/sf0.001"
+    plain = Warehouse.from_events(spark, sf, chunk_size=None).fct_points
+    chunked = Warehouse.from_events(spark, sf, chunk_size=16).fct_points
+
+    def view(df):
+        return sorted(tuple(r) for r in df.select(
+            "trajectory_point_sk", F.col("delta_time_sec").isNull().alias("prev_null"),
+            "delta_time_sec", "delta_speed_kmh", F.round("delta_distance_m", 6).alias("d")).collect())
+    assert view(plain) == view(chunked)
+
+
+def test_distributed_percentiles_hot_group(spark):
+    # one group holds ~90% of the rows, with many repeated values
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(99)).alias("g"),
+        ((F.col("id") * 31) % 997 / 7.0).alias("v"))
+    probs = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
+    s = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, strategy="single").collect()}
+    d = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, strategy="distributed",
+                                           accuracy=1000).collect()}
+    assert set(s) == set(d)
+    for g in s:
+        for k in probs:
+            assert d[g][k] == pytest.approx(s[g][k], abs=1e-9), (g, k)
