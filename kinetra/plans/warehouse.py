@@ -89,6 +89,23 @@ class Warehouse:
             self.fct_points, self.dim_track, self.dim_vehicle_type,
             percentile_strategy=self.percentile_strategy)
 
+    def register_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
+        """Expose the layers to ``spark.sql`` as temp views (lazy: a view is
+        its plan, so SQL over it is optimised together with the model)."""
+        views = {
+            "stg_tracks": self.stg_tracks,
+            "stg_trajectory_points": self.stg_points,
+            "int_points_with_deltas": self.points_with_deltas,
+            "int_track_kinematics": self.track_kinematics,
+            "dim_vehicle_type": self.dim_vehicle_type,
+            "dim_track": self.dim_track,
+            "fct_trajectory_points": self.fct_points,
+            "agg_speed_by_vehicle_type": self.agg_speed_by_vehicle_type,
+        }
+        for name, df in views.items():
+            df.createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in views]
+
     def materialize(self, root: str) -> "Warehouse":
         """Write the table models below ``root`` (overwrite = full rebuild)
         and return a warehouse whose models read the written tables."""

@@ -105,3 +105,13 @@ def test_entry_runs(spark):
     rows = E.entry(spark).collect()
     assert len(rows) == 6
     assert F is not None and ragged_batch is not None
+
+
+def test_sql_over_registered_views(spark):
+    w = events_wh(spark, SF)
+    w.register_views(spark, prefix="t_")
+    got = spark.sql("""
+        SELECT ROUND(latitude, 4) AS lat_bin, ROUND(longitude, 4) AS lon_bin, COUNT(*) AS point_count
+        FROM t_fct_trajectory_points GROUP BY 1, 2""")
+    want = QUERIES["density_grid"](spark, SF)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
