@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("raw_root")
     t.add_argument("out_root")
     t.add_argument("--run-id", default=dt.datetime.now().strftime("run-%Y%m%dT%H%M%S"))
+    t.add_argument("--new-rows", choices=["cutoff", "keys"], default="cutoff")
     q = sub.add_parser("sql")
     q.add_argument("raw_root")
     q.add_argument("statement")
@@ -53,7 +54,8 @@ def main(argv: list[str] | None = None) -> None:
         ingest.run_ragged_ingest(spark, args.source, args.raw_root, args.checkpoint,
                                  glob=args.glob, refresh_fact=args.refresh_fact)
     elif args.cmd == "transform":
-        _, res = run_transform(spark, args.raw_root, args.out_root, args.run_id)
+        _, res = run_transform(spark, args.raw_root, args.out_root, args.run_id,
+                               new_rows=args.new_rows)
         res.select("model", "column_name", "test_name", "failures", "status").show(100, False)
     elif args.cmd == "sql":
         w = Warehouse(load.read_raw(spark, args.raw_root, "tracks"),

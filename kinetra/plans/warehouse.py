@@ -129,12 +129,13 @@ class Warehouse:
 
 
 def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_id: str,
-                  as_of=None, gate: bool = True):
+                  as_of=None, gate: bool = True, new_rows: str = "cutoff"):
     """One transform run over the raw tables below ``raw_root``:
 
     1. source freshness of both raw tables (an ``error`` stops the run);
     2. table models rebuilt below ``out_root`` (full overwrite), except the
-       fact, which is merged incrementally (new frames only);
+       fact, which is merged incrementally (new frames only: after the
+       high-water mark, or with ``new_rows="keys"`` every missing key);
     3. all declared checks and the two assertions, after every write;
     4. results appended to the run history; error-level failures raise.
     Returns (warehouse, check results)."""
@@ -161,8 +162,11 @@ def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_id: str
     fact_path = f"{out_root}/fct_trajectory_points"
     from kinetra.session import path_exists
     fact = spark.read.parquet(fact_path) if path_exists(spark, fact_path) else None
-    new = incremental.new_fact_rows(w.stg_points, incremental.high_water_mark(fact),
-                                    w.resolved_chunk_size)
+    if new_rows == "keys":  # safe mode: by missing key, not by load time
+        new = incremental.new_fact_rows_by_key(w.stg_points, fact, w.resolved_chunk_size)
+    else:
+        new = incremental.new_fact_rows(w.stg_points, incremental.high_water_mark(fact),
+                                        w.resolved_chunk_size)
     incremental.merge_into(spark, fact_path, new)
     done["fct_trajectory_points"] = spark.read.parquet(fact_path)
     w = Warehouse(tracks, points, w.chunk_size, w.percentile_strategy, dict(done))

@@ -161,3 +161,22 @@ def test_transform_run_history_and_gate(spark, tmp_dir):
     load.load_batch(ragged.read_ragged(spark, src, "z.csv"), root, loaded_at=dt.datetime(2024, 1, 1, 13))
     with pytest.raises(AssertionError):
         run_transform(spark, root, out, "run-4", as_of=now)
+
+
+def test_late_committed_load_skipped_by_cutoff_found_by_key(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    root = os.path.join(tmp_dir, "raw")
+    fact = os.path.join(tmp_dir, "fct")
+    write_text(src, "a.csv", HEADER + "1; Car; 1.0; 1.0; 37.9; 23.7; 5; 0; 0; 0;\n")
+    load.load_batch(ragged.read_ragged(spark, src, "a.csv"), root, loaded_at=dt.datetime(2024, 1, 1, 10))
+    incremental.merge_into(spark, fact, incremental.new_fact_rows(_fact_rows(spark, root),
+                                                                  incremental.FLOOR_MARK))
+    # a load that began earlier (stamped 09:00) but committed after the run
+    write_text(src, "b.csv", HEADER + "2; Bus; 1.0; 1.0; 37.9; 23.7; 7; 0; 0; 0;\n")
+    load.load_batch(ragged.read_ragged(spark, src, "b.csv"), root, loaded_at=dt.datetime(2024, 1, 1, 9))
+    mark = incremental.high_water_mark(spark.read.parquet(fact))
+    assert incremental.new_fact_rows(_fact_rows(spark, root), mark).count() == 0
+    safe = incremental.new_fact_rows_by_key(_fact_rows(spark, root), spark.read.parquet(fact))
+    assert [r.track_id for r in safe.collect()] == [2]
+    incremental.merge_into(spark, fact, safe)
+    assert spark.read.parquet(fact).count() == 2
