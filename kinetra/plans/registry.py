@@ -230,6 +230,12 @@ def q_incremental_new_rows(spark, sf_dir):
     return fact_view(incremental.new_fact_rows(w.stg_points, mark, w.resolved_chunk_size))
 
 
+def q_incremental_new_rows_by_key(spark, sf_dir):
+    path, w = _old_fact_table(spark, sf_dir)
+    return fact_view(incremental.new_fact_rows_by_key(w.stg_points, spark.read.parquet(path),
+                                                      w.resolved_chunk_size))
+
+
 def q_fact_merge(spark, sf_dir):
     path, w = _old_fact_table(spark, sf_dir)
     mark = incremental.high_water_mark(spark.read.parquet(path))
@@ -392,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "agg_speed_by_type_distributed": q_agg_speed_by_type_distributed,
     "agg_speed_approx": q_agg_speed_approx,
     "incremental_new_rows": q_incremental_new_rows,
+    "incremental_new_rows_by_key": q_incremental_new_rows_by_key,
     "fact_merge": q_fact_merge,
     "fact_schema_sync": q_fact_schema_sync,
     "dq_not_null": _dq({"not_null"}),
