@@ -180,3 +180,26 @@ def test_late_committed_load_skipped_by_cutoff_found_by_key(spark, tmp_dir):
     assert [r.track_id for r in safe.collect()] == [2]
     incremental.merge_into(spark, fact, safe)
     assert spark.read.parquet(fact).count() == 2
+
+
+def test_load_duplicate_track_lines_and_extra_frames_later(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    root = os.path.join(tmp_dir, "raw")
+    write_text(src, "d.csv", HEADER
+               + "7; Car; 10.0; 1.0; 1; 1; 1; 1; 1; 1;\n"
+               + "8; Bus; 5.0; 1.0; 4; 4; 4; 4; 4; 4;\n"
+               + "7; Bus; 20.0; 2.0; 2; 2; 2; 2; 2; 2; 3; 3; 3; 3; 3; 3;\n")
+    c = load.load_batch(ragged.read_ragged(spark, src, "d.csv"), root)
+    assert (c.tracks_loaded, c.points_loaded, c.tracks_inserted, c.points_inserted) == (3, 4, 2, 3)
+    t = {r.track_id: (r.vehicle_type, r.traveled_d) for r in load.read_raw(spark, root, "tracks").collect()}
+    assert t == {7: ("Car", 10.0), 8: ("Bus", 5.0)}
+    p = sorted((r.track_id, r.frame_idx, r.speed) for r in
+               load.read_raw(spark, root, "trajectory_points").collect())
+    assert p == [(7, 0, 1.0), (7, 1, 3.0), (8, 0, 4.0)]
+    # same file name again with a longer track 8: only its new frame is added
+    write_text(src, "d.csv", HEADER + "8; Bus; 5.0; 1.0; 9; 9; 9; 9; 9; 9; 5; 5; 5; 5; 5; 5;\n")
+    c2 = load.load_batch(ragged.read_ragged(spark, src, "d.csv"), root)
+    assert (c2.tracks_inserted, c2.points_inserted) == (0, 1)
+    p = sorted((r.track_id, r.frame_idx, r.speed) for r in
+               load.read_raw(spark, root, "trajectory_points").collect())
+    assert p == [(7, 0, 1.0), (7, 1, 3.0), (8, 0, 4.0), (8, 1, 5.0)]
