@@ -27,8 +27,8 @@ def final_plan(df) -> str:
 
 def summarise(plan: str) -> dict:
     c = lambda pat: len(re.findall(pat, plan))
-    scans = re.findall(r"FileScan (\w+) \[[^\]]*\].*?(?:PushedFilters: \[([^\]]*)\])?, ReadSchema: (struct<[^>]*>)",
-                       plan)
+    scans = re.findall(r"FileScan (\w+) \[[^\]\n]*\][^\n]*?(?:PushedFilters: \[([^\]\n]*)\])?, "
+                       r"ReadSchema: (struct<[^\n]*)", plan)
     ids = lambda pat: len(set(re.findall(pat + r".*?\[plan_id=(\d+)\]", plan)))
     return {
         "shuffles": ids(r"Exchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)"),
@@ -43,7 +43,7 @@ def summarise(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, extra={"spark.sql.maxMetadataStringLength": "2000"})
     spark.sparkContext.setLogLevel("OFF")
     print("# Physical plans per query key\n")
     print(f"Generated by `tools/plans.py` on `{sf_dir}` (local[8], AQE on; final adaptive plans, "
