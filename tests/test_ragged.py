@@ -129,3 +129,14 @@ def test_longest_row(spark, tmp_dir):
     assert b.points.count() == n
     last = b.points.orderBy("frame_idx", ascending=False).first()
     assert last.frame_idx == n - 1 and last.speed == (n - 1) % 50 + 0.5
+
+
+def test_undecodable_bytes_rejected(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "bad_bytes.csv")
+    with open(path, "wb") as fh:
+        fh.write(HEADER.encode())
+        fh.write(b"1; Car; 1.0; 1.0; 1; 1; 1; 1; 1; 1;\n")
+        fh.write(b"2; C\xffr; 1.0; 1.0; 1; 1; 1; 1; 1; 1;\n")
+    b = ragged.read_ragged(spark, tmp_dir, "bad_bytes.csv")
+    assert [r.track_id for r in b.tracks.collect()] == [1]
+    assert [r.reject_reason for r in b.rejects.collect()] == ["bad_encoding"]
