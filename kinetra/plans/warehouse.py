@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kinetra.operators import marts, staging, trajectory
 from kinetra.operators.sequence import choose_chunk_size
+from kinetra.session import for_partitioned_write
 from kinetra.sources import testdata
 
 
@@ -121,8 +122,15 @@ class Warehouse:
         cur = self
         for name, get in order:
             path = f"{root}/{name}"
-            get(cur).write.mode("overwrite").parquet(path)
-            done[name] = spark.read.parquet(path)
+            df = get(cur)
+            if name == "fct_trajectory_points":
+                # the fact grows with the data: partitioned like the raw tables
+                (for_partitioned_write(df).write.mode("overwrite")
+                 .partitionBy("source_file").parquet(path))
+                done[name] = spark.read.parquet(path).select(*df.columns)
+            else:
+                df.write.mode("overwrite").parquet(path)
+                done[name] = spark.read.parquet(path)
             cur = Warehouse(self.raw_tracks, self.raw_points, self.chunk_size,
                             self.percentile_strategy, dict(done))
         return cur
