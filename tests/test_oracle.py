@@ -13,6 +13,8 @@ import __spark_entry__ as E
 
 SF = os.environ.get("KINETRA_TEST_SF", "/root/testdata/sf0.001")
 ORACLES = E.oracle_sql()
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -42,6 +44,9 @@ def test_query_matches_oracle(spark, con, key):
     if key not in ORACLES:
         assert rows is not None
         return
+    rel = con.sql(ORACLES[key])
+    types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    assert {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes} == types
     res = con.execute(ORACLES[key])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
