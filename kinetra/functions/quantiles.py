@@ -95,7 +95,7 @@ def _distributed(vals: DataFrame, group_cols: list[str], probs: dict[str, float]
     counts = vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
     # Both tables are read several times below: write them once to the
     # shared checkpoint folder (lineage cut) instead of re-running the input
-    # plan per reference.  The input is read twice in total (sketch + counts).
+    # plan per use.  The input is read twice in total (sketch + counts).
     brackets = materialize(brackets, "pct-brackets")
     counts = materialize(counts, "pct-counts")
     # Join on the group keys only; AQE splits a skewed group across tasks.

@@ -56,7 +56,7 @@ def speed_histogram(fct: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins between min and max speed; the max lands in the last
     bin.  The bounds come from one small aggregate (two numbers to the
     driver) and enter the binning pass as literals: two passes over the fact,
-    no join.  (A scalar subquery here was planned once per reference.)"""
+    no join.  (A scalar subquery here was planned once per use.)"""
     s = fct.select("speed_kmh").filter(F.col("speed_kmh").isNotNull())
     b_lo, b_hi = s.agg(F.min("speed_kmh"), F.max("speed_kmh")).first()
     if b_lo is None:

@@ -143,7 +143,7 @@ def parse(lines: DataFrame) -> DataFrame:
 # headers / frames / rejects select rows with a conditional ``inline`` (an
 # empty array for the other lines) rather than a Filter: Catalyst would push
 # a Filter on parsed columns below the parse projection by substituting the
-# parse expressions, re-tokenising every line once per reference.
+# parse expressions, re-tokenising every line once per use.
 
 def _select_rows(parsed: DataFrame, cond: Column, cols: list) -> DataFrame:
     row = F.struct(*cols)
