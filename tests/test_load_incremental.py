@@ -203,3 +203,15 @@ def test_load_duplicate_track_lines_and_extra_frames_later(spark, tmp_dir):
     p = sorted((r.track_id, r.frame_idx, r.speed) for r in
                load.read_raw(spark, root, "trajectory_points").collect())
     assert p == [(7, 0, 1.0), (7, 1, 3.0), (8, 0, 4.0), (8, 1, 5.0)]
+
+
+def test_existing_keys_read_prunes_partitions(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    root = os.path.join(tmp_dir, "raw")
+    write_text(src, "a.csv", HEADER + "1; Car; 1.0; 1.0; 1; 1; 1; 1; 1; 1;\n")
+    write_text(src, "b.csv", HEADER + "2; Car; 1.0; 1.0; 1; 1; 1; 1; 1; 1;\n")
+    load.load_batch(ragged.read_ragged(spark, src, "*.csv"), root)
+    keys = load.existing_keys(spark, os.path.join(root, "trajectory_points"), ["track_id"], ["b.csv"])
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "b.csv" in plan.split("PartitionFilters: [")[1]
+    assert [r.track_id for r in keys.collect()] == [2]
