@@ -35,7 +35,8 @@ def speed_box_by_type(fct: DataFrame, dim_track: DataFrame, vehicle_types: DataF
         F.col("speed_kmh").isNotNull())
     q = exact_percentiles(j, ["vehicle_type_name"], "speed_kmh",
                           {"q1": 0.25, "median": 0.5, "q3": 0.75}, strategy=percentile_strategy,
-                          largest_group_rows=largest_type_rows(dim_track))
+                          largest_group_rows=(largest_type_rows(dim_track)
+                                              if percentile_strategy == "auto" else None))
     # One row per type: written once, so the size check and the whisker pass
     # read it instead of recomputing the quartiles over the fact.
     q = materialize(q.select("*", (F.col("q3") - F.col("q1")).alias("iqr")), "box-quartiles")

@@ -327,7 +327,8 @@ def q_fleet_mix(spark, sf_dir):
 
 def q_speed_box_by_type(spark, sf_dir):
     w = events_wh(spark, sf_dir)
-    b = dashboards.speed_box_by_type(w.fct_points, w.dim_track, w.dim_vehicle_type)
+    b = dashboards.speed_box_by_type(w.fct_points, w.dim_track, w.dim_vehicle_type,
+                                     percentile_strategy=w.resolved_percentile_strategy)
     return b.select("vehicle_type_name", *[r6(c).alias(c) for c in
                                            ["q1", "median", "q3", "iqr", "lower_whisker",
                                             "upper_whisker"]],

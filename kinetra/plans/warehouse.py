@@ -46,16 +46,33 @@ class Warehouse:
     def points_with_deltas(self) -> DataFrame:
         return trajectory.points_with_deltas(self.stg_points, chunk_size=self.resolved_chunk_size)
 
+    @cached_property
+    def total_points(self) -> int:
+        """Frames in the raw table: an upper bound for any track or type
+        (answered from Parquet footers when the raw table is stored)."""
+        return self.raw_points.count()
+
     @cached_property
     def resolved_chunk_size(self) -> int | None:
-        """``auto``: size check on the per-track frame counts (the kinematics
-        table, which the marts need anyway) -- one task takes a whole track
-        only when the largest track is provably small."""
+        """``auto``: one task takes a whole track only when the largest track
+        is provably small -- first bounded by the total frame count, else
+        measured on the per-track counts (the kinematics table)."""
         if self.chunk_size != "auto":
             return self.chunk_size
+        if choose_chunk_size(self.total_points) is None:
+            return None
         largest = self.track_kinematics.agg(F.max("point_count")).first()[0]
         return choose_chunk_size(largest)
 
+    @cached_property
+    def resolved_percentile_strategy(self) -> str:
+        """``auto``: the single-buffer exact percentile when the total frame
+        count already bounds every type below the buffer limit."""
+        from kinetra.functions.quantiles import choose_strategy
+        if self.percentile_strategy != "auto":
+            return self.percentile_strategy
+        return "single" if choose_strategy(self.total_points) == "single" else "auto"
+
     @cached_property
     def track_kinematics(self) -> DataFrame:
         if "track_kinematics" in self._tables:
@@ -88,7 +105,7 @@ class Warehouse:
             return self._tables["agg_speed_by_vehicle_type"]
         return marts.agg_speed_by_vehicle_type(
             self.fct_points, self.dim_track, self.dim_vehicle_type,
-            percentile_strategy=self.percentile_strategy)
+            percentile_strategy=self.resolved_percentile_strategy)
 
     def register_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
         """Expose the layers to ``spark.sql`` as temp views (lazy: a view is
