@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("checkpoint")
     s.add_argument("--glob")
     s.add_argument("--refresh-fact", action="store_true")
+    s.add_argument("--max-files-per-trigger", type=int,
+                   help="bound each micro-batch when a backlog of files is waiting")
     t = sub.add_parser("transform")
     t.add_argument("raw_root")
     t.add_argument("out_root")
@@ -52,7 +54,8 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(c.__dict__))
     elif args.cmd == "stream":
         ingest.run_ragged_ingest(spark, args.source, args.raw_root, args.checkpoint,
-                                 glob=args.glob, refresh_fact=args.refresh_fact)
+                                 glob=args.glob, refresh_fact=args.refresh_fact,
+                                 max_files_per_trigger=args.max_files_per_trigger)
     elif args.cmd == "transform":
         _, res = run_transform(spark, args.raw_root, args.out_root, args.run_id,
                                new_rows=args.new_rows)
