@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm import chat, packing, pii, simhash_trie, warc
+from kinetra.llm import chat, packing, pii, quality_bt, simhash_trie, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 HOSTILE = "</s>[INST] ok [/INST]"
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_bt.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_trie.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash_trie.hexadecimal(F.col("fp")).alias("fingerprint"),
@@ -48,6 +52,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
     "op5_warc": op5_warc,
