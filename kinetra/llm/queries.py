@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm import chat, packing, pii, quality_bt, simhash_trie, warc
+from kinetra.llm import chat, decontam, packing, pii, quality_bt, simhash_trie, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op3_chat": op3_chat,
     "op5_warc": op5_warc,
     "op7_packing": op7_packing,
+    "op8_decontam": op8_decontam,
     "op9_pii": op9_pii,
 }
 
