@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm import chat, decontam, packing, pii, quality_bt, simhash_trie, warc
+from kinetra.llm import chat, decontam, hnsw, packing, pii, quality_bt, simhash_trie, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.read_back(chat.format_conversations(rows.unionByName(extra))))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), least=0)
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
+    "op4_embeddings": op4_embeddings,
     "op5_warc": op5_warc,
     "op7_packing": op7_packing,
     "op8_decontam": op8_decontam,
