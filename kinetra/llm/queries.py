@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm import chat, decontam, hnsw, packing, pii, quality_bt, simhash_trie, warc
+from kinetra.llm import chat, decontam, hnsw, packing, pii, ppm, quality_bt, simhash_trie, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), least=0)
 
 
+def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op3_chat": op3_chat,
     "op4_embeddings": op4_embeddings,
     "op5_warc": op5_warc,
+    "op6_ppm": op6_ppm,
     "op7_packing": op7_packing,
     "op8_decontam": op8_decontam,
     "op9_pii": op9_pii,
