@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm import chat, decontam, hnsw, packing, pii, ppm, quality_bt, simhash_trie, warc
+from kinetra.llm import chat, decontam, hnsw, packing, pii, ppm, quality_bt, simhash_trie, suffix_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op7_packing": op7_packing,
     "op8_decontam": op8_decontam,
     "op9_pii": op9_pii,
+    "op10_suffix": op10_suffix,
 }
 
 ORACLE: dict[str, str] = {

@@ -1,0 +1,82 @@
+"""Repeated strings against a table of all windows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from kinetra.llm import suffix_dedup as sd
+
+
+def brute(texts, length):
+    data = [(t or "").encode() for t in texts]
+    n = Counter(d[i:i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if n[d[i:i + length]] > 1:
+                gone[i:i + length] = b"\1" * length
+        kept = bytes(c for c, g in zip(d, gone) if not g)
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_suffix_array():
+    rng = np.random.default_rng(0)
+    for n, k in [(1, 2), (2, 2), (50, 2), (300, 3), (500, 26), (400, 1)]:
+        for _ in range(20):
+            s = np.r_[rng.integers(1, k + 1, n), 0].astype(np.int16)
+            want = sorted(range(n + 1), key=lambda i: s[i:].tolist())
+            assert sd.suffix_array(s, n).tolist() == want
+
+
+def test_repeated_windows():
+    r = random.Random(1)
+    for length in (8, 13, 16):
+        texts = ["".join(r.choices("ab", k=r.randint(0, 60))).encode() for _ in range(12)]
+        n = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+        got = sd.repeated_windows(texts, length)
+        assert [g.tolist() for g in got] == [
+            [i for i in range(len(t) - length + 1) if n[t[i:i + length]] > 1] for t in texts]
+
+
+def corpus(r):
+    words = ["lorem", "ipsum", "dolor", "été", "x", "日本", "\n", "zz"]
+    text = lambda k: " ".join(r.choices(words, k=k)) + str(r.random())
+    passage = text(30)
+    docs = [text(r.randint(0, 60)) for _ in range(60)]
+    docs += [text(10) + passage + text(10) for _ in range(20)]
+    docs += [docs[3], docs[3], docs[4][5:], None, "", "a" * 500, "ab" * 200, passage[:70]]
+    base = text(120)
+    for _ in range(15):
+        at = r.randrange(len(base))
+        docs.append(base[:at] + "#" + base[at + 1:])
+    return docs
+
+
+@pytest.mark.parametrize("how", [{}, {"shard_bytes": 500}, {"group_bytes": 200}])
+def test_against_brute_force(spark, how):
+    docs = corpus(random.Random(2))
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(docs)],
+                               "doc_id long, text string, m string, row int").repartition(4)
+    rows = sd.remove_repeats(df, 60, gram=12, **how).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows}
+    assert [got[i] for i in range(len(docs))] == brute(docs, 60)
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in rows)
+
+
+def test_production_length_repeated_rows_and_empty(spark):
+    r = random.Random(3)
+    long = "".join(r.choices("abcdefgh ", k=30_000))
+    docs = [(1, long), (1, long), (2, long[500:900]), (3, long[100:499]), (None, "q" * 400), (5, "q" * 401)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans) for r in sd.remove_repeats(df).collect())
+    assert got == [(0, 400, 400, 1), (1, 30000, 30000, 1), (1, 30000, 30000, 1), (2, 400, 400, 1),
+                   (3, 399, 0, 0), (5, 401, 401, 1)]
+    assert sd.remove_repeats(df.limit(0)).count() == 0
