@@ -258,3 +258,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with the row of least doc_id of each group; rows that repeat
+    that doc_id count as one document, of which one row stays."""
+    found = materialize(near_duplicates(docs, shingle, radius).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max((~F.col("doc_id").eqNullSafe(F.col("component_id"))).cast("int")).alias("copy")),
+        "groups")
+    gone = found.filter("copy = 1").select(F.col("doc_id").alias("id"))
+    often = found.filter("copy = 0 AND n > 1").select(F.col("doc_id").alias("id"))
+
+    def without(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        return rows.join(ids, rows["doc_id"].eqNullSafe(ids["id"]), how)
+
+    firsts = without(docs, gone, "left_anti")
+    return without(firsts, often, "left_anti").unionByName(
+        without(firsts, often, "left_semi").dropDuplicates(["doc_id"]))
