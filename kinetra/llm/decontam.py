@@ -47,20 +47,30 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), WORD_GAP), "")
 
 
-def hashes(w: Column, shingle: int = SHINGLE) -> Column:
-    """Hash of each shingle of the words; one of all words if there are fewer."""
-    last = F.size(w) - shingle
-    each = F.transform(F.sequence(F.lit(0), last),
-                       lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(shingle)]))
-    return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(
-        last < 0, F.array(F.xxhash64(w))).otherwise(each)
+def hashes(text: Column, shingle: int = SHINGLE) -> Column:
+    """Hash of each shingle of the text's words; one of all words if there are
+    fewer.  The words are bound to a lambda variable, so that no optimiser
+    rule can copy the splitting into the loop over the shingles."""
+    def of(w: Column) -> Column:
+        last = F.size(w) - shingle
+        each = F.transform(F.sequence(F.lit(0), last),
+                           lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(shingle)]))
+        return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(
+            last < 0, F.array(F.xxhash64(w))).otherwise(each)
+
+    return F.transform(F.array(words(text)), of)[0]
+
+
+def _n_words(h: Column, shingle: int = SHINGLE) -> Column:
+    """Words of a text of as many as ``shingle`` words; of shorter ones it is
+    their one shingle that counts."""
+    return F.when(F.size(h) == 0, 0).otherwise(F.size(h) + shingle - 1)
 
 
 def _shingled(rows: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """key, tid (hash of the text: rows may repeat a key), n words, h hashes."""
-    split = rows.select(F.col(key).alias("key"), F.xxhash64(text).alias("tid"),
-                        words(F.col(text).cast("string")).alias("w"))
-    return split.select("key", "tid", F.size("w").alias("n"), hashes(F.col("w"), shingle).alias("h"))
+    """key, tid (hash of the text: rows may repeat a key), h hashes."""
+    return rows.select(F.col(key).alias("key"), F.xxhash64(text).alias("tid"),
+                       hashes(F.col(text).cast("string"), shingle).alias("h"))
 
 
 def simhash(rows: DataFrame, keys: list[str], h: str = "h", weight: str = "weight") -> DataFrame:
@@ -115,8 +125,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
                blocks: int = BLOCKS) -> DataFrame:
     """One row per document, item and window of the document that is as
     similar: doc_id, item_id, start_word, n_words, distance, similarity."""
-    items = materialize(_shingled(benchmark, "item_id", "text", shingle).filter("n > 0").select(
-        F.col("key").alias("item"), "tid", F.col("n").alias("size"), "h").distinct(), "items")
+    items = materialize(_shingled(benchmark, "item_id", "text", shingle).select(
+        F.col("key").alias("item"), "tid", "h", _n_words(F.col("h"), shingle).alias("size")).distinct(),
+        "items").filter("size > 0")
     counted = items.select("item", "tid", "size", F.explode("h").alias("h")).groupBy(
         "item", "tid", "size", "h").agg(F.count(F.lit(1)).alias("weight"))
     counted = materialize(counted, "item-shingles")
@@ -125,7 +136,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
     shared = materialize(counted.select("h", "item", "tid", "size").withColumnRenamed("tid", "itid"),
                          "shared")
     texts = _shingled(docs.select("doc_id", "text"), "doc_id", "text", shingle)
-    hits = texts.select("key", "tid", "n", F.posexplode("h").alias("at", "h")).join(shared, "h")
+    # outer: a plain explode would add a filter that computes the hashes twice
+    hits = texts.select("key", "tid", _n_words(F.col("h"), shingle).alias("n"),
+                        F.posexplode_outer("h").alias("at", "h")).join(shared, "h")
     found = hits.groupBy("key", "tid", "n", "item", "itid", "size").agg(
         F.array_sort(F.collect_set("at")).alias("at"))  # places within one text
     span = F.greatest(F.least("size", "n") - (shingle - 1), F.lit(1))   # shingles of the window
