@@ -141,10 +141,17 @@ def fit(x: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Mo
     cuts = sorted(set(x.select(F.percentile_approx(model.raw(F.col("x")), levels, 10_000)
                                .alias("q")).first().q))
     cuts = [(a + b) / 2 for a, b in zip(cuts, cuts[1:])] or [cuts[0] - 1.0]
-    below = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= model.raw(F.col("x"))))
+    def tally_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((2, len(cuts) + 1), np.int64)
+        for b in batches:
+            np.add.at(n, (b.column(0).to_numpy(), np.searchsorted(cuts, b.column(1).to_numpy(), "right")), 1)
+        q, k = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(k), pa.array(n[q, k])], ["q", "k", "n"])
+
     tally = np.zeros((2, len(cuts) + 1))
-    for r in train.groupBy("quality", below.alias("k")).count().collect():  # <= 2 (LEVELS + 1) rows
-        tally[r.quality, r.k] = r["count"]
+    for r in train.select(F.col("quality").cast("long"), model.raw(F.col("x"))).mapInArrow(
+            tally_rows, "q long, k long, n long").groupBy("q", "k").agg(F.sum("n").alias("n")).collect():
+        tally[r.q, r.k] = r.n                       # at most 2 (LEVELS + 1) rows
     # at cut i a row is kept when more than i cuts lie at or below its score
     kept = tally[:, ::-1].cumsum(1)[:, ::-1][:, 1:]
     right = kept[1] / tally[1].sum() + 1 - kept[0] / tally[0].sum()
