@@ -73,28 +73,17 @@ def _shingled(rows: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
                        hashes(F.col(text).cast("string"), shingle).alias("h"))
 
 
-def simhash(rows: DataFrame, keys: list[str], h: str = "h", weight: str = "weight") -> DataFrame:
-    """keys, fp: SimHash of the weighted hashes of each group.
-
-    Counters of two bits share a long, 32 bits each, so 32 sums count 64 bits;
-    they are summed in the map tasks first.
-    """
-    def pair(j: int) -> Column:
-        bit = F.shiftrightunsigned(F.col(h), 2 * j)
-        return (bit.bitwiseAND(F.lit(1).cast("long"))
-                + F.shiftleft(F.shiftrightunsigned(bit, 1).bitwiseAND(F.lit(1).cast("long")), 32))
-
-    sums = rows.groupBy(*keys).agg(F.sum(weight).alias("all"), *[
-        F.sum(F.col(weight) * pair(j)).alias(f"s{j}") for j in range(BITS // 2)])
-    bits = [F.when(c * 2 > F.col("all"), F.shiftleft(F.lit(1).cast("long"), b)).otherwise(
-        F.lit(0).cast("long"))
-        for j in range(BITS // 2) for b, c in (
-            (2 * j, F.col(f"s{j}").bitwiseAND(F.lit((1 << 32) - 1))),
-            (2 * j + 1, F.shiftrightunsigned(F.col(f"s{j}"), 32)))]
-    fp = bits[0]
-    for b in bits[1:]:
-        fp = fp.bitwiseOR(b)
-    return sums.select(*keys, fp.alias("fp"))
+def simhash(h: Column) -> Column:
+    """SimHash of an array of hashes; a shingle weighs as often as it occurs."""
+    def voted(x: Column, b: Column) -> Column:
+        return F.call_function("shiftrightunsigned", x, b).bitwiseAND(F.lit(1).cast("long")) == 1
+
+    def add(fp: Column, b: Column) -> Column:
+        yes = F.size(F.filter(h, lambda x: voted(x, b)))
+        return fp.bitwiseOR(F.when(yes * 2 > F.size(h), F.call_function(
+            "shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"), add)
 
 
 def _blocks(fp: Column, blocks: int) -> list[Column]:
@@ -167,15 +156,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
     # equal windows of many texts are compared once
     windows = materialize(windows.withColumn("wid", F.sha2(F.concat_ws(
         ",", F.col("size").cast("string"), F.col("h").cast("array<string>")), 256)), "window-hashes")
-    distinct = windows.groupBy("wid", "size").agg(F.first("h").alias("h"))
-    wcounted = materialize(distinct.select("wid", "size", F.explode("h").alias("h")).groupBy(
-        "wid", "size", "h").agg(F.count(F.lit(1)).alias("weight")), "window-shingles")
+    distinct = materialize(windows.groupBy("wid", "size").agg(F.first("h").alias("h")), "distinct-windows")
+    wcounted = materialize(distinct.select("wid", F.explode("h").alias("h")).groupBy(
+        "wid", "h").agg(F.count(F.lit(1)).alias("weight")), "window-shingles")
 
     # 2. fingerprints, 3. multi-index
-    item_fp = simhash(counted, ["item", "tid", "size"]).select(
-        F.struct("item", "tid").alias("item"), "size", "fp")
+    item_fp = materialize(items.select(F.struct("item", "tid").alias("item"), "size",
+                                       simhash(F.col("h")).alias("fp")), "item-fingerprints")
     index = materialize(variants(item_fp, blocks, radius), "index")
-    window_fp = simhash(wcounted, ["wid", "size"])
+    window_fp = materialize(distinct.select("wid", "size", simhash(F.col("h")).alias("fp")),
+                            "window-fingerprints")
     probe = window_fp.select("wid", "size", F.col("fp").alias("wfp"), F.explode(F.array(*[
         F.struct(F.lit(b).alias("block"), v.alias("value"))
         for b, v in enumerate(_blocks(F.col("fp"), blocks))])).alias("p")).select(

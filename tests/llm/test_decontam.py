@@ -99,3 +99,11 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     assert dc.find_leaks(some, items.limit(0)).count() == 0
     assert dc.find_leaks(some, items).count() == 1
+
+
+def test_simhash(spark):
+    r = random.Random(9)
+    rows = [([r.getrandbits(64) - (1 << 63) for _ in range(n)],) for n in (1, 2, 3, 36)] + [([7, 7, -1],)]
+    got = [x[0] for x in spark.createDataFrame(rows, "h array<long>").select(dc.simhash(F.col("h"))).collect()]
+    want = [sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) for h, in rows]
+    assert [g % (1 << 64) for g in got] == want
