@@ -1,140 +1,82 @@
-"""Exact interpolated percentiles (``percentile_cont``) per group, at scale.
-
-Spark's exact ``percentile`` aggregate merges a value->count map of the whole
-group in one task: fine for small groups, unbounded for a group holding a
-large share of the data.  ``exact_percentiles`` therefore checks the largest
-group first and, beyond a row bound, switches to a distributed selection:
-
-1. a bounded-memory sketch (``percentile_approx``, partial aggregation)
-   brackets each wanted rank with two values ``lo <= v(rank) <= hi``;
-2. exact counts of distinct (group, value) pairs are aggregated (hot values
-   collapse map-side);
-3. the count of values below ``lo`` is summed per (group, p) -- a plain
-   aggregate -- and only the few values inside ``[lo, hi]`` (plus the nearest
-   distinct value on either side) are ranked with a window, so no task sees
-   more than ~``2 * margin / accuracy`` of a group;
-4. the two order statistics around ``p * (n - 1)`` are interpolated exactly
-   as ``percentile_cont`` does.
-
-If a sketch bracket ever misses its rank the query fails loudly
-(``raise_error``) instead of returning a wrong value.
+"""Exact interpolated percentiles (``percentile_cont``) per group, at any size.
+
+Spark's exact ``percentile`` merges a value->count map of a whole group in one
+task.  Here a group never meets in one task:
+
+1. ``value_counts`` counts equal (group, value) pairs (hot values collapse in
+   the map tasks); the counts serve every other statistic of the group too;
+2. a bounded sketch of the distinct values cuts each group into
+   ``CUTS + 1`` value ranges, whose exact row counts are summed;
+3. prefix sums over those (at most ``CUTS + 1`` rows a group) say which ranges
+   hold the wanted ranks, whatever the sketch's error;
+4. only the values of these ranges are ranked with a window, and the two
+   order statistics around ``p * (n - 1)`` are interpolated.
+
+One plan for all sizes.  Infinities are ordinary values; NaN is the largest.
+Equal order statistics are returned as they are (no ``inf - inf``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinetra.session import materialize
 
-DEFAULT_ACCURACY = 100_000
-# Largest group (rows) for which the single-buffer exact aggregate is used.
-SINGLE_BUFFER_MAX_ROWS = 2_000_000
-
-
-def choose_strategy(largest_group_rows: int | None,
-                    max_single_buffer_rows: int = SINGLE_BUFFER_MAX_ROWS) -> str:
-    if largest_group_rows is not None and largest_group_rows <= max_single_buffer_rows:
-        return "single"
-    return "distributed"
+CUTS = 255
 
 
-def single_buffer_columns(value_col: str, probs: dict[str, float]) -> list:
-    """Aggregate expressions for the single-buffer path, to be used inside a
-    caller's own ``agg`` (one pass together with other statistics)."""
-    pct = F.percentile(F.col(value_col), F.array(*[F.lit(float(p)) for p in probs.values()]))
-    return [pct.alias("_pct")]
+def value_counts(df: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
+    """(group, _v, _c): rows of each value of each group, NULL included,
+    written once below the shared checkpoint folder."""
+    return materialize(df.groupBy(*group_cols, F.col(value_col).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c")), "value-counts")
 
 
 def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
-                      probs: dict[str, float], strategy: str = "auto",
-                      accuracy: int = DEFAULT_ACCURACY,
-                      max_single_buffer_rows: int = SINGLE_BUFFER_MAX_ROWS,
-                      largest_group_rows: int | None = None) -> DataFrame:
+                      probs: dict[str, float], cuts: int = CUTS) -> DataFrame:
     """One row per group with non-NULL values: ``group_cols`` + one column per
-    entry of ``probs`` (name -> p in [0, 1]).
+    entry of ``probs`` (name -> p in [0, 1])."""
+    return percentiles_of_counts(value_counts(df, group_cols, value_col), group_cols, probs, cuts)
 
-    ``largest_group_rows``: a known upper bound on the rows of any group
-    (e.g. from a per-track count table); without it ``auto`` measures it."""
-    vals = df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
-    if strategy == "auto":
-        if largest_group_rows is None:
-            largest_group_rows = (vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
-                                  .agg(F.max("n")).first()[0]) or 0
-        strategy = choose_strategy(largest_group_rows, max_single_buffer_rows)
-    if strategy == "single":
-        names = list(probs)
-        pct = F.percentile(F.col("_v"), F.array(*[F.lit(float(probs[k])) for k in names]))
-        out = vals.groupBy(*group_cols).agg(pct.alias("_p"))
-        return out.select(*group_cols, *[F.col("_p")[i].alias(k) for i, k in enumerate(names)])
-    if strategy != "distributed":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return _distributed(vals, group_cols, probs, accuracy)
 
-
-def _distributed(vals: DataFrame, group_cols: list[str], probs: dict[str, float],
-                 accuracy: int, margin: float = 4.0) -> DataFrame:
+def percentiles_of_counts(counts: DataFrame, group_cols: list[str], probs: dict[str, float],
+                          cuts: int = CUTS) -> DataFrame:
+    """The same from value counts (columns ``_v``, ``_c``), which are read twice."""
+    vals = counts.filter(F.col("_v").isNotNull())
     names = list(probs)
-    eps = margin / accuracy
-    lo_q = [max(0.0, probs[k] - eps) for k in names]
-    hi_q = [min(1.0, probs[k] + eps) for k in names]
-    qs = lo_q + hi_q
-    stats = vals.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", qs, accuracy).alias("_q"))
-    k = len(names)
-    brackets = stats.select(*group_cols, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_pi"),
-                 (F.lit(float(probs[nm])) * (F.col("_n") - 1)).alias("_h"),
-                 F.col("_q")[i].alias("_lo"),
-                 F.col("_q")[k + i].alias("_hi"))
-        for i, nm in enumerate(names)])))
-    brackets = brackets.select(
-        "*", F.floor("_h").cast("long").alias("_rlo"), F.ceil("_h").cast("long").alias("_rhi"))
-
-    counts = vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    # Both tables are read several times below: write them once to the
-    # shared checkpoint folder (lineage cut) instead of re-running the input
-    # plan per use.  The input is read twice in total (sketch + counts).
-    brackets = materialize(brackets, "pct-brackets")
-    counts = materialize(counts, "pct-counts")
-    # Join on the group keys only; AQE splits a skewed group across tasks.
-    jb = counts.join(brackets.select(*group_cols, "_pi", "_lo", "_hi"), group_cols)
-    keys = group_cols + ["_pi"]
-    v, c = F.col("_v"), F.col("_c")
-    # Outside the bracket only a count and the nearest distinct value on each
-    # side survive (plain aggregates); the neighbours absorb the rounding of
-    # a quantile to a rank when the group is small.
-    below = jb.filter(v < F.col("_lo")).groupBy(*keys).agg(
-        F.sum(c).alias("_below"), F.max_by(F.struct(v, c), v).alias("_prev"))
-    above = jb.filter(v > F.col("_hi")).groupBy(*keys).agg(
-        F.min_by(F.struct(v, c), v).alias("_next"))
-    inside = jb.filter((v >= F.col("_lo")) & (v <= F.col("_hi"))).select(*keys, "_v", "_c")
-    cand = (inside
-            .unionByName(below.select(*keys, "_prev._v", "_prev._c"))
-            .unionByName(above.select(*keys, "_next._v", "_next._c")))
-    base = below.select(*keys, (F.col("_below") - F.col("_prev._c")).alias("_base"))
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    cand = cand.select("*", F.sum("_c").over(w).alias("_cum"))
-    cand = (cand.join(base, keys, "left")
-            .join(brackets.select(*keys, "_h", "_rlo", "_rhi"), keys)
-            .select("*", (F.coalesce(F.col("_base"), F.lit(0)) + F.col("_cum") - F.col("_c"))
-                    .alias("_start")))
-    end = F.col("_start") + F.col("_c") - 1
-
-    def holds(rank):
-        return (F.col("_start") <= F.col(rank)) & (F.col(rank) <= end)
-
-    picked = cand.groupBy(*keys).agg(
-        F.max(F.when(holds("_rlo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(holds("_rhi"), F.col("_v"))).alias("_vhi"),
-        F.first("_h").alias("_h"), F.first("_rlo").alias("_rlo"))
-    # A group may have no candidate row at all if the bracket failed; keep it
-    # through the bracket table so the check below sees it.
-    picked = brackets.select(*keys).join(picked, keys, "left")
-    ok = F.col("_vlo").isNotNull() & F.col("_vhi").isNotNull()
-    value = F.when(ok, F.col("_vlo") + (F.col("_h") - F.col("_rlo")) * (F.col("_vhi") - F.col("_vlo"))) \
-        .otherwise(F.raise_error(F.lit("percentile bracket missed its rank; raise accuracy")).cast("double"))
-    per_p = picked.select(*keys, value.alias("_val"))
-    return per_p.groupBy(*group_cols).agg(
-        *[F.max(F.when(F.col("_pi") == i, F.col("_val"))).alias(nm) for i, nm in enumerate(names)])
+    stats = materialize(vals.groupBy(*group_cols).agg(
+        F.sum("_c").alias("_n"),
+        F.percentile_approx("_v", [(i + 1) / (cuts + 1) for i in range(cuts)], 10_000).alias("_cuts")),
+        "percentile-cuts")
+    ranges = vals.join(stats.select(*group_cols, "_cuts"), group_cols).select(
+        *group_cols, "_v", "_c", F.size(F.filter("_cuts", lambda x: x < F.col("_v"))).alias("_b"))
+    keys = [*group_cols, "_b"]
+    sizes = ranges.groupBy(*keys).agg(F.sum("_c").alias("_size"))
+    before = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialize(sizes.select(*keys, "_size", F.coalesce(F.sum("_size").over(before), F.lit(0))
+                                      .alias("_first")), "percentile-ranges")
+    ranks = stats.select(*group_cols, F.inline(F.array(*[F.struct(
+        F.lit(i).alias("_p"), (F.lit(float(probs[k])) * (F.col("_n") - 1)).alias("_h"))
+        for i, k in enumerate(names)]))).select(
+        "*", F.floor("_h").cast("long").alias("_lo"), F.ceil("_h").cast("long").alias("_hi"))
+
+    def holds(rank: str, first: Column, size: Column) -> Column:
+        return (F.col(rank) >= first) & (F.col(rank) < first + size)
+
+    wanted = starts.join(ranks, group_cols).filter(
+        holds("_lo", F.col("_first"), F.col("_size")) | holds("_hi", F.col("_first"), F.col("_size")))
+    wanted = materialize(wanted.select(*keys, "_first", "_p", "_h", "_lo", "_hi"), "percentile-ranks")
+    inside = ranges.join(wanted.select(*keys, "_first").distinct(), keys)
+    so_far = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = inside.select(*keys, "_v", "_c", (F.col("_first") + F.coalesce(
+        F.sum("_c").over(so_far), F.lit(0))).alias("_start"))
+    picked = placed.join(wanted.drop("_first"), keys).groupBy(*group_cols, "_p").agg(
+        F.max(F.when(holds("_lo", F.col("_start"), F.col("_c")), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(holds("_hi", F.col("_start"), F.col("_c")), F.col("_v"))).alias("_vhi"),
+        F.first("_h").alias("_h"), F.first("_lo").alias("_lo"))
+    frac = F.col("_h") - F.col("_lo")
+    value = F.when((frac == 0) | (F.col("_vlo") == F.col("_vhi")), F.col("_vlo")).otherwise(
+        F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo")))
+    return picked.groupBy(*group_cols).agg(
+        *[F.max(F.when(F.col("_p") == i, value)).alias(k) for i, k in enumerate(names)])

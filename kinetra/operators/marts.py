@@ -7,10 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinetra.functions.columns import surrogate_key
-from kinetra.functions.quantiles import choose_strategy, exact_percentiles, single_buffer_columns
-
-# Dimension tables broadcast only below this many rows (checked by count).
-BROADCAST_MAX_ROWS = 100_000
+from kinetra.functions.quantiles import percentiles_of_counts, value_counts
+from kinetra.session import materialize
 
 FACT_COLUMNS = [
     "trajectory_point_sk", "track_sk", "source_file", "track_id", "frame_idx",
@@ -26,13 +24,6 @@ DIM_TRACK_COLUMNS = [
 ]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the side: beyond ``max_rows`` the
-    join stays a shuffle join (AQE may still demote it at run time)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def dim_vehicle_type(stg_tracks: DataFrame) -> DataFrame:
     types = stg_tracks.filter(F.col("vehicle_type").isNotNull()).select("vehicle_type").distinct()
     return types.select(surrogate_key("vehicle_type").alias("vehicle_type_sk"),
@@ -42,7 +33,7 @@ def dim_vehicle_type(stg_tracks: DataFrame) -> DataFrame:
 def dim_track(stg_tracks: DataFrame, kinematics: DataFrame, vehicle_types: DataFrame) -> DataFrame:
     """Tracks left-joined to their kinematics (a track without frames keeps
     NULL measures) and to the type dimension (NULL type -> NULL key)."""
-    types = broadcast_if_small(vehicle_types.select("vehicle_type_sk", "vehicle_type_name"))
+    types = vehicle_types.select("vehicle_type_sk", "vehicle_type_name")
     kin = kinematics.select("track_sk", "point_count", "duration_sec", "min_speed_kmh",
                             "max_speed_kmh", "stopped_point_count")
     j = (stg_tracks.join(kin, "track_sk", "left")
@@ -54,51 +45,53 @@ def fct_points(points_with_deltas: DataFrame) -> DataFrame:
     return points_with_deltas.select(*FACT_COLUMNS)
 
 
-def points_by_type(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,
-                   cols: list[str]) -> DataFrame:
-    """Fact rows with their vehicle type (inner joins: tracks without a known
-    type drop out).  The track dimension is shuffle-joined (it grows with the
-    data; AQE splits a skewed track), the type dimension is broadcast after a
-    size check."""
-    trk = dim_trk.select("track_sk", "vehicle_type_sk").filter(F.col("vehicle_type_sk").isNotNull())
-    types = broadcast_if_small(vehicle_types.select("vehicle_type_sk", "vehicle_type_name"))
-    return fct.select("track_sk", *cols).join(trk, "track_sk").join(types, "vehicle_type_sk")
+TYPE_KEYS = ["vehicle_type_sk", "vehicle_type_name"]
 
 
-def largest_type_rows(dim_trk: DataFrame) -> int:
-    """Upper bound on the points of any vehicle type, from the track
-    dimension (one row per track, not per point)."""
-    n = (dim_trk.filter(F.col("vehicle_type_sk").isNotNull())
-         .groupBy("vehicle_type_sk").agg(F.sum("point_count").alias("n"))
-         .agg(F.max("n")).first()[0])
-    return int(n or 0)
+def speeds_by_type(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame) -> DataFrame:
+    """(type, _v, _c): how often each speed (NULL included) occurs per vehicle
+    type, written once.  Frames are counted per track and speed first, so the
+    joins to the dimensions move counts and not frames; tracks without a known
+    type drop out (inner joins).  Spark sizes the joins itself."""
+    per_track = fct.groupBy("track_sk", F.col("speed_kmh").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    trk = dim_trk.select("track_sk", "vehicle_type_sk").filter(F.col("vehicle_type_sk").isNotNull())
+    types = vehicle_types.select(*TYPE_KEYS)
+    typed = per_track.join(trk, "track_sk").groupBy("vehicle_type_sk", "_v").agg(
+        F.sum("_c").alias("_c"))
+    return materialize(typed.join(types, "vehicle_type_sk").groupBy(*TYPE_KEYS, "_v").agg(
+        F.sum("_c").alias("_c")), "speeds-by-type")
+
+
+def agg_speed_by_vehicle_type(fct: DataFrame, dim_trk: DataFrame,
+                              vehicle_types: DataFrame) -> DataFrame:
+    """Count, mean, extremes, deviation and percentiles per type, all from the
+    same speed counts."""
+    counts = speeds_by_type(fct, dim_trk, vehicle_types)
+    v, c = F.col("_v"), F.col("_c")
+    basic = materialize(counts.groupBy(*TYPE_KEYS).agg(
+        F.sum(c).alias("observation_count"),
+        F.sum(F.when(v.isNotNull(), c)).alias("_n"),
+        (F.sum(v * c) / F.sum(F.when(v.isNotNull(), c))).alias("avg_speed_kmh"),
+        F.min(v).alias("min_speed_kmh"), F.max(v).alias("max_speed_kmh")), "speed-means")
+    # squared distances from the known mean: as exact as a two-pass deviation
+    spread = counts.join(basic.select(*TYPE_KEYS, "avg_speed_kmh", "_n"), TYPE_KEYS).groupBy(
+        *TYPE_KEYS, "_n").agg(F.sum(c * (v - F.col("avg_speed_kmh")) * (v - F.col("avg_speed_kmh")))
+                              .alias("_ss")).select(
+        *TYPE_KEYS, F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1)))
+        .alias("stddev_speed_kmh"))
+    pct = percentiles_of_counts(counts, TYPE_KEYS, {"median_speed_kmh": 0.5, "p95_speed_kmh": 0.95})
+    return basic.join(spread, TYPE_KEYS, "left").join(pct, TYPE_KEYS, "left").select(
+        *TYPE_KEYS, "observation_count", "avg_speed_kmh", "min_speed_kmh", "max_speed_kmh",
+        "stddev_speed_kmh", "median_speed_kmh", "p95_speed_kmh")
 
 
-def agg_speed_by_vehicle_type(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,
-                              percentile_strategy: str = "auto") -> DataFrame:
-    j = points_by_type(fct, dim_trk, vehicle_types, ["speed_kmh"])
-    keys = ["vehicle_type_sk", "vehicle_type_name"]
-    s = F.col("speed_kmh")
-    probs = {"median_speed_kmh": 0.5, "p95_speed_kmh": 0.95}
-    basic = [
-        F.count(F.lit(1)).alias("observation_count"),
-        F.avg(s).alias("avg_speed_kmh"),
-        F.min(s).alias("min_speed_kmh"),
-        F.max(s).alias("max_speed_kmh"),
-        F.stddev_samp(s).alias("stddev_speed_kmh"),
-    ]
-    out_cols = [*keys, "observation_count", "avg_speed_kmh", "min_speed_kmh", "max_speed_kmh",
-                "stddev_speed_kmh", "median_speed_kmh", "p95_speed_kmh"]
-    strategy = percentile_strategy
-    if strategy == "auto":
-        strategy = choose_strategy(largest_type_rows(dim_trk))
-    if strategy == "single":
-        # Small groups: every statistic in one aggregation pass.
-        one = j.groupBy(*keys).agg(*basic, *single_buffer_columns("speed_kmh", probs))
-        return one.select(*keys, *[c for c in out_cols if c not in keys and c not in probs],
-                          *[F.col("_pct")[i].alias(k) for i, k in enumerate(probs)]).select(*out_cols)
-    pct = exact_percentiles(j, keys, "speed_kmh", probs, strategy=strategy)
-    return j.groupBy(*keys).agg(*basic).join(pct, keys, "left").select(*out_cols)
+def points_by_type(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,
+                   cols: list[str]) -> DataFrame:
+    """Fact rows with their vehicle type (for the sketch, which takes rows)."""
+    trk = dim_trk.select("track_sk", "vehicle_type_sk").filter(F.col("vehicle_type_sk").isNotNull())
+    return fct.select("track_sk", *cols).join(trk, "track_sk").join(
+        vehicle_types.select(*TYPE_KEYS), "vehicle_type_sk")
 
 
 def agg_speed_approx(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,
@@ -106,8 +99,22 @@ def agg_speed_approx(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFram
     """Approximate twin of the aggregate: percentiles from a bounded sketch in
     a single pass (rank error <= n / accuracy)."""
     j = points_by_type(fct, dim_trk, vehicle_types, ["speed_kmh"])
-    keys = ["vehicle_type_sk", "vehicle_type_name"]
     q = F.percentile_approx("speed_kmh", [0.5, 0.95], accuracy)
-    return j.groupBy(*keys).agg(F.count(F.lit(1)).alias("observation_count"), q.alias("_q")).select(
-        *keys, "observation_count", F.col("_q")[0].alias("median_speed_kmh"),
+    return j.groupBy(*TYPE_KEYS).agg(F.count(F.lit(1)).alias("observation_count"), q.alias("_q")).select(
+        *TYPE_KEYS, "observation_count", F.col("_q")[0].alias("median_speed_kmh"),
         F.col("_q")[1].alias("p95_speed_kmh"))
+
+
+def approx_rank_errors(approx: DataFrame, speeds: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """Whether the sketch's percentiles lie within its promised rank error:
+    per type, for the median and the 95th percentile."""
+    v, c = F.col("_v"), F.col("_c")
+    j = speeds.filter(v.isNotNull()).join(approx, TYPE_KEYS)
+    out = []
+    for name, p in (("median", 0.5), ("p95", 0.95)):
+        q = F.col(f"{name}_speed_kmh")
+        below, upto = F.sum(F.when(v < q, c).otherwise(0)), F.sum(F.when(v <= q, c).otherwise(0))
+        slack = F.sum(c) / accuracy + 1
+        out.append(((below <= p * F.sum(c) + slack) & (upto >= p * F.sum(c) - slack))
+                   .alias(f"{name}_within"))
+    return j.groupBy(*TYPE_KEYS, "observation_count").agg(*out)

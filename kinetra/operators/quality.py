@@ -2,19 +2,21 @@
 
 Every declared check becomes one result row (model, column, test, failures,
 severity, status).  Row-wise checks (not_null, between) of one model are
-evaluated together in a single aggregation pass; unique and accepted-values
-use a grouped aggregate (partial aggregation first); relationships use a
-``left_anti`` join.  Failure counts follow the generic test definitions:
+evaluated together in a single aggregation pass; the unique, accepted-values
+and relationships checks of one column read its value counts (partial
+aggregation first).  Failure counts follow the generic test definitions:
 not_null / between / relationships count rows, unique counts duplicated
 values, accepted_values counts distinct unaccepted values (NULL passes).
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetra.schemas import SPEED_BUCKETS, VEHICLE_TYPES
@@ -121,50 +123,54 @@ def _row_wise(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     return agg.select(F.inline(rows))
 
 
-def _one(model: str, c: Check, failures: DataFrame) -> DataFrame:
-    return failures.select(F.lit(model).alias("model"), F.lit(c.column).alias("column_name"),
-                           F.lit(c.test).alias("test_name"),
-                           F.col("failures").cast("long").alias("failures"),
-                           F.lit(c.severity).alias("severity"))
-
-
 def evaluate(models: dict[str, DataFrame], checks: list[Check] = CHECKS,
              tests: set[str] | None = None) -> DataFrame:
+    """One row per check.  Checks of one model share passes: all not_null and
+    between checks are one aggregate; a column's accepted_values, unique and
+    relationships checks read the counts of its values, grouped once."""
     parts: list[DataFrame] = []
     selected = [c for c in checks if (tests is None or c.test in tests) and c.model in models]
-    by_model: dict[str, list[Check]] = {}
+    row_wise: dict[str, list[Check]] = {}
+    by_column: dict[tuple[str, str], list[Check]] = {}
     for c in selected:
         if c.test in ("not_null", "between"):
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        parts.append(_row_wise(model, models[model], cs))
-    for c in selected:
-        df = models[c.model]
-        col = F.col(c.column)
-        if c.test == "unique":
-            f = (df.filter(col.isNotNull()).groupBy(col).count().filter(F.col("count") > 1)
-                 .agg(F.count(F.lit(1)).alias("failures")))
-        elif c.test == "accepted_values":
-            f = (df.filter(~col.isin(list(c.values))).select(col).distinct()
-                 .agg(F.count(F.lit(1)).alias("failures")))
-        elif c.test == "relationships":
-            # Child keys are counted first (partial aggregation: a hot key
-            # collapses map-side), then anti-joined with the parent keys; the
-            # failures are the child rows behind the orphan keys.
-            parent = models[c.parent].select(F.col(c.parent_column).alias("_pk")).distinct()
-            child = (df.select(col.alias("_fk")).filter(F.col("_fk").isNotNull())
-                     .groupBy("_fk").agg(F.count(F.lit(1)).alias("_n")))
-            f = (child.join(parent, F.col("_fk") == F.col("_pk"), "left_anti")
-                 .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures")))
+            row_wise.setdefault(c.model, []).append(c)
         else:
-            continue
-        parts.append(_one(c.model, c, f))
+            by_column.setdefault((c.model, c.column), []).append(c)
+    for model, cs in row_wise.items():
+        parts.append(_row_wise(model, models[model], cs))
+    for (model, column), cs in by_column.items():
+        parts.append(_by_value(models, model, column, cs))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("status", _status(F.col("failures"), F.col("severity")))
 
 
+def _by_value(models: dict[str, DataFrame], model: str, column: str, checks: list[Check]) -> DataFrame:
+    """Checks on the values of one column, from their counts: a hot value
+    collapses in the map tasks, and parents are joined once per value."""
+    counts = models[model].filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    failures = []
+    for i, c in enumerate(checks):
+        if c.test == "unique":
+            bad = F.count_if(F.col("_n") > 1)
+        elif c.test == "accepted_values":
+            bad = F.count_if(~F.col("_v").isin(list(c.values)))
+        else:
+            parent = models[c.parent].select(F.col(c.parent_column).alias("_v")).filter(
+                "_v IS NOT NULL").distinct().withColumn(f"_has{i}", F.lit(True))
+            counts = counts.join(parent, "_v", "left")
+            bad = F.coalesce(F.sum(F.when(F.col(f"_has{i}").isNull(), F.col("_n"))), F.lit(0))
+        failures.append(bad.cast("long").alias(f"c{i}"))
+    rows = F.array(*[F.struct(
+        F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(c.test).alias("test_name"),
+        F.col(f"c{i}").alias("failures"), F.lit(c.severity).alias("severity"))
+        for i, c in enumerate(checks)])
+    return counts.agg(*failures).select(F.inline(rows))
+
+
 def assert_max_speed(dim_track: DataFrame) -> DataFrame:
     return dim_track.filter(F.col("max_speed_kmh") > MAX_SPEED_KMH).select(
         "track_sk", "vehicle_type", "max_speed_kmh")
@@ -194,12 +200,47 @@ def gate(results: DataFrame) -> None:
         raise AssertionError(f"{len(bad)} data-quality check(s) failed: {bad[:5]}")
 
 
+HISTORY = ("model string, column_name string, test_name string, failures long, severity string, "
+           "status string, run_id string, checked_at timestamp_ntz")
+RUNS = ("run_id string, model string, status string, row_count long, started_at timestamp_ntz, "
+        "seconds double")
+
+
 def append_history(results: DataFrame, path: str, run_id: str,
                    at: dt.datetime | None = None) -> None:
     """Append check results to the run-history table."""
     at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    (results.withColumn("run_id", F.lit(run_id)).withColumn("checked_at", F.lit(at))
-     .write.mode("append").parquet(path))
+    (results.withColumn("run_id", F.lit(run_id))
+     .withColumn("checked_at", F.lit(at).cast("timestamp_ntz")).write.mode("append").parquet(path))
+
+
+class RunLog:
+    """Appends one row per model of a run: status, rows, start, seconds."""
+
+    def __init__(self, spark: SparkSession, path: str, run_id: str):
+        self.spark, self.path, self.run_id = spark, path, run_id
+
+    @contextlib.contextmanager
+    def model(self, name: str):
+        """Times a model's build; the caller sets ``entry["rows"]``."""
+        entry = {"rows": None}
+        began, t = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), time.monotonic()
+        status = "error"
+        try:
+            yield entry
+            status = "success"
+        finally:
+            row = (self.run_id, name, status, entry["rows"], began, time.monotonic() - t)
+            self.spark.createDataFrame([row], RUNS).write.mode("append").parquet(self.path)
+
+
+def run_history(spark: SparkSession, root: str) -> DataFrame:
+    """Model rows of all runs below ``root`` with the verdict of each run's gate."""
+    checks = spark.read.schema(HISTORY).parquet(f"{root}/_check_history").groupBy("run_id").agg(
+        F.count_if(F.col("status") == "fail").alias("failed_checks"),
+        F.count_if(F.col("status") == "warn").alias("warned_checks"))
+    return spark.read.schema(RUNS).parquet(f"{root}/_run_history").join(checks, "run_id", "left").withColumn(
+        "gate", F.when(F.col("failed_checks") == 0, "pass").when(F.col("failed_checks") > 0, "fail"))
 
 
 # ---------------------------------------------------------------------------

@@ -17,32 +17,13 @@ from pyspark.sql import functions as F
 # Frames per chunk.  Tracks in the source data have up to ~20,000 frames, so
 # a typical track is one to five chunks.
 DEFAULT_CHUNK = 4096
-# Largest group a single window task may take whole; beyond it the chunked
-# plan is used (see choose_chunk_size).
-PLAIN_WINDOW_MAX_ROWS = 5_000_000
-
-
-def choose_chunk_size(largest_group_rows: int | None,
-                      max_rows: int = PLAIN_WINDOW_MAX_ROWS) -> int | None:
-    """Plain window (None) when the largest group is known to fit one task,
-    else the chunked plan."""
-    if largest_group_rows is not None and largest_group_rows <= max_rows:
-        return None
-    return DEFAULT_CHUNK
 
 
 def with_predecessor(df: DataFrame, group_cols: list[str], order_col: str,
                      value_cols: list[str], prefix: str = "prev_",
-                     chunk_size: int | None = DEFAULT_CHUNK) -> DataFrame:
+                     chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the group in
-    ``order_col`` order (NULL on the first row), like ``lag(c)``.
-
-    ``chunk_size=None`` gives the plain single-window plan.
-    """
-    if chunk_size is None:
-        w = Window.partitionBy(*group_cols).orderBy(order_col)
-        return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in value_cols])
-
+    ``order_col`` order (NULL on the first row), like ``lag(c)``."""
     chunk = "_seq_chunk"
     keys = group_cols + [chunk]
     d = df.withColumn(chunk, F.floor(F.col(order_col) / F.lit(chunk_size)))

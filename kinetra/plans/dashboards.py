@@ -2,74 +2,74 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinetra.functions.quantiles import exact_percentiles
-from kinetra.operators.marts import broadcast_if_small, largest_type_rows, points_by_type
+from kinetra.functions.quantiles import percentiles_of_counts
+from kinetra.operators.marts import speeds_by_type
 from kinetra.session import materialize
 
 HISTOGRAM_BINS = 30
 TOP_N = 10
 SAMPLE_FRACTION = 0.01
-# Repeatable sample: rows whose key hash starts below this 2-hex-digit prefix
-# (3/256 of rows).
-SAMPLE_HASH_PREFIX = "03"
+# Histogram row of the speeds that are no number on the axis (NaN, infinities).
+NON_FINITE_BIN = -1
+# Eight hex digits of a key's hash are compared for the repeatable sample.
+HASH_DIGITS = 8
 
 
 def fleet_mix(dim_track: DataFrame, vehicle_types: DataFrame) -> DataFrame:
     """Tracks per vehicle type and share of all typed tracks."""
-    types = broadcast_if_small(vehicle_types)
-    counts = (dim_track.select("vehicle_type_sk").join(types, "vehicle_type_sk")
-              .groupBy("vehicle_type_name").agg(F.count(F.lit(1)).alias("track_count")))
+    per_key = dim_track.groupBy("vehicle_type_sk").agg(F.count(F.lit(1)).alias("n"))
+    counts = (per_key.join(vehicle_types, "vehicle_type_sk")
+              .groupBy("vehicle_type_name").agg(F.sum("n").alias("track_count")))
     # The window runs over the aggregated rows (one per type) only.
     total = F.sum("track_count").over(Window.partitionBy())
     return counts.select("vehicle_type_name", "track_count",
                          (F.col("track_count") / total).alias("share"))
 
 
-def speed_box_by_type(fct: DataFrame, dim_track: DataFrame, vehicle_types: DataFrame,
-                      percentile_strategy: str = "auto") -> DataFrame:
-    """Box plot per type: quartiles, Tukey whiskers (1.5 IQR), outlier count."""
-    j = points_by_type(fct, dim_track, vehicle_types, ["speed_kmh"]).filter(
-        F.col("speed_kmh").isNotNull())
-    q = exact_percentiles(j, ["vehicle_type_name"], "speed_kmh",
-                          {"q1": 0.25, "median": 0.5, "q3": 0.75}, strategy=percentile_strategy,
-                          largest_group_rows=(largest_type_rows(dim_track)
-                                              if percentile_strategy == "auto" else None))
-    # One row per type: written once, so the size check and the whisker pass
-    # read it instead of recomputing the quartiles over the fact.
+def speed_box_by_type(fct: DataFrame, dim_track: DataFrame, vehicle_types: DataFrame) -> DataFrame:
+    """Box plot per type: quartiles, Tukey whiskers (1.5 IQR), outlier count,
+    all from the speed counts of the types."""
+    counts = speeds_by_type(fct, dim_track, vehicle_types).filter("_v IS NOT NULL")
+    by_name = ["vehicle_type_name"]
+    q = percentiles_of_counts(counts, by_name, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     q = materialize(q.select("*", (F.col("q3") - F.col("q1")).alias("iqr")), "box-quartiles")
     lo = F.col("q1") - 1.5 * F.col("iqr")
     hi = F.col("q3") + 1.5 * F.col("iqr")
-    s = F.col("speed_kmh")
-    inside = (s >= lo) & (s <= hi)
-    stats = j.join(broadcast_if_small(q), "vehicle_type_name").groupBy(
-        "vehicle_type_name", "q1", "median", "q3", "iqr").agg(
-        F.min(F.when(inside, s)).alias("lower_whisker"),
-        F.max(F.when(inside, s)).alias("upper_whisker"),
-        F.count_if(~inside).alias("outlier_count"),
-        F.count(F.lit(1)).alias("observation_count"))
-    return stats
+    v, c = F.col("_v"), F.col("_c")
+    inside = (v >= lo) & (v <= hi)
+    return counts.join(q, by_name).groupBy(*by_name, "q1", "median", "q3", "iqr").agg(
+        F.min(F.when(inside, v)).alias("lower_whisker"),
+        F.max(F.when(inside, v)).alias("upper_whisker"),
+        F.sum(F.when(~inside, c).otherwise(0)).alias("outlier_count"),
+        F.sum(c).alias("observation_count"))
 
 
 def speed_histogram(fct: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Equal-width bins between min and max speed; the max lands in the last
-    bin.  The bounds come from one small aggregate (two numbers to the
-    driver) and enter the binning pass as literals: two passes over the fact,
-    no join.  (A scalar subquery here was planned once per use.)"""
-    s = fct.select("speed_kmh").filter(F.col("speed_kmh").isNotNull())
-    b_lo, b_hi = s.agg(F.min("speed_kmh"), F.max("speed_kmh")).first()
-    if b_lo is None:
-        return s.sparkSession.createDataFrame(
-            [], "bin int, bin_lower double, bin_upper double, point_count long")
-    lo, hi = F.lit(float(b_lo)), F.lit(float(b_hi))
+    """Equal-width bins between the least and greatest finite speed; the
+    greatest lands in the last bin.  NaN and infinite speeds are counted in a
+    row of their own (bin -1, no bounds), NULL speeds not at all.
+
+    Speeds are counted first, so the fact is read once; the bounds are two
+    numbers on the driver."""
+    s = materialize(fct.filter(F.col("speed_kmh").isNotNull()).groupBy("speed_kmh").agg(
+        F.count(F.lit(1)).alias("n")), "speed-counts")
+    v = F.col("speed_kmh")
+    finite = ~F.isnan(v) & (F.abs(v) < float("inf"))
+    b_lo, b_hi = s.filter(finite).agg(F.min(v), F.max(v)).first()
+    lo, hi = F.lit(b_lo).cast("double"), F.lit(b_hi).cast("double")
     width = (hi - lo) / F.lit(float(bins))
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("speed_kmh") - lo) / width), F.lit(bins - 1))).cast("int")
-    counts = s.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("point_count"))
-    return counts.select("bin", (lo + F.col("bin") * width).alias("bin_lower"),
-                         (lo + (F.col("bin") + 1) * width).alias("bin_upper"), "point_count")
+    b = F.when(~finite, F.lit(NON_FINITE_BIN)).when(width == 0, F.lit(0)).otherwise(
+        F.least(F.floor((v - lo) / width), F.lit(bins - 1))).cast("int")
+    counts = s.groupBy(b.alias("bin")).agg(F.sum("n").alias("point_count"))
+    on_axis = F.col("bin") != NON_FINITE_BIN
+    return counts.select("bin", F.when(on_axis, lo + F.col("bin") * width).alias("bin_lower"),
+                         F.when(on_axis, lo + (F.col("bin") + 1) * width).alias("bin_upper"),
+                         "point_count")
 
 
 def density_grid(fct: DataFrame) -> DataFrame:
@@ -79,15 +79,16 @@ def density_grid(fct: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("point_count"))
 
 
-def density_pivot(fct: DataFrame) -> DataFrame:
-    """Heat-map layout: one row per 0.01-degree latitude cell, one column per
-    0.01-degree longitude cell (column name lon_<degrees>), point counts."""
-    cells = fct.select(
-        (F.floor(F.col("latitude") * 100) / 100).alias("lat_cell"),
-        F.concat(F.lit("lon_"), F.format_string("%.2f", F.floor(F.col("longitude") * 100) / 100))
-        .alias("lon_cell"))
-    long_form = cells.groupBy("lat_cell", "lon_cell").agg(F.count(F.lit(1)).alias("n"))
-    return long_form.groupBy("lat_cell").pivot("lon_cell").agg(F.sum("n"))
+def density_pivot(fct: DataFrame, lon_bins: list[str]) -> DataFrame:
+    """Heat-map layout of the 4-decimal grid: one row per latitude cell, one
+    column per longitude cell of ``lon_bins`` (decimal text; column name
+    lon_<degrees>), and the row's points in all cells.  The axis is stated by
+    the caller, so that a chart keeps its columns whatever the data holds."""
+    grid = density_grid(fct).withColumn("lon", F.format_string("%.4f", "lon_bin"))
+    wide = grid.groupBy("lat_bin").pivot("lon", lon_bins).agg(F.sum("point_count"))
+    totals = grid.groupBy("lat_bin").agg(F.sum("point_count").alias("all_points"))
+    return wide.join(totals, "lat_bin").select(
+        "lat_bin", "all_points", *[F.col(f"`{b}`").alias(f"lon_{b}") for b in lon_bins])
 
 
 def longest_tracks(dim_track: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -100,11 +101,13 @@ def longest_tracks(dim_track: DataFrame, n: int = TOP_N) -> DataFrame:
 
 def accel_sample(fct: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = 42) -> DataFrame:
     """Bernoulli sample of the acceleration pairs (scatter plot)."""
-    return fct.select("lon_acceleration_ms2", "lat_acceleration_ms2").sample(
+    return fct.select("trajectory_point_sk", "lon_acceleration_ms2", "lat_acceleration_ms2").sample(
         withReplacement=False, fraction=fraction, seed=seed)
 
 
-def accel_sample_hash(fct: DataFrame, prefix: str = SAMPLE_HASH_PREFIX) -> DataFrame:
-    """Repeatable sample: keep rows whose md5(key) starts below ``prefix``."""
-    return fct.filter(F.substring(F.md5("trajectory_point_sk"), 1, len(prefix)) < prefix).select(
+def accel_sample_hash(fct: DataFrame, fraction: float = SAMPLE_FRACTION) -> DataFrame:
+    """Repeatable sample: rows whose key hash, read as a number of eight hex
+    digits, lies below ``fraction`` of its range."""
+    below = f"{math.ceil(fraction * 16 ** HASH_DIGITS):0{HASH_DIGITS}x}"
+    return fct.filter(F.substring(F.md5("trajectory_point_sk"), 1, HASH_DIGITS) < below).select(
         "trajectory_point_sk", "lon_acceleration_ms2", "lat_acceleration_ms2")

@@ -10,6 +10,7 @@ results compare exactly with the DuckDB oracle.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,9 +20,9 @@ from kinetra.functions.columns import surrogate_key
 from kinetra.operators import incremental, load, marts, quality
 from kinetra.operators.load import first_wins
 from kinetra.plans import dashboards
-from kinetra.plans.warehouse import Warehouse
+from kinetra.plans.warehouse import Warehouse, run_transform
 from kinetra.schemas import POINT_KEY, TRACK_KEY
-from kinetra.session import for_partitioned_write, scratch_path
+from kinetra.session import replace_table, scratch_path
 from kinetra.sources import ragged, testdata
 from kinetra.streaming import ingest
 
@@ -30,6 +31,8 @@ RAGGED_LOADED_AT = "2024-01-01 00:00:00"
 INCREMENTAL_SPLIT = "2024-01-20 00:00:00"   # old fact = frames loaded before
 FRESHNESS_AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
 DELETED_FILE = "ragged_000.csv"
+# Longitude axis of the density pivot: the 4-decimal cells of the recording area.
+PIVOT_LON_BINS = [f"{23.7 + i / 10000:.4f}" for i in range(0, 1001)]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,9 +67,9 @@ def ragged_wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(t, p)
 
 
-def fact_view(fct: DataFrame, distance_decimals: int = 6) -> DataFrame:
-    return fct.select(*[F.round(c, distance_decimals).alias(c) if c == "delta_distance_m"
-                        else F.col(c) for c in marts.FACT_COLUMNS])
+def fact_view(fct: DataFrame) -> DataFrame:
+    return fct.select(*[r6(c).alias(c) if c == "delta_distance_m" else F.col(c)
+                        for c in marts.FACT_COLUMNS])
 
 
 TRACK_OUT = ["source_file", "track_id", "vehicle_type", "traveled_d", "avg_speed"]
@@ -198,14 +201,12 @@ def q_agg_speed_by_type(spark, sf_dir):
     return _agg_view(events_wh(spark, sf_dir).agg_speed_by_vehicle_type)
 
 
-def q_agg_speed_by_type_distributed(spark, sf_dir):
-    w = Warehouse.from_events(spark, sf_dir, percentile_strategy="distributed")
-    return _agg_view(w.agg_speed_by_vehicle_type)
-
-
 def q_agg_speed_approx(spark, sf_dir):
+    """Whether the sketch's percentiles keep their promised rank error."""
     w = events_wh(spark, sf_dir)
-    return marts.agg_speed_approx(w.fct_points, w.dim_track, w.dim_vehicle_type)
+    approx = marts.agg_speed_approx(w.fct_points, w.dim_track, w.dim_vehicle_type)
+    speeds = marts.speeds_by_type(w.fct_points, w.dim_track, w.dim_vehicle_type)
+    return marts.approx_rank_errors(approx, speeds)
 
 
 # ---------------------------------------------------------------------------
@@ -220,77 +221,70 @@ def _old_fact_table(spark, sf_dir, drop: list[str] = (), extra: dict | None = No
         fct = fct.withColumn(c, v)
     fct = fct.drop(*drop)
     path = scratch_path(spark, "fact") + "/fct_trajectory_points"
-    for_partitioned_write(fct).write.partitionBy("source_file").parquet(path)
+    replace_table(fct, path, "source_file")
     return path, w
 
 
+def _new_rows(spark, path: str, w: Warehouse) -> DataFrame:
+    mark = incremental.high_water_mark(incremental.read_table(spark, path))
+    return incremental.new_fact_rows(w.stg_points, mark)
+
+
 def q_incremental_new_rows(spark, sf_dir):
     path, w = _old_fact_table(spark, sf_dir)
-    mark = incremental.high_water_mark(spark.read.parquet(path))
-    return fact_view(incremental.new_fact_rows(w.stg_points, mark, w.resolved_chunk_size))
+    return fact_view(_new_rows(spark, path, w))
 
 
 def q_incremental_new_rows_by_key(spark, sf_dir):
     path, w = _old_fact_table(spark, sf_dir)
-    return fact_view(incremental.new_fact_rows_by_key(w.stg_points, spark.read.parquet(path),
-                                                      w.resolved_chunk_size))
+    return fact_view(incremental.new_fact_rows_by_key(w.stg_points, incremental.read_table(spark, path)))
 
 
 def q_fact_merge(spark, sf_dir):
+    """New rows, and old rows of some tracks changed: another acceleration and
+    a speed that becomes NULL."""
     path, w = _old_fact_table(spark, sf_dir)
-    mark = incremental.high_water_mark(spark.read.parquet(path))
-    incremental.merge_into(spark, path, incremental.new_fact_rows(w.stg_points, mark, w.resolved_chunk_size))
-    return fact_view(spark.read.parquet(path))
+    old = incremental.read_table(spark, path)
+    changed = old.filter(F.col("track_id") % 10 == 3).withColumn(
+        "speed_kmh", F.lit(None).cast("double")).withColumn(
+        "lon_acceleration_ms2", F.col("lon_acceleration_ms2") + 1)
+    incremental.merge_into(spark, path, _new_rows(spark, path, w).unionByName(changed))
+    return fact_view(incremental.read_table(spark, path))
 
 
 def q_fact_schema_sync(spark, sf_dir):
     # The stored fact predates speed_bucket and still carries a legacy column.
     path, w = _old_fact_table(spark, sf_dir, drop=["speed_bucket"],
                               extra={"legacy_flag": F.lit(True)})
-    mark = incremental.high_water_mark(spark.read.parquet(path))
-    incremental.merge_into(spark, path, incremental.new_fact_rows(w.stg_points, mark, w.resolved_chunk_size))
-    return fact_view(spark.read.parquet(path))
+    incremental.merge_into(spark, path, _new_rows(spark, path, w))
+    return fact_view(incremental.read_table(spark, path))
 
 
 # ---------------------------------------------------------------------------
 # K. data quality (over the ragged warehouse: it has real violations)
 
-def _dq_models(w: Warehouse) -> dict[str, DataFrame]:
-    return {
-        "raw_tracks": w.raw_tracks, "raw_trajectory_points": w.raw_points,
-        "stg_tracks": w.stg_tracks, "stg_points": w.stg_points,
-        "points_with_deltas": w.points_with_deltas, "track_kinematics": w.track_kinematics,
-        "dim_vehicle_type": w.dim_vehicle_type, "dim_track": w.dim_track,
-        "fct_trajectory_points": w.fct_points,
-        "agg_speed_by_vehicle_type": w.agg_speed_by_vehicle_type,
-    }
-
-
-_BUILT: dict[tuple, tuple[str, Warehouse]] = {}
-
-
-def built_ragged_wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The transform run as deployed: raw tables and table models written
-    first, checks afterwards over the written tables (checks run after all
-    models, and each check reads stored tables instead of re-parsing text).
-    Built once per session and input folder; later keys reuse the tables."""
-    from kinetra.session import path_exists
-    key = (id(spark.sparkContext), sf_dir)
-    if key in _BUILT and path_exists(spark, _BUILT[key][0] + "/agg_speed_by_vehicle_type"):
-        return _BUILT[key][1]
+def flawed(tracks: DataFrame, points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The raw layer as a faulty loader might leave it: some tracks twice, some
+    missing (orphan frames), some first frames twice, some types missing."""
+    k = F.col("track_id")
+    tracks = tracks.filter(k % 70 != 3).withColumn(
+        "vehicle_type", F.when(k % 30 != 4, F.col("vehicle_type")))
+    return (tracks.unionByName(tracks.filter(k % 40 == 1)),
+            points.unionByName(points.filter((k % 60 == 2) & (F.col("frame_idx") == 0))))
+
+
+def flawed_ragged_wh(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The transform run as deployed, over the flawed raw layer: raw tables
+    and table models written first, checks afterwards over what is stored."""
     root = scratch_path(spark, "warehouse")
-    t, p = ragged_raw(spark, sf_dir)
-    t.write.parquet(root + "/raw_tracks")
-    p.write.parquet(root + "/raw_trajectory_points")
-    w = Warehouse(spark.read.parquet(root + "/raw_tracks"),
-                  spark.read.parquet(root + "/raw_trajectory_points")).materialize(root)
-    _BUILT[key] = (root, w)
-    return w
+    t, p = flawed(*ragged_raw(spark, sf_dir))
+    return Warehouse(replace_table(t, root + "/raw_tracks", "source_file"),
+                     replace_table(p, root + "/raw_trajectory_points", "source_file")).materialize(root)
 
 
 def _dq(tests: set[str] | None):
     def run(spark, sf_dir):
-        return quality.evaluate(_dq_models(built_ragged_wh(spark, sf_dir)), tests=tests)
+        return quality.evaluate(flawed_ragged_wh(spark, sf_dir).models(), tests=tests)
     return run
 
 
@@ -300,16 +294,28 @@ def q_dq_max_speed(spark, sf_dir):
 
 
 def q_dq_negative_distance(spark, sf_dir):
-    return quality.assert_no_negative_distance(built_ragged_wh(spark, sf_dir).fct_points).select(
+    # A distance is never negative by itself: some are planted.
+    fct = events_wh(spark, sf_dir).fct_points.withColumn("delta_distance_m", F.when(
+        F.col("frame_idx") % 50 == 7, -F.col("delta_distance_m")).otherwise(F.col("delta_distance_m")))
+    return quality.assert_no_negative_distance(fct).select(
         "trajectory_point_sk", "track_sk", r6("delta_distance_m").alias("delta_distance_m"))
 
 
 def q_dq_report(spark, sf_dir):
-    w = built_ragged_wh(spark, sf_dir)
-    return quality.evaluate(_dq_models(w)).unionByName(
+    w = flawed_ragged_wh(spark, sf_dir)
+    return quality.evaluate(w.models()).unionByName(
         quality.singular_results(w.dim_track, w.fct_points))
 
 
+def q_run_history(spark, sf_dir):
+    """Model rows and gate verdict of one transform run over loaded files."""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "run")
+    at = dt.datetime.fromisoformat(RAGGED_LOADED_AT)
+    load.load_batch(ragged_batch(spark, sf_dir), raw, mode="permissive", loaded_at=at)
+    run_transform(spark, raw, out, "run-1", as_of=at + dt.timedelta(hours=1), gate=False)
+    return quality.run_history(spark, out).select("run_id", "model", "status", "row_count", "gate")
+
+
 def q_freshness(spark, sf_dir):
     w = events_wh(spark, sf_dir)
     return quality.freshness({"tracks": w.raw_tracks, "trajectory_points": w.raw_points},
@@ -327,8 +333,7 @@ def q_fleet_mix(spark, sf_dir):
 
 def q_speed_box_by_type(spark, sf_dir):
     w = events_wh(spark, sf_dir)
-    b = dashboards.speed_box_by_type(w.fct_points, w.dim_track, w.dim_vehicle_type,
-                                     percentile_strategy=w.resolved_percentile_strategy)
+    b = dashboards.speed_box_by_type(w.fct_points, w.dim_track, w.dim_vehicle_type)
     return b.select("vehicle_type_name", *[r6(c).alias(c) for c in
                                            ["q1", "median", "q3", "iqr", "lower_whisker",
                                             "upper_whisker"]],
@@ -336,7 +341,11 @@ def q_speed_box_by_type(spark, sf_dir):
 
 
 def q_speed_histogram(spark, sf_dir):
-    h = dashboards.speed_histogram(events_wh(spark, sf_dir).fct_points)
+    # some speeds are made NaN, infinite or NULL
+    i = F.col("frame_idx")
+    fct = events_wh(spark, sf_dir).fct_points.withColumn("speed_kmh", F.when(
+        i % 31 == 5, float("nan")).when(i % 37 == 5, float("inf")).when(i % 41 != 5, F.col("speed_kmh")))
+    h = dashboards.speed_histogram(fct)
     return h.select("bin", r6("bin_lower").alias("bin_lower"), r6("bin_upper").alias("bin_upper"),
                     "point_count")
 
@@ -346,7 +355,7 @@ def q_density_grid(spark, sf_dir):
 
 
 def q_density_pivot(spark, sf_dir):
-    return dashboards.density_pivot(events_wh(spark, sf_dir).fct_points)
+    return dashboards.density_pivot(events_wh(spark, sf_dir).fct_points, PIVOT_LON_BINS)
 
 
 def q_longest_tracks(spark, sf_dir):
@@ -354,7 +363,18 @@ def q_longest_tracks(spark, sf_dir):
 
 
 def q_accel_sample(spark, sf_dir):
-    return dashboards.accel_sample(events_wh(spark, sf_dir).fct_points)
+    """One row: whether every sampled row is a row of the fact and the sample's
+    size lies within six deviations of the expected one."""
+    fct = events_wh(spark, sf_dir).fct_points
+    n = fct.count()
+    cols = ["trajectory_point_sk", "lon_acceleration_ms2", "lat_acceleration_ms2"]
+    sample = dashboards.accel_sample(fct)
+    member = sample.join(fct.select(*cols, F.lit(1).alias("hit")), cols, "left").agg(
+        F.count(F.lit(1)).alias("k"), F.count_if(F.col("hit").isNull()).alias("strangers"))
+    f = dashboards.SAMPLE_FRACTION
+    return member.select(
+        (F.col("strangers") == 0).alias("all_members"),
+        (F.abs(F.col("k") - f * n) <= 6 * math.sqrt(f * (1 - f) * n) + 1).alias("size_ok"))
 
 
 def q_accel_sample_hash(spark, sf_dir):
@@ -368,7 +388,8 @@ def _stream_load(spark, sf_dir, refresh_fact: bool) -> str:
     folder = testdata.write_ragged_fixture(spark, sf_dir)
     root = scratch_path(spark, "stream-raw")
     ingest.run_ragged_ingest(spark, folder, root, checkpoint=root + "/_checkpoint",
-                             glob="ragged_*.csv", refresh_fact=refresh_fact)
+                             glob="ragged_*.csv", refresh_fact=refresh_fact,
+                             loaded_at=dt.datetime.fromisoformat(RAGGED_LOADED_AT))
     return root
 
 
@@ -379,11 +400,8 @@ def q_stream_ragged_load(spark, sf_dir):
 
 def q_stream_fact_refresh(spark, sf_dir):
     root = _stream_load(spark, sf_dir, refresh_fact=True)
-    f = spark.read.parquet(root + "/fct_trajectory_points")
-    # The ragged coordinates are far outside real latitudes (hundreds of
-    # degrees), where JVM and C trigonometry differ in the last digits of a
-    # million-metre distance: compare whole metres.
-    return fact_view(f, distance_decimals=0).drop("loaded_at")
+    f = incremental.read_table(spark, root + "/fct_trajectory_points")
+    return fact_view(f).withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
 
 
 QUERIES: dict[str, Query] = {
@@ -405,7 +423,6 @@ QUERIES: dict[str, Query] = {
     "dim_track": q_dim_track,
     "fct_points": q_fct_points,
     "agg_speed_by_type": q_agg_speed_by_type,
-    "agg_speed_by_type_distributed": q_agg_speed_by_type_distributed,
     "agg_speed_approx": q_agg_speed_approx,
     "incremental_new_rows": q_incremental_new_rows,
     "incremental_new_rows_by_key": q_incremental_new_rows_by_key,
@@ -419,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "dq_max_speed": q_dq_max_speed,
     "dq_negative_distance": q_dq_negative_distance,
     "dq_report": q_dq_report,
+    "run_history": q_run_history,
     "freshness": q_freshness,
     "fleet_mix": q_fleet_mix,
     "speed_box_by_type": q_speed_box_by_type,

@@ -2,21 +2,23 @@
 
 Each model is a lazily built DataFrame; Catalyst composes them (ephemeral
 models are simply inlined).  ``materialize`` writes the table-materialised
-models (kinematics, dims, fact, aggregate) as Parquet, each to a fresh
-folder, and returns readers on the written tables, which also cuts lineage.
+models (kinematics, dims, fact, aggregate) as Parquet, each to a fresh folder
+that then takes the old one's place, and returns readers on the written
+tables, which also cuts lineage.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.operators import marts, staging, trajectory
-from kinetra.operators.sequence import choose_chunk_size
-from kinetra.session import for_partitioned_write
+from kinetra.operators import incremental, load, marts, quality, staging, trajectory
+from kinetra.operators.sequence import DEFAULT_CHUNK
+from kinetra.session import materialize, replace_table
 from kinetra.sources import testdata
 
 
@@ -24,8 +26,7 @@ from kinetra.sources import testdata
 class Warehouse:
     raw_tracks: DataFrame
     raw_points: DataFrame
-    chunk_size: int | None | str = "auto"
-    percentile_strategy: str = "auto"
+    chunk_size: int = DEFAULT_CHUNK
     _tables: dict = field(default_factory=dict)
 
     @classmethod
@@ -44,34 +45,7 @@ class Warehouse:
     # intermediate
     @cached_property
     def points_with_deltas(self) -> DataFrame:
-        return trajectory.points_with_deltas(self.stg_points, chunk_size=self.resolved_chunk_size)
-
-    @cached_property
-    def total_points(self) -> int:
-        """Frames in the raw table: an upper bound for any track or type
-        (answered from Parquet footers when the raw table is stored)."""
-        return self.raw_points.count()
-
-    @cached_property
-    def resolved_chunk_size(self) -> int | None:
-        """``auto``: one task takes a whole track only when the largest track
-        is provably small -- first bounded by the total frame count, else
-        measured on the per-track counts (the kinematics table)."""
-        if self.chunk_size != "auto":
-            return self.chunk_size
-        if choose_chunk_size(self.total_points) is None:
-            return None
-        largest = self.track_kinematics.agg(F.max("point_count")).first()[0]
-        return choose_chunk_size(largest)
-
-    @cached_property
-    def resolved_percentile_strategy(self) -> str:
-        """``auto``: the single-buffer exact percentile when the total frame
-        count already bounds every type below the buffer limit."""
-        from kinetra.functions.quantiles import choose_strategy
-        if self.percentile_strategy != "auto":
-            return self.percentile_strategy
-        return "single" if choose_strategy(self.total_points) == "single" else "auto"
+        return trajectory.points_with_deltas(self.stg_points, chunk_size=self.chunk_size)
 
     @cached_property
     def track_kinematics(self) -> DataFrame:
@@ -104,13 +78,14 @@ class Warehouse:
         if "agg_speed_by_vehicle_type" in self._tables:
             return self._tables["agg_speed_by_vehicle_type"]
         return marts.agg_speed_by_vehicle_type(
-            self.fct_points, self.dim_track, self.dim_vehicle_type,
-            percentile_strategy=self.resolved_percentile_strategy)
+            self.fct_points, self.dim_track, self.dim_vehicle_type)
 
     def register_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
         """Expose the layers to ``spark.sql`` as temp views (lazy: a view is
         its plan, so SQL over it is optimised together with the model)."""
         views = {
+            "tracks": self.raw_tracks,
+            "trajectory_points": self.raw_points,
             "stg_tracks": self.stg_tracks,
             "stg_trajectory_points": self.stg_points,
             "int_points_with_deltas": self.points_with_deltas,
@@ -124,33 +99,38 @@ class Warehouse:
             df.createOrReplaceTempView(prefix + name)
         return [prefix + n for n in views]
 
+    def with_table(self, name: str, table: DataFrame) -> "Warehouse":
+        """This warehouse with one model read from a written table."""
+        return Warehouse(self.raw_tracks, self.raw_points, self.chunk_size,
+                         {**self._tables, name: table})
+
     def materialize(self, root: str) -> "Warehouse":
-        """Write the table models below ``root`` (overwrite = full rebuild)
-        and return a warehouse whose models read the written tables."""
-        spark = self.raw_points.sparkSession
-        done: dict[str, DataFrame] = {}
-        order = [
-            ("track_kinematics", lambda w: w.track_kinematics),
-            ("dim_vehicle_type", lambda w: w.dim_vehicle_type),
-            ("dim_track", lambda w: w.dim_track),
-            ("fct_trajectory_points", lambda w: w.fct_points),
-            ("agg_speed_by_vehicle_type", lambda w: w.agg_speed_by_vehicle_type),
-        ]
-        cur = self
-        for name, get in order:
-            path = f"{root}/{name}"
-            df = get(cur)
-            if name == "fct_trajectory_points":
-                # the fact grows with the data: partitioned like the raw tables
-                (for_partitioned_write(df).write.mode("overwrite")
-                 .partitionBy("source_file").parquet(path))
-                done[name] = spark.read.parquet(path).select(*df.columns)
-            else:
-                df.write.mode("overwrite").parquet(path)
-                done[name] = spark.read.parquet(path)
-            cur = Warehouse(self.raw_tracks, self.raw_points, self.chunk_size,
-                            self.percentile_strategy, dict(done))
-        return cur
+        """Rebuild the table models below ``root`` (each written beside the
+        old table, then swapped) and return a warehouse that reads them."""
+        w = self
+        for name in TABLE_MODELS:
+            w = w.with_table(name, replace_table(MODEL[name](w), f"{root}/{name}", PARTITIONED.get(name)))
+        return w
+
+    def models(self) -> dict[str, DataFrame]:
+        """Every model the declared checks name."""
+        return {"raw_tracks": self.raw_tracks, "raw_trajectory_points": self.raw_points,
+                "stg_tracks": self.stg_tracks, "stg_points": self.stg_points,
+                "points_with_deltas": self.points_with_deltas,
+                **{name: MODEL[name](self) for name in TABLE_MODELS}}
+
+
+#: Models that are written, in the order of their dependence.
+MODEL = {
+    "track_kinematics": lambda w: w.track_kinematics,
+    "dim_vehicle_type": lambda w: w.dim_vehicle_type,
+    "dim_track": lambda w: w.dim_track,
+    "fct_trajectory_points": lambda w: w.fct_points,
+    "agg_speed_by_vehicle_type": lambda w: w.agg_speed_by_vehicle_type,
+}
+TABLE_MODELS = list(MODEL)
+#: The fact grows with the data: partitioned like the raw tables.
+PARTITIONED = {"fct_trajectory_points": "source_file"}
 
 
 def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_id: str,
@@ -158,16 +138,13 @@ def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_id: str
     """One transform run over the raw tables below ``raw_root``:
 
     1. source freshness of both raw tables (an ``error`` stops the run);
-    2. table models rebuilt below ``out_root`` (full overwrite), except the
-       fact, which is merged incrementally (new frames only: after the
+    2. table models rebuilt below ``out_root`` (new folder, then swap), except
+       the fact, which is merged incrementally (new frames only: after the
        high-water mark, or with ``new_rows="keys"`` every missing key);
     3. all declared checks and the two assertions, after every write;
-    4. results appended to the run history; error-level failures raise.
+    4. models (status, rows, start, seconds) and check results appended to the
+       run history; error-level failures raise.
     Returns (warehouse, check results)."""
-    import datetime as dt
-
-    from kinetra.operators import incremental, load, quality
-
     tracks = load.read_raw(spark, raw_root, "tracks")
     points = load.read_raw(spark, raw_root, "trajectory_points")
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -177,40 +154,29 @@ def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_id: str
         raise RuntimeError(f"source freshness error for {stale}; transform not run")
 
     w = Warehouse(tracks, points)
-    done: dict[str, DataFrame] = {}
-    for name, get in [("track_kinematics", lambda x: x.track_kinematics),
-                      ("dim_vehicle_type", lambda x: x.dim_vehicle_type),
-                      ("dim_track", lambda x: x.dim_track)]:
-        get(w).write.mode("overwrite").parquet(f"{out_root}/{name}")
-        done[name] = spark.read.parquet(f"{out_root}/{name}")
-        w = Warehouse(tracks, points, w.chunk_size, w.percentile_strategy, dict(done))
-    fact_path = f"{out_root}/fct_trajectory_points"
-    from kinetra.session import path_exists
-    fact = spark.read.parquet(fact_path) if path_exists(spark, fact_path) else None
-    if new_rows == "keys":  # safe mode: by missing key, not by load time
-        new = incremental.new_fact_rows_by_key(w.stg_points, fact, w.resolved_chunk_size)
-    else:
-        new = incremental.new_fact_rows(w.stg_points, incremental.high_water_mark(fact),
-                                        w.resolved_chunk_size)
-    incremental.merge_into(spark, fact_path, new)
-    done["fct_trajectory_points"] = spark.read.parquet(fact_path)
-    w = Warehouse(tracks, points, w.chunk_size, w.percentile_strategy, dict(done))
-    w.agg_speed_by_vehicle_type.write.mode("overwrite").parquet(f"{out_root}/agg_speed_by_vehicle_type")
-    done["agg_speed_by_vehicle_type"] = spark.read.parquet(f"{out_root}/agg_speed_by_vehicle_type")
-    w = Warehouse(tracks, points, w.chunk_size, w.percentile_strategy, dict(done))
-
-    models = {
-        "raw_tracks": tracks, "raw_trajectory_points": points,
-        "stg_tracks": w.stg_tracks, "stg_points": w.stg_points,
-        "points_with_deltas": w.points_with_deltas, "track_kinematics": w.track_kinematics,
-        "dim_vehicle_type": w.dim_vehicle_type, "dim_track": w.dim_track,
-        "fct_trajectory_points": w.fct_points,
-        "agg_speed_by_vehicle_type": w.agg_speed_by_vehicle_type,
-    }
-    results = quality.evaluate(models).unionByName(quality.singular_results(w.dim_track, w.fct_points))
-    hist = f"{out_root}/_check_history"
-    quality.append_history(results, hist, run_id)
-    stored = spark.read.parquet(hist).filter(F.col("run_id") == run_id)
+    log = quality.RunLog(spark, f"{out_root}/_run_history", run_id)
+    for name in TABLE_MODELS:
+        path = f"{out_root}/{name}"
+        with log.model(name) as entry:
+            if name == "fct_trajectory_points":
+                fact = incremental.read_table(spark, path)
+                if new_rows == "keys":  # safe mode: by missing key, not by load time
+                    new = incremental.new_fact_rows_by_key(w.stg_points, fact, w.chunk_size)
+                else:
+                    new = incremental.new_fact_rows(w.stg_points, incremental.high_water_mark(fact),
+                                                    w.chunk_size)
+                incremental.merge_into(spark, path, new)
+                table = incremental.read_table(spark, path)
+            else:
+                table = replace_table(MODEL[name](w), path)
+            entry["rows"] = table.count()      # from the files' footers
+        w = w.with_table(name, table)
+
+    results = materialize(quality.evaluate(w.models()).unionByName(
+        quality.singular_results(w.dim_track, w.fct_points)), "check-results")
+    quality.append_history(results, f"{out_root}/_check_history", run_id)
+    stored = spark.read.schema(quality.HISTORY).parquet(f"{out_root}/_check_history").filter(
+        F.col("run_id") == run_id)
     if gate:
         quality.gate(stored)
     return w, stored

@@ -23,6 +23,18 @@ TRAJECTORY_POINTS = T.StructType(
     + [T.StructField("loaded_at", T.TimestampType(), False)]
 )
 
+# Rejected lines, equal lines of a file once with their number.
+REJECTS = T.StructType([
+    T.StructField("source_file", T.StringType(), False),
+    T.StructField("line", T.StringType(), True),
+    T.StructField("first_field", T.StringType(), True),
+    T.StructField("n_fields", T.IntegerType(), True),
+    T.StructField("reject_reason", T.StringType(), True),
+    T.StructField("n_lines", T.LongType(), True),
+    T.StructField("loaded_at", T.TimestampType(), False),
+])
+REJECT_KEY = ["source_file", "line"]
+
 TRACK_KEY = ["source_file", "track_id"]
 POINT_KEY = ["source_file", "track_id", "frame_idx"]
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -48,13 +47,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the deployment sets it to a shared file system; only when it
-    is unset (local tests) do we create one of our own.
+    On a cluster the deployment sets it to a shared file system; without it
+    every executor would write its own disk, so that is an error.  Only a
+    local master (one machine, as in tests) gets a folder of our own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
         d = tempfile.mkdtemp(prefix="kinetra-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -85,27 +88,65 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/kinetra/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def _hadoop_path(spark: SparkSession, path: str):
+    """(file system of the path, path): the default file system of the
+    cluster decides what a path without scheme means."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    if is_local_path(path):
-        return os.path.exists(local_os_path(path))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _hadoop_path(spark, path)
     return bool(fs.exists(p))
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a staging folder this library created (Hadoop FS, any scheme)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Delete a folder this library created (any file system)."""
+    fs, p = _hadoop_path(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def read_text_file(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None where there is none."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_file(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _hadoop_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def replace_table(df, path: str, partition_col: str | None = None):
+    """Rebuild a Parquet table: write a new folder beside it, then swap the
+    folders.  The old table is readable until the new one is complete, and a
+    failed write leaves it as it was.  Returns a reader with ``df``'s schema."""
+    spark = df.sparkSession
+    new, old = (f"{path.rstrip('/')}.{word}-{uuid.uuid4().hex[:8]}" for word in ("new", "old"))
+    if partition_col:
+        for_partitioned_write(df, partition_col).write.partitionBy(partition_col).parquet(new)
+    else:
+        df.write.parquet(new)
+    fs, p = _hadoop_path(spark, path)
+    to_old, from_new = (_hadoop_path(spark, x)[1] for x in (old, new))
+    had = fs.exists(p)
+    if had:
+        fs.rename(p, to_old)
+    if not fs.rename(from_new, p):
+        if had:
+            fs.rename(to_old, p)
+        raise RuntimeError(f"could not publish {path}")
+    if had:
+        fs.delete(to_old, True)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -39,12 +39,17 @@ _LINE_OPTIONS = {
     "nullValue": "\u0002",
     "mode": "PERMISSIVE",
     "encoding": "UTF-8",
+    "columnNameOfCorruptRecord": "_whole",
 }
+# A line that holds the reader's separator fills ``_whole``; its text is kept
+# there in full and rejected, never cut.
+_LINE_SCHEMA = "line STRING, _whole STRING"
 
 REJECT_TOO_FEW = "too_few_fields"
 REJECT_REMAINDER = "bad_remainder"
 REJECT_NUMBER = "bad_number"
 REJECT_ENCODING = "bad_encoding"
+REJECT_SEPARATOR = "control_character"
 
 
 def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -52,7 +57,7 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
     Columns: source_file, line, _block_start (byte offset of the split).
     """
-    reader = spark.read.schema("line STRING").options(**_LINE_OPTIONS)
+    reader = spark.read.schema(_LINE_SCHEMA).options(**_LINE_OPTIONS)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.csv(path)
@@ -63,7 +68,7 @@ def read_lines_stream(spark: SparkSession, path: str, glob: str | None = None,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming twin of :func:`read_lines` (new files only, once each).
     Parse each micro-batch with :func:`parse` inside ``foreachBatch``."""
-    reader = spark.readStream.schema("line STRING").options(**_LINE_OPTIONS)
+    reader = spark.readStream.schema(_LINE_SCHEMA).options(**_LINE_OPTIONS)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -74,7 +79,7 @@ def read_lines_stream(spark: SparkSession, path: str, glob: str | None = None,
 def _with_lineage(df: DataFrame) -> DataFrame:
     out = df.select(
         F.col("_metadata.file_name").alias("source_file"),
-        F.col("line"),
+        F.coalesce("_whole", "line").alias("line"),
         F.col("_metadata.file_block_start").alias("_block_start"),
     )
     # Blank (whitespace-only) lines carry no record.
@@ -83,12 +88,15 @@ def _with_lineage(df: DataFrame) -> DataFrame:
 
 def tokenize(lines: DataFrame) -> DataFrame:
     """Add ``fields`` (array<string>): strip the line, drop trailing ';',
-    split, strip every field.  Splitting on whitespace-padded delimiters
-    strips the inner fields in the same regex pass (no per-field lambda)."""
+    split, strip every field.  Lines of printable ASCII (white space is the
+    blank only) are trimmed and split literally, their fields trimmed where
+    they are used; other lines take the Unicode patterns."""
+    line = F.col("line")
+    literal = F.split(F.rtrim(F.rtrim(F.trim(line), F.lit(DELIMITER))), DELIMITER, -1)
     body = F.regexp_replace(strip_ws("line"), f"{DELIMITER}+$", "")
     body = F.regexp_replace(body, r"(?U)\s+$", "")
-    fields = F.split(body, rf"(?U)\s*{DELIMITER}\s*", -1)
-    return lines.withColumn("fields", fields)
+    patterned = F.split(body, rf"(?U)\s*{DELIMITER}\s*", -1)
+    return lines.withColumn("fields", F.when(line.rlike(r"[^\x20-\x7e]"), patterned).otherwise(literal))
 
 
 def _parse_columns() -> dict[str, Column]:
@@ -101,18 +109,19 @@ def _parse_columns() -> dict[str, Column]:
     # (1_000, -nan); all of them need one of a handful of characters, so
     # only lines whose numbers hold such a character take the slow path: a
     # strict regex per field and normalisation before the cast.
-    suspicious = F.array_join(tail, ";").rlike(r"[xXpPdD_]|[fF](;|$)|[+-][nN]")
+    # (The cast itself trims blanks, so plain fields need no trimming.)
+    suspicious = F.array_join(tail, ";").rlike(r"[xXpPdD_]|[fF] *(;|$)|[+-][nN]|[\x00-\x1f\x7f]")
     normal = F.transform(tail, lambda x: F.regexp_replace(
-        F.regexp_replace(x, "(?<=[0-9])_(?=[0-9])", ""), "^[+-]([nN][aA][nN])$", "$1"))
-    strict_ok = ~F.exists(tail, lambda x: ~x.rlike(FLOAT_PATTERN))
+        F.regexp_replace(F.trim(x), "(?<=[0-9])_(?=[0-9])", ""), "^[+-]([nN][aA][nN])$", "$1"))
+    strict_ok = ~F.exists(tail, lambda x: ~F.trim(x).rlike(FLOAT_PATTERN))
     return {
         "n_fields": n,
         "n_frames": n_frames.cast("int"),
         # get(): NULL instead of an error on lines shorter than the header.
-        "track_id": strict_int(F.get(f, 0)),
-        "vehicle_type": F.get(f, 1),
-        "traveled_d": strict_double(F.get(f, 2)),
-        "avg_speed": strict_double(F.get(f, 3)),
+        "track_id": strict_int(F.trim(F.get(f, 0))),
+        "vehicle_type": F.trim(F.get(f, 1)),
+        "traveled_d": strict_double(F.trim(F.get(f, 2))),
+        "avg_speed": strict_double(F.trim(F.get(f, 3))),
         "nums_syntax_ok": F.when(suspicious, strict_ok).otherwise(F.lit(True)),
         "nums": F.when(suspicious, normal).otherwise(tail).try_cast("array<double>"),
     }
@@ -124,6 +133,7 @@ def _reject_reason() -> Column:
                   | F.col("avg_speed").isNull())
     nums_bad = ~F.col("nums_syntax_ok") | F.exists(F.col("nums"), lambda x: x.isNull())
     return (F.when(F.col("line").contains("\ufffd"), REJECT_ENCODING)
+            .when(F.col("line").contains(_LINE_OPTIONS["sep"]), REJECT_SEPARATOR)
             .when(n < FIXED_FIELDS, REJECT_TOO_FEW)
             .when((n - FIXED_FIELDS) % BLOCK_FIELDS != 0, REJECT_REMAINDER)
             .when(header_bad | nums_bad, REJECT_NUMBER))
@@ -173,7 +183,7 @@ def frames(parsed: DataFrame) -> DataFrame:
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    first = F.col("first_field") if "first_field" in parsed.columns else F.get("fields", 0)
+    first = F.col("first_field") if "first_field" in parsed.columns else F.trim(F.get("fields", 0))
     return _select_rows(parsed, F.col("reject_reason").isNotNull(), [
         "source_file", "line", first.alias("first_field"), "n_fields",
         "reject_reason", "_block_start", "_row_in_split"])
@@ -203,7 +213,7 @@ class RaggedBatch:
             "source_file", "_block_start", "_row_in_split", "n_fields", "n_frames", "track_id",
             "vehicle_type", "traveled_d", "avg_speed", "nums", "reject_reason",
             F.when(F.col("reject_reason").isNotNull(), F.col("line")).alias("line"),
-            F.when(F.col("reject_reason").isNotNull(), F.get("fields", 0)).alias("first_field")))
+            F.when(F.col("reject_reason").isNotNull(), F.trim(F.get("fields", 0))).alias("first_field")))
 
     def drop_failed_files(self) -> "RaggedBatch":
         """Per-file all-or-nothing: a file with any bad line contributes no

@@ -15,6 +15,7 @@ The mapping rules are stated once here; the DuckDB oracle in
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +23,16 @@ from pyspark.sql import functions as F
 
 from kinetra.operators.sequence import with_ordinal
 from kinetra.schemas import VEHICLE_TYPES
-from kinetra.session import path_exists, scratch_path
+from kinetra.session import ensure_checkpoint_dir, path_exists, write_text_file
 
 # Fixed values of the mapping (the oracle SQL uses the same numbers).
 EPOCH = "2024-01-01 00:00:00"
 LAT_BASE = 37.9
-LON_BASE = 23.700001          # off the 4-decimal grid: no rounding ties
+LON_BASE = 23.7
 N_SOURCE_FILES_EVENTS = 3
 RAGGED_LINES_PER_FILE = 5000  # ragged files written per 5,000 orders (min 3)
 RAGGED_MIN_FILES = 3
+RAGGED_LAYOUT = 2             # of the files this module writes
 RAGGED_HEADER = "track_id; type; traveled_d; avg_speed; lat; lon; speed; lon_acc; lat_acc; time"
 
 
@@ -99,12 +101,23 @@ def _num_text(c) -> F.Column:
     return F.col(c).cast("double").cast("string")
 
 
+# Orders (by key modulo) whose line comes a second time, and whose line holds
+# the reader's separator.
+REPEAT_MODULO, REPEAT_AT = 97, 5
+CONTROL_MODULO, CONTROL_AT = 101, 7
+
+
 def ragged_lines(spark: SparkSession, sf_dir: str, n_files: int) -> DataFrame:
     """One text line per order: header = (o_orderkey, o_orderpriority,
-    o_totalprice, 0.0), then one block per line item (l_partkey, l_suppkey,
-    l_quantity, l_extendedprice, l_discount, l_tax) sorted by those six.
-    Orders with status 'P' and priority '5-LOW' lose their last field (reject
-    cases); orders without line items give zero-frame tracks."""
+    o_totalprice, 0.0), then one block per line item, sorted by (l_partkey,
+    l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax); the first two
+    give the coordinates (a grid of 0.0001 degrees), the rest are the values.
+
+    Orders with status 'P' and priority '5-LOW' lose their last field, orders
+    at CONTROL_AT hold a U+0001 (both rejects); orders without line items give
+    zero-frame tracks.  Good orders at REPEAT_AT are followed by a second line
+    of the same track: another type and header, every speed raised by 1000,
+    and one more block."""
     li = table(spark, sf_dir, "lineitem")
     six = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     blocks = li.groupBy("l_orderkey").agg(
@@ -112,21 +125,30 @@ def ragged_lines(spark: SparkSession, sf_dir: str, n_files: int) -> DataFrame:
         .alias("blocks"))
     o = table(spark, sf_dir, "orders")
     j = o.join(blocks, o.o_orderkey == blocks.l_orderkey, "left")
-    header = F.array(F.col("o_orderkey").cast("string"), F.col("o_orderpriority"),
-                     _num_text("o_totalprice"), F.lit("0.0"))
-    body = F.flatten(F.transform(F.coalesce(F.col("blocks"), F.array()),
-                                 lambda b: F.array(*[b[c].cast("string") for c in six])))
-    fields = F.concat(header, body)
+    key = F.col("o_orderkey")
     broken = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
+    control = F.pmod(key, F.lit(CONTROL_MODULO)) == CONTROL_AT
+
+    def values(raised: float):
+        return F.flatten(F.transform(F.coalesce(F.col("blocks"), F.array()), lambda b: F.array(
+            *[x.cast("string") for x in (
+                F.lit(37.9) + (b["l_partkey"] % 1000) / 10000.0,
+                F.lit(23.7) + (b["l_suppkey"] % 1000) / 10000.0,
+                b["l_quantity"] + raised, b["l_extendedprice"], b["l_discount"], b["l_tax"])])))
+
+    kind = F.when(control, F.concat(F.lit("\u0001"), F.col("o_orderpriority"))).otherwise(
+        F.col("o_orderpriority"))
+    fields = F.concat(F.array(key.cast("string"), kind, _num_text("o_totalprice"), F.lit("0.0")),
+                      values(0.0))
     fields = F.when(broken, F.slice(fields, 1, F.size(fields) - 1)).otherwise(fields)
+    again = F.concat(F.array(key.cast("string"), F.lit("again"), F.lit("1.0"), F.lit("2.0")),
+                     values(1000.0), F.array(*map(F.lit, ("37.5", "23.5", "7.0", "0.0", "0.0", "99.0"))))
+    repeated = (F.pmod(key, F.lit(REPEAT_MODULO)) == REPEAT_AT) & ~broken & ~control
+    text = lambda c: F.concat(F.concat_ws("; ", c), F.lit(";"))
     return j.select(
-        F.pmod(F.col("o_orderkey"), F.lit(n_files)).alias("file_no"),
-        F.col("o_orderkey").alias("sort_key"),
-        F.concat(F.concat_ws("; ", fields), F.lit(";")).alias("line"),
-    )
-
-
-_RAGGED_CACHE: dict[tuple, str] = {}
+        F.pmod(key, F.lit(n_files)).alias("file_no"), key.alias("sort_key"),
+        F.posexplode(F.when(repeated, F.array(text(fields), text(again))).otherwise(
+            F.array(text(fields)))).alias("nth", "line"))
 
 
 def ragged_file_name(file_no: int) -> str:
@@ -134,29 +156,30 @@ def ragged_file_name(file_no: int) -> str:
 
 
 def write_ragged_fixture(spark: SparkSession, sf_dir: str) -> str:
-    """Write the ragged files for ``sf_dir`` once per session; return the folder.
+    """The folder of the ragged files for ``sf_dir``; its name tells the input,
+    and a folder that was written completely is used as it is.
 
     Files are written in parallel (one task per file group) with a header
     line each, then renamed to stable names ragged_NNN.csv.
     """
-    key = (id(spark.sparkContext), sf_dir)
-    if key in _RAGGED_CACHE and path_exists(spark, _RAGGED_CACHE[key]):
-        return _RAGGED_CACHE[key]
+    name = hashlib.sha256(f"{RAGGED_LAYOUT} {sf_dir}".encode()).hexdigest()[:12]
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kinetra/ragged-{name}"
+    if path_exists(spark, f"{out}/_complete"):
+        return out
     n_orders = table(spark, sf_dir, "orders").count()
     n_files = ragged_file_count(n_orders)
     lines = ragged_lines(spark, sf_dir, n_files)
     headers = spark.range(n_files).select(
         F.col("id").cast("long").alias("file_no"), F.lit(-1).cast("long").alias("sort_key"),
-        F.lit(RAGGED_HEADER).alias("line"))
-    out = scratch_path(spark, "ragged")
+        F.lit(0).alias("nth"), F.lit(RAGGED_HEADER).alias("line"))
     staging = out + "/_staging"
     (lines.unionByName(headers)
      .repartition(n_files, "file_no")
-     .sortWithinPartitions("file_no", "sort_key")
+     .sortWithinPartitions("file_no", "sort_key", "nth")
      .select("file_no", "line")
-     .write.partitionBy("file_no").text(staging))
+     .write.mode("overwrite").partitionBy("file_no").text(staging))
     _publish_files(spark, staging, out, n_files)
-    _RAGGED_CACHE[key] = out
+    write_text_file(spark, f"{out}/_complete", "")
     return out
 
 

@@ -9,23 +9,23 @@ import shutil
 import pytest
 from conftest import FIXTURES, HEADER, write_text
 
-from kinetra.operators import incremental, load, staging
+from kinetra.operators import incremental, load, quality, staging
 from kinetra.sources import ragged
 from kinetra.streaming import ingest
 
 
 def sample(spark):
-    return ragged.read_ragged(spark, FIXTURES, "sample_tracks.csv")
+    return ragged.read_ragged(spark, FIXTURES, "evening_drive.csv")
 
 
 def test_load_counts_and_idempotence(spark, tmp_dir):
     c1 = load.load_batch(sample(spark), tmp_dir)
-    assert (c1.tracks_loaded, c1.points_loaded, c1.tracks_inserted, c1.points_inserted) == (3, 6, 3, 6)
+    assert (c1.tracks_loaded, c1.points_loaded, c1.tracks_inserted, c1.points_inserted) == (5, 11, 4, 10)
     c2 = load.load_batch(sample(spark), tmp_dir)
-    assert (c2.tracks_loaded, c2.points_loaded, c2.tracks_inserted, c2.points_inserted) == (3, 6, 0, 0)
+    assert (c2.tracks_loaded, c2.points_loaded, c2.tracks_inserted, c2.points_inserted) == (5, 11, 0, 0)
     t = load.read_raw(spark, tmp_dir, "tracks")
     p = load.read_raw(spark, tmp_dir, "trajectory_points")
-    assert (t.count(), p.count()) == (3, 6)
+    assert (t.count(), p.count()) == (4, 10)
     # one loaded_at per load, the same for both tables
     assert t.select("loaded_at").distinct().count() == 1
     assert t.select("loaded_at").first()[0] == p.select("loaded_at").first()[0]
@@ -119,7 +119,7 @@ def test_merge_schema_sync(spark, tmp_dir):
     incremental.merge_into(spark, path, a)
     b = spark.createDataFrame([("k2", "f", 2.0, "n")], "trajectory_point_sk string, source_file string, x double, new string")
     incremental.merge_into(spark, path, b)
-    t = spark.read.parquet(path)
+    t = incremental.read_table(spark, path)
     assert set(t.columns) == {"trajectory_point_sk", "source_file", "x", "new"}
     got = {r.trajectory_point_sk: (r.x, r.new) for r in t.collect()}
     assert got == {"k1": (1.0, None), "k2": (2.0, "n")}
@@ -129,14 +129,14 @@ def test_stream_ingest_new_files_once(spark, tmp_dir):
     src = os.path.join(tmp_dir, "src")
     root = os.path.join(tmp_dir, "raw")
     ckpt = os.path.join(tmp_dir, "ckpt")
-    shutil.copy(os.path.join(FIXTURES, "sample_tracks.csv"), os.path.join(os.makedirs(src) or src, "s1.csv"))
+    shutil.copy(os.path.join(FIXTURES, "evening_drive.csv"), os.path.join(os.makedirs(src) or src, "s1.csv"))
     ingest.run_ragged_ingest(spark, src, root, ckpt, glob="*.csv", refresh_fact=True)
-    assert load.read_raw(spark, root, "trajectory_points").count() == 6
+    assert load.read_raw(spark, root, "trajectory_points").count() == 10
     write_text(src, "s2.csv", HEADER + "4; Taxi; 1.0; 1.0; 37.9; 23.7; 5; 0; 0; 0;\n")
     ingest.run_ragged_ingest(spark, src, root, ckpt, glob="*.csv", refresh_fact=True)
     t = load.read_raw(spark, root, "tracks")
-    assert t.count() == 4
-    assert spark.read.parquet(os.path.join(root, "fct_trajectory_points")).count() == 7
+    assert t.count() == 5
+    assert incremental.read_table(spark, os.path.join(root, "fct_trajectory_points")).count() == 11
 
 
 def test_transform_run_history_and_gate(spark, tmp_dir):
@@ -145,12 +145,20 @@ def test_transform_run_history_and_gate(spark, tmp_dir):
     out = os.path.join(tmp_dir, "wh")
     load.load_batch(sample(spark), root, loaded_at=dt.datetime(2024, 1, 1, 12))
     now = dt.datetime(2024, 1, 2)
-    w, res = run_transform(spark, root, out, "run-1", as_of=now)
-    assert res.count() == 71 and res.filter("status = 'fail'").count() == 0
-    assert spark.read.parquet(os.path.join(out, "fct_trajectory_points")).count() == 6
+    w, res = run_transform(spark, root, out, "run-1", as_of=now, gate=False)
+    # the track without frames has no point count
+    assert res.count() == 71
+    assert [(r.model, r.column_name) for r in res.filter("status = 'fail'").collect()] == [
+        ("dim_track", "point_count")]
+    history = quality.run_history(spark, out).collect()
+    assert {(r.model, r.status, r.gate) for r in history} == {
+        (m, "success", "fail") for m in ("track_kinematics", "dim_vehicle_type", "dim_track",
+                                         "fct_trajectory_points", "agg_speed_by_vehicle_type")}
+    assert {r.model: r.row_count for r in history}["fct_trajectory_points"] == 10
+    assert incremental.read_table(spark, os.path.join(out, "fct_trajectory_points")).count() == 10
     # same raw data again: fact unchanged, history grows by one run
-    run_transform(spark, root, out, "run-2", as_of=now)
-    assert spark.read.parquet(os.path.join(out, "fct_trajectory_points")).count() == 6
+    run_transform(spark, root, out, "run-2", as_of=now, gate=False)
+    assert incremental.read_table(spark, os.path.join(out, "fct_trajectory_points")).count() == 10
     assert spark.read.parquet(os.path.join(out, "_check_history")).select("run_id").distinct().count() == 2
     # stale sources stop the run
     with pytest.raises(RuntimeError):
@@ -211,7 +219,105 @@ def test_existing_keys_read_prunes_partitions(spark, tmp_dir):
     write_text(src, "a.csv", HEADER + "1; Car; 1.0; 1.0; 1; 1; 1; 1; 1; 1;\n")
     write_text(src, "b.csv", HEADER + "2; Car; 1.0; 1.0; 1; 1; 1; 1; 1; 1;\n")
     load.load_batch(ragged.read_ragged(spark, src, "*.csv"), root)
-    keys = load.existing_keys(spark, os.path.join(root, "trajectory_points"), ["track_id"], ["b.csv"])
-    plan = keys._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "b.csv" in plan.split("PartitionFilters: [")[1]
+    files = load.stored(spark, root, "tracks").filter("track_id = 2").select("source_file")
+    keys = load.existing_keys(spark, root, "trajectory_points", ["source_file", "track_id"], files)
+    assert "dynamicpruning" in keys._jdf.queryExecution().executedPlan().toString()
     assert [r.track_id for r in keys.collect()] == [2]
+
+
+def test_incremental_scan_prunes_files(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "raw")
+    src = os.path.join(tmp_dir, "src")
+    write_text(src, "a.csv", HEADER + "1; Car; 1.0; 1.0; 37.9; 23.7; 5; 0; 0; 0;\n")
+    load.load_batch(ragged.read_ragged(spark, src, "a.csv"), root, loaded_at=dt.datetime(2024, 1, 1))
+    write_text(src, "b.csv", HEADER + "2; Car; 1.0; 1.0; 37.9; 23.7; 5; 0; 0; 0;\n")
+    load.load_batch(ragged.read_ragged(spark, src, "b.csv"), root, loaded_at=dt.datetime(2024, 1, 3))
+    new = incremental.new_fact_rows(_fact_rows(spark, root), dt.datetime(2024, 1, 2))
+    assert "dynamicpruning" in new._jdf.queryExecution().executedPlan().toString()
+    assert [r.track_id for r in new.collect()] == [2]
+
+
+def test_digit_file_names_stay_apart(spark, tmp_dir):
+    src, root = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "raw")
+    old = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
+    try:
+        for name in ("20181024", "020181024"):
+            write_text(src, name, HEADER + "1; Car; 1.0; 1.0; 37.9; 23.7; 5; 0; 0; 0;\n")
+            c = load.load_batch(ragged.read_ragged(spark, src, name), root)
+            assert (c.tracks_inserted, c.points_inserted) == (1, 1)
+        fact = os.path.join(tmp_dir, "fct")
+        incremental.merge_into(spark, fact, incremental.new_fact_rows(_fact_rows(spark, root),
+                                                                      incremental.FLOOR_MARK))
+        assert incremental.read_table(spark, fact).count() == 2
+    finally:
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", old)
+
+
+def test_rejects_are_kept_once_and_deleted_with_the_file(spark, tmp_dir):
+    src, root = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "raw")
+    write_text(src, "r.csv", HEADER + "1; Car; 1.0; 1.0; 37.9; 23.7; 5; 0; 0; 0;\nbad;\nbad;\nworse; 1;\n")
+    for _ in range(2):
+        load.load_batch(ragged.read_ragged(spark, src, "r.csv"), root, mode="permissive")
+    got = sorted((r.line, r.n_lines) for r in load.read_raw(spark, root, "rejects").collect())
+    assert got == [("bad;", 2), ("worse; 1;", 1)]
+    load.delete_source_file(spark, root, "r.csv")
+    assert load.read_raw(spark, root, "rejects").count() == 0
+
+
+def test_half_a_load_shows_no_points(spark, tmp_dir, monkeypatch):
+    root = os.path.join(tmp_dir, "raw")
+    assert load.read_raw(spark, root, "tracks").count() == 0     # fresh root: empty tables
+    assert load.read_raw(spark, root, "trajectory_points").columns == load.POINT_COLS
+
+    def stop(*_):
+        raise KeyboardInterrupt
+    monkeypatch.setattr(load, "insert_if_absent", stop)
+    with pytest.raises(KeyboardInterrupt):
+        load.load_batch(sample(spark), root)
+    assert load.stored(spark, root, "trajectory_points").count() == 10
+    assert load.read_raw(spark, root, "trajectory_points").count() == 0
+    monkeypatch.undo()
+    load.load_batch(sample(spark), root)
+    assert load.read_raw(spark, root, "trajectory_points").count() == 10
+
+
+def test_schema_sync_keeps_files_and_takes_empty_batches(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    row = "trajectory_point_sk string, source_file string, x int"
+    incremental.merge_into(spark, path, spark.createDataFrame([("k1", "f", 1), ("k2", "g", 2)], row))
+    before = sorted(os.listdir(os.path.join(path, "source_file=f")))
+    more = row + ", note string"
+    incremental.merge_into(spark, path, spark.createDataFrame([], more))
+    assert incremental.read_table(spark, path).columns[-1] == "note"
+    incremental.merge_into(spark, path, spark.createDataFrame([("k2", "g", 5, "n")], more))
+    assert sorted(os.listdir(os.path.join(path, "source_file=f"))) == before
+    wider = spark.createDataFrame([("k3", "g", "seven", "n")], more.replace("x int", "x string"))
+    incremental.merge_into(spark, path, wider)
+    got = {r.trajectory_point_sk: (r.x, r.note) for r in incremental.read_table(spark, path).collect()}
+    assert got == {"k1": ("1", None), "k2": ("5", "n"), "k3": ("seven", "n")}
+
+
+def test_paths_without_scheme_belong_to_the_default_file_system(spark, tmp_dir):
+    from kinetra.session import path_exists
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = conf.get("fs.defaultFS")
+    conf.set("fs.viewfs.mounttable.kt.link./data", f"file://{tmp_dir}")
+    try:
+        conf.set("fs.defaultFS", "viewfs://kt/")
+        for expected in ((4, 10), (0, 0)):
+            c = load.load_batch(ragged.read_ragged(spark, f"file://{FIXTURES}", "evening_drive.csv"), "/data/raw")
+            assert (c.tracks_inserted, c.points_inserted) == expected
+        assert path_exists(spark, "/data/raw/tracks") and not path_exists(spark, "/data/none")
+    finally:
+        conf.set("fs.defaultFS", old)
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from kinetra.session import ensure_checkpoint_dir
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(
+        master="yarn", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(bare)

@@ -70,31 +70,51 @@ def test_track_without_frames_and_null_type(spark):
     assert agg[0].stddev_speed_kmh is None and agg[0].observation_count == 1
 
 
-@pytest.mark.parametrize("strategy", ["single", "distributed"])
-def test_percentiles_1_2_4(spark, strategy):
+def single_task_percentiles(df, probs):
+    """Spark's own exact percentile, which takes a group whole."""
+    out = df.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, probs.values()))).alias("p"))
+    return {r.g: dict(zip(probs, r.p)) for r in out.collect()}
+
+
+def same_percentiles(df, probs, cuts):
+    want = single_task_percentiles(df, probs)
+    got = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, cuts=cuts).collect()}
+    assert set(want) == set(got)
+    for g in want:
+        for k in probs:
+            assert got[g][k] == pytest.approx(want[g][k], abs=1e-9), (g, k)
+
+
+def test_percentiles_1_2_4(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 4.0), ("a", None)], "g string, v double")
-    r = exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95}, strategy=strategy).first()
+    r = exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95}).first()
     assert r.p50 == 2.0 and r.p95 == pytest.approx(3.8)
 
 
-def test_distributed_percentiles_match_single(spark):
+@pytest.mark.parametrize("cuts", [1, 7, 255])
+def test_percentiles_match_single_task(spark, cuts):
     df = spark.range(0, 20000).select(
         (F.col("id") % 3).alias("g"),
         F.when(F.col("id") % 7 == 0, F.lit(5.0)).otherwise((F.col("id") * 7919 % 1000) / 10.0).alias("v"))
-    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.95, "e": 1.0}
-    s = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, strategy="single").collect()}
-    d = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, strategy="distributed",
-                                           accuracy=200).collect()}
-    for g in s:
-        for k in probs:
-            assert d[g][k] == pytest.approx(s[g][k], abs=1e-9), (g, k)
+    same_percentiles(df, {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.95, "e": 1.0}, cuts)
+
+
+def test_percentiles_of_infinities_and_nan(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("i", inf), ("i", inf), ("i", 1.0), ("m", -inf), ("m", 0.0), ("m", 2.0), ("n", nan), ("n", nan),
+            ("n", 3.0), ("o", inf)]
+    got = {r.g: (r.p50, r.p95) for r in exact_percentiles(
+        spark.createDataFrame(rows, "g string, v double"), ["g"], "v", {"p50": 0.5, "p95": 0.95}).collect()}
+    assert got["i"] == (inf, inf) and got["o"] == (inf, inf)
+    assert got["m"] == (0.0, pytest.approx(1.8))
+    assert math.isnan(got["n"][0]) and math.isnan(got["n"][1])
 
 
 def test_chunked_predecessor_equals_window(spark):
     df = spark.range(0, 5000).select(
         (F.col("id") % 4).alias("g"), (F.col("id") * 3).alias("o"), (F.col("id") * 1.5).alias("v"))
     df = df.filter(F.col("o") % 5 != 0)  # gaps in the ordering key
-    plain = with_predecessor(df, ["g"], "o", ["v"], chunk_size=None)
+    plain = df.withColumn("prev_v", F.lag("v").over(Window.partitionBy("g").orderBy("o")))
     chunked = with_predecessor(df, ["g"], "o", ["v"], chunk_size=16)
     a = sorted(tuple(r) for r in plain.select("g", "o", "prev_v").collect())
     b = sorted(tuple(r) for r in chunked.select("g", "o", "prev_v").collect())
@@ -111,7 +131,7 @@ def test_chunked_ordinal_equals_row_number(spark):
 
 def test_fact_chunked_equals_plain_on_events(spark):
     sf = "/root/testdata/sf0.001"
-    plain = Warehouse.from_events(spark, sf, chunk_size=None).fct_points
+    plain = Warehouse.from_events(spark, sf, chunk_size=1 << 30).fct_points
     chunked = Warehouse.from_events(spark, sf, chunk_size=16).fct_points
 
     def view(df):
@@ -121,16 +141,18 @@ def test_fact_chunked_equals_plain_on_events(spark):
     assert view(plain) == view(chunked)
 
 
-def test_distributed_percentiles_hot_group(spark):
+def test_percentiles_hot_group(spark):
     # one group holds ~90% of the rows, with many repeated values
     df = spark.range(0, 30000).select(
         F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(99)).alias("g"),
         ((F.col("id") * 31) % 997 / 7.0).alias("v"))
-    probs = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
-    s = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, strategy="single").collect()}
-    d = {r.g: r for r in exact_percentiles(df, ["g"], "v", probs, strategy="distributed",
-                                           accuracy=1000).collect()}
-    assert set(s) == set(d)
-    for g in s:
-        for k in probs:
-            assert d[g][k] == pytest.approx(s[g][k], abs=1e-9), (g, k)
+    same_percentiles(df, {"p05": 0.05, "p50": 0.5, "p95": 0.95}, 31)
+
+
+def test_nothing_runs_before_a_model_is_asked_for(spark):
+    w = Warehouse.from_events(spark, "/root/testdata/sf0.001")
+    spark.sparkContext.setJobGroup("lazy", "models are plans")
+    for model in (w.dim_track, w.fct_points, w.points_with_deltas, w.track_kinematics):
+        assert model.columns
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")) == []
+    spark.sparkContext.setJobGroup("", "")

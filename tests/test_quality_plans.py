@@ -63,14 +63,12 @@ def test_lags_share_one_window(spark):
     from kinetra.operators.staging import stg_points
     from kinetra.operators.trajectory import points_with_deltas
     from kinetra.sources import ragged
-    pts = ragged.read_ragged(spark, FIXTURES, "sample_tracks.csv").points.withColumn(
+    pts = ragged.read_ragged(spark, FIXTURES, "evening_drive.csv").points.withColumn(
         "loaded_at", F.current_timestamp())
-    p = plan(points_with_deltas(stg_points(pts), chunk_size=None))
-    assert p.count("Window [") == 1 and p.count("Exchange hashpartitioning") == 1
-    # chunked form (hot tracks): windows per (track, chunk) plus the small
-    # per-chunk carry window
-    c = plan(points_with_deltas(stg_points(pts), chunk_size=4096))
-    assert c.count("Window [") == 3
+    # windows per (track, chunk), on the main and the carry side, plus the
+    # small window over one row per chunk
+    p = plan(points_with_deltas(stg_points(pts)))
+    assert p.count("Window [") == 3
 
 
 def test_type_dimension_broadcast(spark):
