@@ -28,14 +28,18 @@ HEADLINE = [
     "dim_track",
     "fct_points",
     "agg_speed_by_type",
+    "agg_speed_approx",
     "speed_box_by_type",
     "density_grid",
     "speed_histogram",
     "longest_tracks",
     "incremental_new_rows",
+    "incremental_new_rows_by_key",
     "fact_merge",
+    "fact_schema_sync",
     "dq_report",
     "stream_ragged_load",
+    "stream_fact_refresh",
 ]
 
 

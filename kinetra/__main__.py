@@ -19,6 +19,12 @@ from kinetra.sources import ragged
 from kinetra.streaming import ingest
 
 
+def _print_rows(df) -> None:
+    """The whole answer as JSON lines, fetched partition by partition."""
+    for row in df.toLocalIterator():
+        print(json.dumps(row.asDict(True), default=str))
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="kinetra")
     ap.add_argument("--master", default="local[*]")
@@ -45,6 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     q = sub.add_parser("sql")
     q.add_argument("raw_root")
     q.add_argument("statement")
+    q.add_argument("--out", help="write the answer as Parquet to this folder instead of printing it")
     args = ap.parse_args(argv)
 
     spark = build_session(args.master, args.shuffle_partitions, app_name=f"kinetra-{args.cmd}")
@@ -59,12 +66,16 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "transform":
         _, res = run_transform(spark, args.raw_root, args.out_root, args.run_id,
                                new_rows=args.new_rows)
-        res.select("model", "column_name", "test_name", "failures", "status").show(100, False)
+        _print_rows(res.select("model", "column_name", "test_name", "failures", "status"))
     elif args.cmd == "sql":
         w = Warehouse(load.read_raw(spark, args.raw_root, "tracks"),
                       load.read_raw(spark, args.raw_root, "trajectory_points"))
         w.register_views(spark)
-        spark.sql(args.statement).show(100, False)
+        answer = spark.sql(args.statement)
+        if args.out:
+            answer.write.parquet(args.out)
+        else:
+            _print_rows(answer)
     spark.stop()
 
 
