@@ -9,12 +9,33 @@ folder, so nothing depends on a lost executor.  No edge reaches the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinetra.session import materialize
 
 
+def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Within a task: union of the links a-b on the forest ``label`` (parents;
+    the least index of a tree is its root)."""
+    while len(a):
+        flatten(label)
+        ra, rb = label[a], label[b]
+        open_ = ra != rb
+        a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
+        np.minimum.at(label, np.maximum(ra, rb), np.minimum(ra, rb))
+
+
+def flatten(label: np.ndarray) -> None:
+    """Point every node of a forest at its root."""
+    while True:
+        up = label[label]
+        if np.array_equal(up, label):
+            return
+        label[:] = up
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step.  Edges are (a, b) with a > b."""
     if large:  # all neighbours of u; those above u move to the least

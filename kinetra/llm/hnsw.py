@@ -8,8 +8,8 @@ the cases, and stored vectors the neighbours that brute force over the shard
 finds.  Then every class queries every shard (a grid of query blocks and
 shards, each a task).  A query whose whole beam lies above the threshold is
 repeated with twice the beam, so a group larger than the beam is found whole.
-What comes near the threshold is verified by cosine in double precision.
-Links are united by ``components``.
+What comes near the threshold is verified by cosine in double precision and
+counted and united in the task; what tasks have united meets in ``components``.
 
 Memory of a task: one shard's graph (about 4 bytes times dimension plus 32
 links a vector) and one block of queries; choose ``shards`` and ``blocks`` so
@@ -31,12 +31,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetra.llm.components import components
+from kinetra.llm.components import components, flatten, unite
 from kinetra.session import materialize
 
 THRESHOLD = 0.9
 SHARDS = BLOCKS = 8
-DEGREE, BUILD_BEAM, BEAM = 16, 48, 32
+DEGREE, BUILD_BEAM, BEAM = 16, 48, 48
 RECALL, AUDIT = 0.98, 200
 BATCH, EXPAND, ENTRIES = 256, 4, 4
 #: Single precision finds candidates, double precision decides.
@@ -257,16 +257,20 @@ def classes(vectors: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFr
 
 
 def links(known: DataFrame, threshold: float = THRESHOLD, shards: int = SHARDS,
-          blocks: int = BLOCKS) -> DataFrame:
-    """(a, b) with a < b: classes whose cosine is ``threshold`` or more."""
+          blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
+    """What the classes of cosine ``threshold`` or more amount to: (a, b)
+    links that join all of them, at most one per class and task, and (cid,
+    others) with the number of vectors that each class links with.  A task
+    counts and unites what it finds; pairs do not leave it."""
     shard = F.pmod(F.xxhash64("cid"), F.lit(shards))
-    dealt = known.select("cid", "v", "dim", shard.alias("shard"))
+    dealt = known.select("cid", "v", "dim", "n", shard.alias("shard"))
 
     def graphs(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("cid", ignore_index=True)
         vec = np.stack(pdf["v"].to_numpy())
         graph, order = build(unit(vec), int(pdf["shard"].iloc[0]), threshold)
-        data = pickle.dumps((graph, pdf["cid"].to_numpy()[order], vec[order]), protocol=5)
+        data = pickle.dumps((graph, pdf["cid"].to_numpy()[order], vec[order],
+                             pdf["n"].to_numpy()[order]), protocol=5)
         return pd.DataFrame({"dim": pdf["dim"].iloc[:1], "shard": pdf["shard"].iloc[:1],
                              "graph": [data]})
 
@@ -282,20 +286,34 @@ def links(known: DataFrame, threshold: float = THRESHOLD, shards: int = SHARDS,
 
     def search(q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(g):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        graph, cids, vec = pickle.loads(g["graph"].iloc[0])
+            return pd.DataFrame({"a": [], "b": [], "others": []}, dtype="Int64")
+        graph, cids, vec, weight = pickle.loads(g["graph"].iloc[0])
         own, raw = q["cid"].to_numpy(), np.stack(q["v"].to_numpy())
-        i, j = graph.near(unit(raw), threshold - SLACK)
-        keep = own[i] != cids[j]
-        i, j = i[keep], j[keep]
-        true = np.concatenate([_verified(raw[i[k:k + 65536]], vec[j[k:k + 65536]]) >= threshold
-                               for k in range(0, len(i), 65536)] or [np.zeros(0, bool)])
-        a, b = own[i[true]], cids[j[true]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-    found = queries.groupBy("dim", "shard", "block").cogroup(
-        served.groupBy("dim", "shard", "block")).applyInPandas(search, "a long, b long")
-    return materialize(found.distinct(), "vector-links")
+        others = np.zeros(len(own), np.int64)
+        label = np.arange(len(own) + len(cids))          # queries, then the shard's rows
+        for k in range(0, len(own), BATCH):
+            i, j = graph.near(unit(raw[k:k + BATCH]), threshold - SLACK)
+            i = i + k
+            keep = own[i] != cids[j]
+            i, j = i[keep], j[keep]
+            true = _verified(raw[i], vec[j]) >= threshold
+            i, j = i[true], j[true]
+            np.add.at(others, i, weight[j])
+            unite(label, i, len(own) + j)
+        flatten(label)
+        name = np.concatenate([own, cids])
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        some = np.flatnonzero(others)
+        return pd.concat([
+            pd.DataFrame({"a": name[moved], "b": name[label[moved]]}, dtype="Int64"),
+            pd.DataFrame({"a": own[some], "others": others[some]}, dtype="Int64")])[["a", "b", "others"]]
+
+    found = materialize(queries.groupBy("dim", "shard", "block").cogroup(
+        served.groupBy("dim", "shard", "block")).applyInPandas(search, "a long, b long, others long"),
+        "vector-links")
+    counts = found.filter("others IS NOT NULL").groupBy(F.col("a").alias("cid")).agg(
+        F.sum("others").alias("others"))
+    return found.filter("b IS NOT NULL AND a <> b").select("a", "b"), counts
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", value: str = "embedding",
@@ -303,13 +321,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", value: str = "embed
                     blocks: int = BLOCKS) -> DataFrame:
     """One row per vector: key, n_links, component_id, kept."""
     ids, known = classes(vectors, key, value)
-    found = links(known, threshold, shards, blocks)
-    size = known.select("cid", "n")
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(size.withColumnRenamed("cid", "b"), "b").groupBy(F.col("a").alias("cid")).agg(
-        F.sum("n").alias("others"))
+    found, others = links(known, threshold, shards, blocks)
     comp = components(found).withColumnRenamed("node", "cid")
-    table = materialize(size.join(others, "cid", "left").join(comp, "cid", "left").select(
+    table = materialize(known.select("cid", "n").join(others, "cid", "left").join(comp, "cid", "left").select(
         "cid", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
         F.coalesce("component", "cid").alias("root")), "class-links")
     rows = ids.join(table, "cid", "left")

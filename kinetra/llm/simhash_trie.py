@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinetra.llm.components import components
+from kinetra.llm.components import components, flatten, unite
 from kinetra.session import materialize
 
 BITS = 64
@@ -78,24 +78,6 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
         scan, f"`{key}` {kind}, fp long")
 
 
-def _popcount(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x)
-
-
-def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Union of the links a-b on the forest ``label`` (least index is the root)."""
-    while len(a):
-        while True:  # roots
-            up = label[label]
-            if np.array_equal(up, label):
-                break
-            label[:] = up
-        ra, rb = label[a], label[b]
-        open_ = ra != rb
-        a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
-        np.minimum.at(label, np.maximum(ra, rb), np.minimum(ra, rb))
-
-
 def walk(fps: np.ndarray, left: np.ndarray, right: np.ndarray, budget: np.ndarray,
          first_bit: int) -> np.ndarray:
     """Roots after linking, for each row of ``fps`` (sorted within each node),
@@ -118,8 +100,8 @@ def walk(fps: np.ndarray, left: np.ndarray, right: np.ndarray, budget: np.ndarra
             within = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
             a = l[small, 0][pair] + within // n_r[pair]
             b = r[small, 0][pair] + within % n_r[pair]
-            near = (a < b) & (_popcount(_low_bits(fps[a] ^ fps[b], bit)) <= k[small][pair])
-            _unite(label, a[near], b[near])
+            near = (a < b) & (np.bitwise_count(_low_bits(fps[a] ^ fps[b], bit)) <= k[small][pair])
+            unite(label, a[near], b[near])
             l, r, k = l[~small], r[~small], k[~small]
         if not len(k):
             continue
@@ -137,11 +119,8 @@ def walk(fps: np.ndarray, left: np.ndarray, right: np.ndarray, budget: np.ndarra
         # a node beside itself is linked by what lies below; one row has nothing to link
         live &= ~((nl[:, 0] == nr[:, 0]) & (nl[:, 1] - nl[:, 0] == 1))
         stack.append((bit + 1, nl[live], nr[live], nk[live]))
-    while True:
-        up = label[label]
-        if np.array_equal(up, label):
-            return label
-        label = up
+    flatten(label)
+    return label
 
 
 def _low_bits(x: np.ndarray, bit: int) -> np.ndarray:
