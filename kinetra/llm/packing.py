@@ -4,8 +4,9 @@ Documents are tokenised and cut at multiples of the window; what is left of
 each (1 .. window-1 ids) is packed by patterns.  A pattern is a shallow
 combination of lengths that fills the window exactly (one, two or three
 pieces).  Repeat counts solve ``min |A x - h|, x >= 0`` against the histogram
-``h`` of lengths; they are rounded down, made feasible, and what remains of the
-histogram is packed greedily (best fit, longest first).
+``h`` of lengths; they are rounded down and made feasible; the rest takes
+combinations that it still holds, and what no combination fills is packed
+greedily (longest first, then the longest that fits).
 
 Only the histogram (at most ``window`` counts) and the plan (patterns and
 their repeat counts) are on the driver; both are bounded by the window, not by
@@ -195,15 +196,25 @@ def plan(hist: np.ndarray, window: int = WINDOW) -> list[tuple[tuple[int, ...],
         take((window,), int(left[window]))
     rows = shallow_combinations(left, window)
     if len(rows):
-        x = np.floor(nnls(rows, left.astype(float)) + 1e-6).astype(np.int64)
-        for j in np.argsort(-x, kind="stable"):
-            if x[j] < 1:
-                break
-            lengths = tuple(int(k) for k in rows[j] if k)
-            need = np.bincount(lengths, minlength=window + 1)
-            repeats = int(min(x[j], (left[need > 0] // need[need > 0]).min()))
-            if repeats:
-                take(lengths, repeats)
+        x = nnls(rows, left.astype(float))
+        order = np.argsort(-x, kind="stable")
+        # rounded down first; what is then left takes the combinations that it
+        # still holds, the most wanted first
+        for least in (1, 0):
+            have = left.tolist()
+            for j in order.tolist():
+                wanted = int(x[j] + 1e-6) if least else 1
+                if not wanted:
+                    break
+                lengths = [k for k in rows[j].tolist() if k]
+                if not all(map(have.__getitem__, lengths)):
+                    continue
+                repeats = min(have[k] // lengths.count(k) for k in lengths)
+                repeats = min(wanted, repeats) if least else repeats
+                if repeats:
+                    take(tuple(lengths), repeats)
+                    for k in lengths:
+                        have[k] -= repeats
     # residuals: longest first, then the longest that still fits
     while left.any():
         room, lengths = window, []
