@@ -26,7 +26,7 @@ LOSS_ROLES = ("assistant",)
 
 
 def escape(c: Column) -> Column:
-    return F.regexp_replace(c, r"<(\\*)\|", r"<$1\\\\|")
+    return F.regexp_replace(c, r"<(\\*)\|", r"<$1\\|")
 
 
 def unescape(c: Column) -> Column:

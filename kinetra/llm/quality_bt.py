@@ -149,7 +149,7 @@ def fit(x: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Mo
         yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(k), pa.array(n[q, k])], ["q", "k", "n"])
 
     tally = np.zeros((2, len(cuts) + 1))
-    for r in train.select(F.col("quality").cast("long"), model.raw(F.col("x"))).mapInArrow(
+    for r in train.select(F.col("quality").cast("long").alias("quality"), model.raw(F.col("x")).alias("raw")).mapInArrow(
             tally_rows, "q long, k long, n long").groupBy("q", "k").agg(F.sum("n").alias("n")).collect():
         tally[r.q, r.k] = r.n                       # at most 2 (LEVELS + 1) rows
     # at cut i a row is kept when more than i cuts lie at or below its score
