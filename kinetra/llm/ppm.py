@@ -165,6 +165,13 @@ def _low(c: Column, symbols: int) -> Column:
     return c.bitwiseAND(F.lit(_mask(symbols)).cast("long"))
 
 
+def _bounded(table: DataFrame, symbols: int) -> DataFrame:
+    """A table keyed by so many symbols: of one or two there are at most
+    258**2 (a few MB), which every task may hold, so common short contexts
+    are not dealt to one task."""
+    return F.broadcast(table) if symbols <= 2 else table
+
+
 def log_probabilities(grams: DataFrame, order: int) -> DataFrame:
     """(code, logp) of every code of ``grams`` (code, n: training count)."""
     context = F.shiftright("code", SYMBOL_BITS).alias("ctx")
@@ -195,11 +202,11 @@ def log_probabilities(grams: DataFrame, order: int) -> DataFrame:
             "low", _low(F.col("code"), j + 1)).join(below, "low").groupBy(F.col("ctx").alias("lctx")).agg(
             F.sum("m").alias("xt"), F.count(F.lit(1)).alias("xd"))
         step = rest.withColumn("lctx", F.when(F.col("known"), _low(
-            F.shiftright("code", SYMBOL_BITS), j + 1))).join(out, "lctx", "left").withColumn(
-            "low", _low(F.col("code"), j + 1)).join(below, "low", "left")
+            F.shiftright("code", SYMBOL_BITS), j + 1))).join(_bounded(out, j + 1), "lctx", "left").withColumn(
+            "low", _low(F.col("code"), j + 1)).join(_bounded(below, j + 1), "low", "left")
         if j:
             step = step.withColumn("ctx", _low(F.shiftright("code", SYMBOL_BITS), j)).join(
-                nodes[j], "ctx", "left")
+                _bounded(nodes[j], j), "ctx", "left")
         else:
             step = step.withColumn("t", F.lit(root.t or None).cast("long")).withColumn(
                 "d", F.lit(root.d or None).cast("long"))
