@@ -41,8 +41,8 @@ from kinetra.session import materialize
 ORDER = 4
 END, START, SYMBOL_BITS = 256, 257, 9
 SYMBOLS = 257                  # bytes and the end
-CHUNK_BYTES = 1 << 21          # texts counted at once
-KEPT_WORDS = 300_000           # distinct words a task gathers before it emits them
+CHUNK_BYTES = 1 << 20          # texts counted at once
+KEPT_WORDS = 200_000           # distinct words a task gathers before it emits them
 
 COUNTS = "block long, word binary, code long, n long"
 
@@ -260,7 +260,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, known, parts = None, {}, []
         keys = vals = np.zeros(0)
-        floor = math.log10(0.5 / (n_all + 0.5 * (v_all + 1)))
+        share = math.log10(n_all + 0.5 * (v_all + 1))
         for b in batches:
             block, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
             out = []
@@ -270,9 +270,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 if block[lo] != now:
                     now, known, parts = block[lo], {}, []
                 if kind[lo] == 0:
-                    c = part.column(3).to_numpy()
-                    lp = np.log10((c + 0.5) / (n_all + 0.5 * (v_all + 1)))
-                    known.update(zip(part.column(2).to_pylist(), lp.tolist()))
+                    known.update(zip(part.column(2).to_pylist(), part.column(3).to_pylist()))
                 elif kind[lo] == 1:
                     parts.append((part.column(3).to_numpy(), part.column(4).to_numpy()))
                 else:
@@ -285,10 +283,10 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
                         text = text.as_py().lower()
                         tokens = text.split()
                         tokens.append(b"")
-                        found = [p for p in map(known.get, tokens) if p is not None]
-                        base = math.fsum(found) + floor * (len(tokens) - len(found))
+                        c = np.array([known.get(t, 0) for t in tokens])
+                        base = float(np.log10(c + 0.5).sum()) - len(tokens) * share
                         u, n = np.unique(codes([text], order)[0], return_counts=True)
-                        out.append((doc, held, len(tokens), len(found), n_all, base,
+                        out.append((doc, held, len(tokens), int((c > 0).sum()), n_all, base,
                                     float(vals[np.searchsorted(keys, u)] @ n)))
             if out:
                 yield pa.RecordBatch.from_arrays(
