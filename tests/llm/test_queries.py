@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 
-from kinetra.llm.queries import QUERIES
+from kinetra.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -30,3 +31,14 @@ def test_query(spark, name):
         assert df.count() > 0
     else:
         assert df.count() == spark.read.parquet(f"{SF}/{TABLE.get(name, 'documents')}.parquet").count()
+
+
+@pytest.mark.parametrize("name", ORACLE)
+def test_oracle(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    df = QUERIES[name](spark, SF)
+    want = con.execute(ORACLE[name])
+    columns = [d[0] for d in want.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*columns).collect())) == sorted(want.fetchall())
