@@ -18,8 +18,8 @@ starts anywhere else in the corpus as well.
    Neighbours in the sorted order whose common prefix has ``length`` bytes
    (compared exactly) are repeated windows.  Spark's sort is the disk-backed
    part: a task holds one shard of about ``shard_bytes`` at a time.
-4. A minimiser whose runs exceed ``group_bytes`` would not fit a shard; its
-   windows are counted by 128-bit hashes instead, spread over all tasks.
+4. A minimiser whose runs exceed ``group_bytes`` would fill a task by itself;
+   its windows are counted by 128-bit hashes instead, spread over all tasks.
 
 Defined cases: null and empty texts have no bytes; texts below ``length`` lose
 nothing; repeated rows are documents of their own, so they repeat each other;
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from kinetra.session import materialize
 
 LENGTH, GRAM = 400, 50
-SHARD_BYTES, GROUP_BYTES = 4 << 20, 16 << 20
+SHARD_BYTES, GROUP_BYTES = 4 << 20, 1 << 20
 SEGMENT = 1 << 20                # window starts that are hashed at once
 _POSITION = np.uint64((1 << 24) - 1)
 
