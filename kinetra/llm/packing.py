@@ -43,7 +43,7 @@ from kinetra.session import materialize
 
 WINDOW = 1024
 #: Parts whose ids a task keeps; a part is some 10 characters.
-KEPT_PARTS = 800_000
+KEPT_PARTS = 400_000
 END_ID = b"\0\0\0\0"
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -57,26 +57,35 @@ def vocabulary(name: str = "byte_bpe_50k") -> tuple[str, str]:
 
 
 @functools.cache
-def encoder(json_path: str, ranks_path: str):
+def library(json_path: str):
+    """The tokenizer itself; a task loads it when a text asks for it."""
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(json_path)
+
+
+def special_strings(json_path: str) -> tuple[str, ...]:
+    return tuple(t.content for t in library(json_path).get_added_tokens_decoder().values())
+
+
+@functools.cache
+def encoder(json_path: str, ranks_path: str, special: tuple[str, ...] | None = None):
     """A function text -> ids as little-endian unsigned 32-bit bytes."""
     import base64
     import re
 
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(json_path)
+    special = special_strings(json_path) if special is None else special
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     parts = tiktoken.Encoding("parts", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                               special_tokens={})
-    special = [t.content for t in whole.get_added_tokens_decoder().values()]
     beyond_latin = re.compile("[^\0-ɏ‐-‧]").search
     known: dict[str, bytes] = {}
 
     def by_library(text: str) -> bytes:
-        return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(library(json_path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def part_ids(part: str, lead: str) -> bytes | None:
         if not part or part[0].isspace() or part[-1].isspace() or beyond_latin(part):
@@ -112,9 +121,10 @@ def cut(docs: DataFrame, window: int = WINDOW, vocab: tuple[str, str] | None = N
     """Pieces of every document, with the number of equal lengths before each
     within its task."""
     json_path, ranks_path = vocab or vocabulary()
+    special = special_strings(json_path)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(json_path, ranks_path)
+        encode = encoder(json_path, ranks_path, special)
         part = TaskContext.get().partitionId()
         seen = [0] * (window + 1)
         for b in batches:
