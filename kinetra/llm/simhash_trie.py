@@ -252,6 +252,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     def without(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
         return rows.join(ids, rows["doc_id"].eqNullSafe(ids["id"]), how)
 
-    firsts = without(docs, gone, "left_anti")
+    # by shuffle at every size: the copies of a corpus fit no broadcast
+    firsts = without(docs, gone.hint("merge"), "left_anti")
     return without(firsts, often, "left_anti").unionByName(
         without(firsts, often, "left_semi").dropDuplicates(["doc_id"]))
