@@ -114,6 +114,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
                blocks: int = BLOCKS) -> DataFrame:
     """One row per document, item and window of the document that is as
     similar: doc_id, item_id, start_word, n_words, distance, similarity."""
+    return _leaks(docs, benchmark, shingle, similarity, radius, blocks).drop("tid").distinct()
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, shingle: int, similarity: float,
+           radius: int, blocks: int) -> DataFrame:
+    """The rows of ``find_leaks`` with tid, the hash of the document's text."""
     items = materialize(_shingled(benchmark, "item_id", "text", shingle).select(
         F.col("key").alias("item"), "tid", "h", _n_words(F.col("h"), shingle).alias("size")).distinct(),
         "items").filter("size > 0")
@@ -187,14 +193,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
                        F.col("item").eqNullSafe(F.col("i")) & (F.col("tid") == F.col("t"))).join(
         wtotals, "wid").withColumn("similarity", F.col("c") / (F.col("a") + F.col("b") - F.col("c"))
                                    ).filter(F.col("similarity") >= similarity - 1e-12)
-    return windows.select("wid", "key", "start", "size").join(
+    return windows.select("wid", "key", "tid", "start", "size").join(
         same.select("wid", "item", "distance", "similarity"), "wid").select(
-        F.col("key").alias("doc_id"), F.col("item").alias("item_id"),
+        F.col("key").alias("doc_id"), "tid", F.col("item").alias("item_id"),
         F.col("start").cast("long").alias("start_word"), F.col("size").cast("long").alias("n_words"),
-        F.col("distance").cast("int").alias("distance"), "similarity").distinct()
+        F.col("distance").cast("int").alias("distance"), "similarity")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    leaks = materialize(find_leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti")
+    """``docs`` without the documents that hold a benchmark item.  Rows of one
+    doc_id are one document; rows without doc_id are told apart by their text."""
+    def apart(doc_id: Column, tid: Column) -> Column:
+        return F.when(doc_id.isNull(), tid).otherwise(F.lit(0).cast("long"))
+
+    leaks = materialize(_leaks(docs, benchmark, SHINGLE, SIMILARITY, RADIUS, BLOCKS).select(
+        F.col("doc_id").alias("id"), apart(F.col("doc_id"), F.col("tid")).alias("apart")).distinct(), "leaks")
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["id"]) & (
+        apart(docs["doc_id"], F.xxhash64(docs["text"])) == leaks["apart"]), "left_anti")

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinetra.session import materialize
 
@@ -168,7 +169,18 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects."""
-    scored = score(docs, labels)
-    bad = scored.filter("predicted = 0").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """``docs`` without the rows that the classifier rejects.  Each row is
+    judged by its own text, whatever its doc_id; features are computed again
+    for that, so no text is shuffled."""
+    model = fit(materialize(featurise(docs), "features"), labels)
+    at, extra = docs.columns.index("text"), "__features"
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = [features(t.as_py()) for t in b.column(at).cast(pa.binary())]
+            yield b.append_column(extra, pa.array(x, pa.list_(pa.float64())))
+
+    wide = docs.withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([*wide.schema.fields, T.StructField(extra, T.ArrayType(T.DoubleType()))])
+    kept = wide.mapInArrow(scan, schema).filter(model.score(F.col(extra)) >= KEEP_AT)
+    return kept.select(*docs.columns)

@@ -222,17 +222,22 @@ def _split(nodes: DataFrame, bit: int, split_bits: int) -> DataFrame:
                         side.cast("int").alias("side"), "fp", "budget")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp, component_id: the least doc_id reachable by links."""
-    own = materialize(fingerprints(docs, shingle=shingle), "fingerprints")
-    least = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+def _grouped(own: DataFrame, pick: Column, radius: int) -> DataFrame:
+    """``own`` (with fp) and ``component_id``: the least ``pick`` reachable by links."""
+    least = materialize(own.groupBy("fp").agg(F.min(pick).alias("first")), "classes")
     linked = components(near_links(least.select("fp"), radius))
     roots = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root"))
     roots = materialize(roots, "roots")
     ids = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = materialize(roots.join(ids, "root").select("fp", "component_id"), "components")
-    return own.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return own.join(by_fp, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fp, component_id: the least doc_id reachable by links."""
+    own = materialize(fingerprints(docs, shingle=shingle), "fingerprints")
+    return _grouped(own, F.col("doc_id"), radius).select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -240,19 +245,26 @@ def hexadecimal(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with the row of least doc_id of each group; rows that repeat
-    that doc_id count as one document, of which one row stays."""
-    found = materialize(near_duplicates(docs, shingle, radius).groupBy("doc_id").agg(
+    """``docs`` with one row of each group: the one of least doc_id (a null one
+    comes last), of these the one of least text hash.  Rows are told apart by
+    doc_id and a 64-bit hash of the text, so unlike texts that share a doc_id,
+    or have none, are documents of their own; of equal rows one stays."""
+    tid = F.xxhash64("text")
+    row = docs.select(F.struct("doc_id", tid.alias("tid")).alias("row"), "text")
+    own = materialize(fingerprints(row, "row", shingle=shingle).select("row.doc_id", "row.tid", "fp"),
+                      "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")
+    found = materialize(_grouped(own, order, radius).groupBy("doc_id", "tid").agg(
         F.count(F.lit(1)).alias("n"),
-        F.max((~F.col("doc_id").eqNullSafe(F.col("component_id"))).cast("int")).alias("copy")),
-        "groups")
-    gone = found.filter("copy = 1").select(F.col("doc_id").alias("id"))
-    often = found.filter("copy = 0 AND n > 1").select(F.col("doc_id").alias("id"))
+        F.max((order != F.col("component_id")).cast("int")).alias("copy")), "groups")
+    gone = found.filter("copy = 1").select(F.col("doc_id").alias("id"), "tid")
+    often = found.filter("copy = 0 AND n > 1").select(F.col("doc_id").alias("id"), "tid")
 
     def without(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-        return rows.join(ids, rows["doc_id"].eqNullSafe(ids["id"]), how)
+        return rows.join(ids, rows["doc_id"].eqNullSafe(ids["id"]) & (tid == ids["tid"]), how)
 
     # by shuffle at every size: the copies of a corpus fit no broadcast
     firsts = without(docs, gone.hint("merge"), "left_anti")
     return without(firsts, often, "left_anti").unionByName(
-        without(firsts, often, "left_semi").dropDuplicates(["doc_id"]))
+        without(firsts, often, "left_semi").withColumn("__tid", tid)
+        .dropDuplicates(["doc_id", "__tid"]).drop("__tid"))

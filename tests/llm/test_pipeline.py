@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import corpus_pipeline as cp
-from kinetra.llm import packing, pii, quality_bt
+from kinetra.llm import decontam, packing, pii, quality_bt, simhash_trie
 from kinetra.session import materialize
 from test_decontam import brute as leaks
 from test_simhash_trie import slow_components, slow_fingerprint
@@ -72,3 +72,35 @@ def test_stages_take_nulls_repeats_and_empty_tables(spark):
 
 def test_run_is_the_stages(spark):
     assert cp.run(spark, SF).columns[:3] == ["doc_id", "start", "length"]
+
+
+def test_rows_are_judged_one_by_one(spark):
+    """Rows without doc_id, and unlike rows that share one, stay or go by their own text."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("text").collect()
+    leak = max((r.text for r in items), key=lambda t: len(t or ""))
+    plain = [" ".join(f"{w}{k}" for w in "some plain words of a text about nothing at all".split())
+             for k in range(4)]
+    schema = "doc_id long, text string, x string, tid long"
+
+    def texts(rows, stage):
+        return sorted(((r[0], r[1]) for r in stage(spark.createDataFrame([(*r, "e", 0) for r in rows], schema)).collect()),
+                      key=str)
+
+    rows = [(None, plain[0]), (None, plain[1]), (None, plain[2]), (None, plain[2]), (1, plain[0]),
+            (2, plain[1]), (2, plain[3]), (2, plain[3]), (3, plain[3])]
+    want = sorted([(None, plain[2]), (1, plain[0]), (2, plain[1]), (2, plain[3])], key=str)
+    assert texts(rows, simhash_trie.keep_one) == want
+
+    # rows of one doc_id are one document here (test_decontam.py)
+    rows = [(None, leak), (None, plain[0]), (None, plain[1]), (4, leak), (4, plain[2]), (5, plain[2])]
+    want = sorted([(None, plain[0]), (None, plain[1]), (5, plain[2])], key=str)
+    assert texts(rows, lambda d: decontam.decontaminate(d, spark.read.parquet(f"{SF}/benchmark.parquet"))) == want
+
+    bad = "BAD!! $$$ ||| " * 60
+    known = [(i, plain[i % 4] + f" {i}") for i in range(10, 40)] + [(i, bad + f" {i}") for i in range(40, 70)]
+    labels = spark.createDataFrame([(i, int(i < 40)) for i, _ in known], "doc_id long, quality int")
+    rows = known + [(None, bad), (None, plain[0]), (None, plain[1]), (7, bad), (7, plain[2])]
+    got = texts(rows, lambda d: quality_bt.keep_good(d, labels))
+    want = [(None, plain[0]), (None, plain[1]), (7, plain[2])]
+    assert [r for r in got if r[0] is None or r[0] == 7] == sorted(want, key=str)
+    assert {r[0] for r in got if r[0] and r[0] >= 10} == set(range(10, 40))
