@@ -11,9 +11,10 @@ repeated with twice the beam, so a group larger than the beam is found whole.
 What comes near the threshold is verified by cosine in double precision and
 counted and united in the task; what tasks have united meets in ``components``.
 
-Memory of a task: one shard's graph (about 4 bytes times dimension plus 32
-links a vector) and one block of queries; choose ``shards`` and ``blocks`` so
-that these fit.
+Memory of a task: one shard's graph (vectors in single precision and as given,
+32 links a vector) and one block of queries.  ``deal`` derives shards and
+blocks of each dimension from its count of classes, so that either stays near
+``TASK_BYTES``: a larger table makes more tasks, not larger ones.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing; vectors of different length are not compared;
@@ -30,12 +31,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinetra.llm.components import components, flatten, unite
 from kinetra.session import materialize
 
 THRESHOLD = 0.9
+#: Least number of shards and blocks of a dimension, and bytes of either (51,000
+#: vectors of 64 single-precision components).
 SHARDS = BLOCKS = 8
+TASK_BYTES = 32 << 20
 DEGREE, BUILD_BEAM, BEAM = 16, 48, 48
 RECALL, AUDIT = 0.98, 200
 BATCH, EXPAND, ENTRIES = 256, 4, 4
@@ -256,14 +261,35 @@ def classes(vectors: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFr
         "id", F.lit(None).cast("long").alias("cid"))), "vector-ids"), known
 
 
-def links(known: DataFrame, threshold: float = THRESHOLD, shards: int = SHARDS,
-          blocks: int = BLOCKS) -> tuple[DataFrame, DataFrame]:
+def deal(known: DataFrame, shards: int | None = None, blocks: int | None = None,
+         task_bytes: int = TASK_BYTES) -> DataFrame:
+    """(dim, shards, blocks, tasks) of each dimension of the classes; what is
+    not given follows from the count of its classes.  ``tasks`` counts full
+    ones, so that many small dimensions share theirs."""
+    value = known.schema["v"].dataType.elementType
+    each = F.col("dim").cast("long") * (4 + (4 if isinstance(value, T.FloatType) else 8)) + 144
+    full = F.ceil(F.col("n") * each / F.lit(task_bytes))
+    count = [F.lit(given) if given else F.greatest(full, F.lit(least))
+             for given, least in ((shards, SHARDS), (blocks, BLOCKS))]
+    return known.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).select(
+        "dim", count[0].cast("long").alias("shards"), count[1].cast("long").alias("blocks"),
+        (full * full).cast("long").alias("tasks"))
+
+
+def links(known: DataFrame, threshold: float = THRESHOLD, shards: int | None = None,
+          blocks: int | None = None, task_bytes: int = TASK_BYTES) -> tuple[DataFrame, DataFrame]:
     """What the classes of cosine ``threshold`` or more amount to: (a, b)
     links that join all of them, at most one per class and task, and (cid,
     others) with the number of vectors that each class links with.  A task
     counts and unites what it finds; pairs do not leave it."""
-    shard = F.pmod(F.xxhash64("cid"), F.lit(shards))
-    dealt = known.select("cid", "v", "dim", "n", shard.alias("shard"))
+    sizes = materialize(deal(known, shards, blocks, task_bytes), "dealing")
+    total = sizes.agg(F.max("shards").alias("shards"), F.sum("tasks").alias("tasks"),
+                      F.max(F.col("shards") * F.col("blocks")).alias("most")).first()
+    builds = max(total.shards or 1, round((total.tasks or 1) ** 0.5))
+    tasks = max(total.most or 1, total.tasks or 1)
+    sized = known.join(sizes.select("dim", "shards", "blocks"), "dim")
+    dealt = sized.select("cid", "v", "dim", "n", "blocks",
+                         F.expr("pmod(xxhash64(cid), shards)").alias("shard"))
 
     def graphs(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("cid", ignore_index=True)
@@ -272,16 +298,14 @@ def links(known: DataFrame, threshold: float = THRESHOLD, shards: int = SHARDS,
         data = pickle.dumps((graph, pdf["cid"].to_numpy()[order], vec[order],
                              pdf["n"].to_numpy()[order]), protocol=5)
         return pd.DataFrame({"dim": pdf["dim"].iloc[:1], "shard": pdf["shard"].iloc[:1],
-                             "graph": [data]})
-
-    built = materialize(dealt.repartition(shards, "dim", "shard").groupBy("dim", "shard").applyInPandas(
-        graphs, "dim int, shard long, graph binary"), "graphs")
-    tasks = shards * blocks
-    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    queries = known.select("cid", "v", "dim", F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(blocks))
-                           .cast("int").alias("block"),
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-                           .alias("shard")).repartition(tasks, "dim", "shard", "block")
+                             "blocks": pdf["blocks"].iloc[:1], "graph": [data]})
+
+    built = materialize(dealt.repartition(builds, "dim", "shard").groupBy("dim", "shard").applyInPandas(
+        graphs, "dim int, shard long, blocks long, graph binary"), "graphs")
+    block = F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block")
+    queries = sized.select("cid", "v", "dim", F.expr("pmod(xxhash64(cid, 1), blocks)").alias("block"),
+                           F.explode(F.expr("sequence(0L, shards - 1)")).alias("shard")
+                           ).repartition(tasks, "dim", "shard", "block")
     served = built.select("dim", "shard", "graph", block).repartition(tasks, "dim", "shard", "block")
 
     def search(q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
@@ -317,11 +341,11 @@ def links(known: DataFrame, threshold: float = THRESHOLD, shards: int = SHARDS,
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", value: str = "embedding",
-                    threshold: float = THRESHOLD, shards: int = SHARDS,
-                    blocks: int = BLOCKS) -> DataFrame:
+                    threshold: float = THRESHOLD, shards: int | None = None,
+                    blocks: int | None = None, task_bytes: int = TASK_BYTES) -> DataFrame:
     """One row per vector: key, n_links, component_id, kept."""
     ids, known = classes(vectors, key, value)
-    found, others = links(known, threshold, shards, blocks)
+    found, others = links(known, threshold, shards, blocks, task_bytes)
     comp = components(found).withColumnRenamed("node", "cid")
     table = materialize(known.select("cid", "n").join(others, "cid", "left").join(comp, "cid", "left").select(
         "cid", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),

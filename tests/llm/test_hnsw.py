@@ -68,3 +68,18 @@ def test_beam_widens_for_a_group_larger_than_the_beam():
     q, r = graph.near(v[-400:], 0.9)
     true = int((v[-400:] @ v.T >= 0.9).sum())
     assert true >= 400 * 400 and len(q) >= 0.99 * true
+
+
+def test_tasks_grow_in_number_and_not_in_size(spark):
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((300, 8)).astype(np.float32)
+    vecs = np.concatenate([base, base[:40] + 0.01]).astype(np.float32).tolist() + [[1.0, 2.0], [3.0, 6.1]]
+    rows = list(enumerate(vecs))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    each = 8 * 8 + 144                                # bytes of a vector
+    _, known = hnsw.classes(df, "vec_id", "embedding")
+    dealt = {r.dim: (r.shards, r.blocks) for r in hnsw.deal(known, task_bytes=25 * each).collect()}
+    assert dealt == {8: (14, 14), 2: (8, 8)}
+    assert {r.shards for r in hnsw.deal(known).collect()} == {hnsw.SHARDS}
+    got = sorted(tuple(r) for r in hnsw.near_duplicates(df, task_bytes=25 * each).collect())
+    assert got == brute(rows)
