@@ -22,9 +22,11 @@ The benchmark's shingles are written first and joined as a table, so Spark
 broadcasts them only if the written size is below its threshold and shuffles
 otherwise.
 
+An item of fewer words than a shingle is one shingle of all its words; texts are
+hashed by that count of words as well, and a window holds it or does not.
+
 Defined cases: null and empty texts, and items without words, match nothing;
-an item (or text) of fewer words than a shingle is one shingle of all its
-words; repeated rows are matched each and give equal rows once; extra columns
+letters of scripts without spaces are words of their own; repeated rows are matched each and give equal rows once; extra columns
 are ignored; empty tables give no rows.
 """
 
@@ -41,10 +43,18 @@ SHINGLE, SIMILARITY = 5, 0.8
 BITS, BLOCKS, RADIUS = 64, 8, 15
 
 WORD_GAP = r"[^\p{L}\p{N}]+"
+#: Letters of scripts without spaces (Thai, Lao, Tibetan, Burmese, Khmer, kana,
+#: Han); the first range is there to pass over all others quickly.
+UNSPACED = (r"[\x{0E00}-\x{3FFFF}&&[\x{0E00}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}"
+            r"\x{3040}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}"
+            r"\x{FF66}-\x{FF9D}\x{20000}-\x{3FFFF}]]")
 
 
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), WORD_GAP), "")
+    """Lower-case runs of letters and digits; a letter of a script without
+    spaces is a word of its own."""
+    apart = F.regexp_replace(F.lower(text), UNSPACED, " $0 ")
+    return F.array_remove(F.split(apart, WORD_GAP), "")
 
 
 def hashes(text: Column, shingle: int = SHINGLE) -> Column:
@@ -52,15 +62,39 @@ def hashes(text: Column, shingle: int = SHINGLE) -> Column:
     fewer.  The words are bound to a lambda variable, so that no optimiser
     rule can copy the splitting into the loop over the shingles."""
     def of(w: Column) -> Column:
-        last = F.size(w) - shingle
-        each = F.transform(F.sequence(F.lit(0), last),
-                           lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(shingle)]))
         return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(
-            last < 0, F.array(F.xxhash64(w))).otherwise(each)
+            F.size(w) < shingle, F.array(F.xxhash64(w))).otherwise(_grams(w, shingle))
 
     return F.transform(F.array(words(text)), of)[0]
 
 
+def _grams(w: Column, n: int) -> Column:
+    """Hash of each ``n`` words in a row, of an array of so many words at least."""
+    return F.transform(F.sequence(F.lit(0), F.size(w) - n),
+                       lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)]))
+
+
+def _short_leaks(docs: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+    """Leaks of items of fewer words than a shingle (item, size, h: the one
+    hash of all their words): windows of that size are such a hash as well, so
+    they are as similar if equal and not at all otherwise."""
+    def windows(w: Column, n: int) -> Column:
+        each = F.transform(_grams(w, n), lambda h, i: F.struct(
+            F.lit(n).alias("size"), i.alias("start"), h.alias("h")))
+        return F.when(F.size(w) >= n, each).otherwise(F.array())
+
+    def of(w: Column) -> Column:
+        return F.concat(*[windows(w, n) for n in sizes])
+
+    grams = docs.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("tid"), F.explode_outer(
+        F.transform(F.array(words(F.col("text").cast("string"))), of)[0]).alias("g"))
+    return grams.select("key", "tid", "g.size", "g.start", "g.h").join(
+        items.select("item", "size", F.col("h")[0].alias("h")), ["size", "h"]).select(
+        F.col("key").alias("doc_id"), "tid", F.col("item").alias("item_id"),
+        F.col("start").cast("long").alias("start_word"), F.col("size").cast("long").alias("n_words"),
+        F.lit(0).alias("distance"), F.lit(1.0).alias("similarity"))
+
+
 def _n_words(h: Column, shingle: int = SHINGLE) -> Column:
     """Words of a text of as many as ``shingle`` words; of shorter ones it is
     their one shingle that counts."""
@@ -120,9 +154,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
 def _leaks(docs: DataFrame, benchmark: DataFrame, shingle: int, similarity: float,
            radius: int, blocks: int) -> DataFrame:
     """The rows of ``find_leaks`` with tid, the hash of the document's text."""
-    items = materialize(_shingled(benchmark, "item_id", "text", shingle).select(
-        F.col("key").alias("item"), "tid", "h", _n_words(F.col("h"), shingle).alias("size")).distinct(),
+    words_of = words(F.col("text").cast("string"))
+    items = materialize(benchmark.select(
+        F.col("item_id").alias("item"), F.xxhash64("text").alias("tid"),
+        hashes(F.col("text").cast("string"), shingle).alias("h"), F.size(words_of).alias("size")).distinct(),
         "items").filter("size > 0")
+    short = items.filter(F.col("size") < shingle)
+    sizes = sorted(r[0] for r in short.select("size").distinct().collect())  # fewer than ``shingle``
+    items = items.filter(F.col("size") >= shingle)
     counted = items.select("item", "tid", "size", F.explode("h").alias("h")).groupBy(
         "item", "tid", "size", "h").agg(F.count(F.lit(1)).alias("weight"))
     counted = materialize(counted, "item-shingles")
@@ -193,11 +232,12 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, shingle: int, similarity: floa
                        F.col("item").eqNullSafe(F.col("i")) & (F.col("tid") == F.col("t"))).join(
         wtotals, "wid").withColumn("similarity", F.col("c") / (F.col("a") + F.col("b") - F.col("c"))
                                    ).filter(F.col("similarity") >= similarity - 1e-12)
-    return windows.select("wid", "key", "tid", "start", "size").join(
+    found = windows.select("wid", "key", "tid", "start", "size").join(
         same.select("wid", "item", "distance", "similarity"), "wid").select(
         F.col("key").alias("doc_id"), "tid", F.col("item").alias("item_id"),
         F.col("start").cast("long").alias("start_word"), F.col("size").cast("long").alias("n_words"),
         F.col("distance").cast("int").alias("distance"), "similarity")
+    return found.unionByName(_short_leaks(docs, short, sizes)) if sizes else found
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

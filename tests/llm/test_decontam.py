@@ -107,3 +107,25 @@ def test_simhash(spark):
     got = [x[0] for x in spark.createDataFrame(rows, "h array<long>").select(dc.simhash(F.col("h"))).collect()]
     want = [sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) for h, in rows]
     assert [g % (1 << 64) for g in got] == want
+
+
+def test_short_items_inside_longer_texts(spark):
+    items = [(1, "one two three"), (2, "Single"), (3, "four, words; in line"), (4, "w1 w2"), (5, "w1 w2 w3 w4 w5 w6")]
+    docs = [(1, "some text that counts one, two; THREE and goes on"), (2, "one two four three"), (3, "a single"),
+            (4, "single"), (5, "w1 w2 w3 w4 w5 w6 w1 w2"), (6, "four words in line"), (None, "four words in"),
+            (7, ""), (8, None), (9, "one two"), (10, "one two three")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    rows = dc.find_leaks(d, b).collect()
+    assert {(r.doc_id, r.item_id): r.similarity for r in rows} == brute(docs, items)
+    assert sorted((r.start_word, r.n_words) for r in rows if r.doc_id == 5) == [(0, 2), (0, 6), (6, 2)]
+    assert {r.doc_id for r in dc.decontaminate(d, b).collect()} == {2, None, 7, 8, 9}
+
+
+def test_scripts_without_spaces(spark):
+    long, short = "\u4eca\u65e5\u306f\u3068\u3066\u3082\u826f\u3044\u5929\u6c17\u3067\u3059", "\u6771\u4eac\u90fd"
+    b = spark.createDataFrame([(1, long), (2, short)], "item_id long, text string")
+    d = spark.createDataFrame([(1, "\u524d" * 9 + long + "\u5f8c" * 9), (2, "\u5927" + short + "\u5e81"),
+                               (3, "\u5927\u5e81\u6771\u4eac"), (4, "plain")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.start_word, r.n_words) for r in dc.find_leaks(d, b).filter("similarity = 1").collect()}
+    assert got == {(1, 1, 9, len(long)), (2, 2, 1, 3)}
