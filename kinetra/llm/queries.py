@@ -1,4 +1,4 @@
-"""The ten operators as queries: ``(spark, sf_dir) -> DataFrame``, with their
+"""The operators as queries: ``(spark, sf_dir) -> DataFrame``, with their
 production parameters over whole tables, and DuckDB SQL where SQL can state
 the result."""
 
@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm import chat, decontam, hnsw, packing, pii, ppm, quality_bt, simhash_trie, suffix_dedup, warc
+from kinetra.llm import (chat, decontam, filter_audit, hnsw, packing, pii, ppm, quality_bt, simhash_trie,
+                         suffix_dedup, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +68,10 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontam": op8_decontam,
     "op9_pii": op9_pii,
     "op10_suffix": op10_suffix,
+    "op13_filters": op13_filters,
 }
 
 ORACLE: dict[str, str] = {
@@ -105,4 +111,49 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(body_chars + CASE WHEN opens THEN 16 + role_chars ELSE 8 END
            + CASE WHEN closes THEN 7 ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM pieces GROUP BY conv_id""",
+    # Straight from the definitions: a document's failed filters as letters; a step
+    # removes those that fail its letter and none of the letters before it.
+    "op13_filters": """
+WITH input AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+marked AS (
+  SELECT doc_id, part,
+    CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM input),
+flags AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+sets AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM marked LEFT JOIN flags USING (doc_id) GROUP BY part, fails),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE b.l <> a.l AND c.l NOT IN (a.l, b.l) AND d.l NOT IN (a.l, b.l, c.l)
+    AND e.l NOT IN (a.l, b.l, c.l, d.l)),
+steps AS (
+  SELECT filter_order, step, filter_order[step] AS f, left(filter_order, step - 1) AS before
+  FROM orders, (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS step)),
+judged AS (
+  SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS fails_f, fails = f AS alone,
+         length(translate(fails, before, '')) < length(fails) AS gone
+  FROM sets, steps),
+counted AS (
+  SELECT part, filter_order, step, f,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND NOT fails_f), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND fails_f), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (gone AND fails_f), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (alone), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (NOT gone AND fails_f), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (NOT gone AND fails_f), 0) AS BIGINT) AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, f)
+SELECT * EXCLUDE (f), CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM counted""",
 }

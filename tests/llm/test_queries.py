@@ -19,6 +19,7 @@ COLUMNS = {
     "op8_decontam": "doc_id item_id start_word n_words distance similarity",
     "op9_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op10_suffix": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op13_filters": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
 }
 TABLE = {"op4_embeddings": "embeddings", "op5_warc": "pages"}
 
@@ -27,7 +28,9 @@ TABLE = {"op4_embeddings": "embeddings", "op5_warc": "pages"}
 def test_query(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.columns == COLUMNS[name].split()
-    if name in ("op3_chat", "op7_packing", "op8_decontam"):
+    if name == "op13_filters":
+        assert df.count() == 600 * spark.read.parquet(f"{SF}/documents.parquet").select("source").distinct().count()
+    elif name in ("op3_chat", "op7_packing", "op8_decontam"):
         assert df.count() > 0
     else:
         assert df.count() == spark.read.parquet(f"{SF}/{TABLE.get(name, 'documents')}.parquet").count()
@@ -36,7 +39,8 @@ def test_query(spark, name):
 @pytest.mark.parametrize("name", ORACLE)
 def test_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    for t in ("conversations", "documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     want = con.execute(ORACLE[name])
     columns = [d[0] for d in want.description]
