@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.llm import (chat, decontam, filter_audit, hnsw, packing, pii, ppm, quality_bt, simhash_trie,
-                         suffix_dedup, warc)
+from kinetra.llm import (chat, decontam, filter_audit, hnsw, packing, pii, ppm, quality_bt, sharding,
+                         simhash_trie, suffix_dedup, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,18 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+#: op11 finds the documents in so many shards, by their source, and makes so many.
+OLD_SHARDS, NEW_SHARDS = 16, 24
+
+
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_source = F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")) % OLD_SHARDS
+    found = sharding.reshard(table(spark, sf_dir, "documents"), by_source, NEW_SHARDS)
+    return found.select(F.col("doc.doc_id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"),
+                        "shard", F.col("slot").cast("long").alias("slot"),
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -83,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontam": op8_decontam,
     "op9_pii": op9_pii,
     "op10_suffix": op10_suffix,
+    "op11_sharding": op11_sharding,
     "op13_filters": op13_filters,
 }
 

@@ -19,6 +19,7 @@ COLUMNS = {
     "op8_decontam": "doc_id item_id start_word n_words distance similarity",
     "op9_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op10_suffix": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op11_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op13_filters": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
 }
 TABLE = {"op4_embeddings": "embeddings", "op5_warc": "pages"}
