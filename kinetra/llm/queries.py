@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetra.llm import (chat, decontam, filter_audit, hnsw, packing, pii, ppm, quality_bt, sharding,
-                         simhash_trie, suffix_dedup, warc)
+                         simhash_trie, spelling, suffix_dedup, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,10 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -96,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op9_pii": op9_pii,
     "op10_suffix": op10_suffix,
     "op11_sharding": op11_sharding,
+    "op12_spelling": op12_spelling,
     "op13_filters": op13_filters,
 }
 

@@ -20,6 +20,7 @@ COLUMNS = {
     "op9_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op10_suffix": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op11_sharding": "doc_id size text_crc32 law shard slot grown_shard",
+    "op12_spelling": "word n n_near form form_n root",
     "op13_filters": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
 }
 TABLE = {"op4_embeddings": "embeddings", "op5_warc": "pages"}
@@ -31,7 +32,7 @@ def test_query(spark, name):
     assert df.columns == COLUMNS[name].split()
     if name == "op13_filters":
         assert df.count() == 600 * spark.read.parquet(f"{SF}/documents.parquet").select("source").distinct().count()
-    elif name in ("op3_chat", "op7_packing", "op8_decontam"):
+    elif name in ("op3_chat", "op7_packing", "op8_decontam", "op12_spelling"):
         assert df.count() > 0
     else:
         assert df.count() == spark.read.parquet(f"{SF}/{TABLE.get(name, 'documents')}.parquet").count()
