@@ -3,7 +3,7 @@
   ingest     load ragged files (path or folder + glob) into the raw tables
   stream     same, as a file stream (each new file once; availableNow)
   transform  rebuild models, merge the fact, run all checks, gate
-  sql        run a SQL statement over the registered warehouse views
+  sql        run a SQL statement over the registered warehouse views and functions
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import argparse
 import datetime as dt
 import json
 
+from kinetra.functions import sql as sql_functions
 from kinetra.operators import load
 from kinetra.plans.warehouse import Warehouse, run_transform
 from kinetra.session import build_session
@@ -71,6 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         w = Warehouse(load.read_raw(spark, args.raw_root, "tracks"),
                       load.read_raw(spark, args.raw_root, "trajectory_points"))
         w.register_views(spark)
+        sql_functions.register(spark)
         answer = spark.sql(args.statement)
         if args.out:
             answer.write.parquet(args.out)

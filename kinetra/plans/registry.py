@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinetra.functions import sql as sql_functions
 from kinetra.functions.columns import surrogate_key
 from kinetra.operators import incremental, load, marts, quality
 from kinetra.operators.load import first_wins
@@ -174,6 +175,28 @@ def q_track_deltas(spark, sf_dir):
         "delta_speed_kmh", r6("delta_distance_m").alias("delta_distance_m"), "speed_bucket")
 
 
+def q_sql_track_deltas(spark, sf_dir):
+    """The delta model written as SQL text, over the views and SQL functions."""
+    events_wh(spark, sf_dir).register_views(spark, prefix="sql_")
+    sql_functions.register(spark)
+    return spark.sql("""
+        SELECT surrogate_key(array(source_file, CAST(track_id AS STRING), CAST(frame_idx AS STRING)))
+                 AS trajectory_point_sk,
+               surrogate_key(array(source_file, CAST(track_id AS STRING))) AS track_sk,
+               frame_idx, prev_speed_kmh, prev_seconds_since_start, prev_latitude, prev_longitude,
+               seconds_since_start - prev_seconds_since_start AS delta_time_sec,
+               speed_kmh - prev_speed_kmh AS delta_speed_kmh,
+               round(haversine_meters(prev_latitude, prev_longitude, latitude, longitude), 6)
+                 AS delta_distance_m,
+               speed_bucket(speed_kmh) AS speed_bucket
+        FROM (
+          SELECT *, lag(speed_kmh) OVER w AS prev_speed_kmh,
+                 lag(seconds_since_start) OVER w AS prev_seconds_since_start,
+                 lag(latitude) OVER w AS prev_latitude, lag(longitude) OVER w AS prev_longitude
+          FROM sql_stg_trajectory_points
+          WINDOW w AS (PARTITION BY track_sk ORDER BY frame_idx))""")
+
+
 def q_track_kinematics(spark, sf_dir):
     return events_wh(spark, sf_dir).track_kinematics
 
@@ -240,6 +263,18 @@ def q_incremental_new_rows_by_key(spark, sf_dir):
     return fact_view(incremental.new_fact_rows_by_key(w.stg_points, incremental.read_table(spark, path)))
 
 
+def q_incremental_swapped_frames(spark, sf_dir):
+    """The old fact holds a stale frame in the place of some tracks' first one: as many
+    frames as it should, and one of them missing."""
+    path, w = _old_fact_table(spark, sf_dir)
+    swapped = (F.col("track_id") % 10 == 4) & (F.col("frame_idx") == 0)
+    stale = incremental.read_table(spark, path).select(*[
+        F.when(swapped, F.lit(v)).otherwise(F.col(c)).alias(c) if (v := {
+            "frame_idx": -1, "trajectory_point_sk": "stale"}.get(c)) else F.col(c)
+        for c in marts.FACT_COLUMNS])
+    return fact_view(incremental.new_fact_rows_by_key(w.stg_points, stale))
+
+
 def q_fact_merge(spark, sf_dir):
     """New rows, and old rows of some tracks changed: another acceleration and
     a speed that becomes NULL."""
@@ -253,10 +288,12 @@ def q_fact_merge(spark, sf_dir):
 
 
 def q_fact_schema_sync(spark, sf_dir):
-    # The stored fact predates speed_bucket and still carries a legacy column.
-    path, w = _old_fact_table(spark, sf_dir, drop=["speed_bucket"],
-                              extra={"legacy_flag": F.lit(True)})
-    incremental.merge_into(spark, path, _new_rows(spark, path, w))
+    # The stored fact still carries a legacy column; speed_bucket is dropped by a run
+    # without new rows and comes back with the next one: old rows have lost it.
+    path, w = _old_fact_table(spark, sf_dir, extra={"legacy_flag": F.lit(True)})
+    new = _new_rows(spark, path, w)
+    incremental.merge_into(spark, path, new.drop("speed_bucket").filter(F.lit(False)))
+    incremental.merge_into(spark, path, new)
     return fact_view(incremental.read_table(spark, path))
 
 
@@ -384,11 +421,12 @@ def q_accel_sample_hash(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # J. streaming
 
-def _stream_load(spark, sf_dir, refresh_fact: bool) -> str:
+def _stream_load(spark, sf_dir, refresh_fact: bool, files_per_batch: int | None = None) -> str:
     folder = testdata.write_ragged_fixture(spark, sf_dir)
     root = scratch_path(spark, "stream-raw")
     ingest.run_ragged_ingest(spark, folder, root, checkpoint=root + "/_checkpoint",
                              glob="ragged_*.csv", refresh_fact=refresh_fact,
+                             max_files_per_trigger=files_per_batch,
                              loaded_at=dt.datetime.fromisoformat(RAGGED_LOADED_AT))
     return root
 
@@ -399,7 +437,9 @@ def q_stream_ragged_load(spark, sf_dir):
 
 
 def q_stream_fact_refresh(spark, sf_dir):
-    root = _stream_load(spark, sf_dir, refresh_fact=True)
+    # several micro-batches, all of one loaded_at
+    files = testdata.ragged_file_count(testdata.table(spark, sf_dir, "orders").count())
+    root = _stream_load(spark, sf_dir, refresh_fact=True, files_per_batch=-(-files // 2))
     f = incremental.read_table(spark, root + "/fct_trajectory_points")
     return fact_view(f).withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
 
@@ -418,14 +458,17 @@ QUERIES: dict[str, Query] = {
     "speed_bucket": q_speed_bucket,
     "haversine": q_haversine,
     "track_deltas": q_track_deltas,
+    "sql_track_deltas": q_sql_track_deltas,
     "track_kinematics": q_track_kinematics,
     "dim_vehicle_type": q_dim_vehicle_type,
     "dim_track": q_dim_track,
     "fct_points": q_fct_points,
     "agg_speed_by_type": q_agg_speed_by_type,
+    "agg_speed_by_type_distributed": q_agg_speed_by_type,      # the only plan there is
     "agg_speed_approx": q_agg_speed_approx,
     "incremental_new_rows": q_incremental_new_rows,
     "incremental_new_rows_by_key": q_incremental_new_rows_by_key,
+    "incremental_swapped_frames": q_incremental_swapped_frames,
     "fact_merge": q_fact_merge,
     "fact_schema_sync": q_fact_schema_sync,
     "dq_not_null": _dq({"not_null"}),

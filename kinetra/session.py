@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -58,7 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
-        d = tempfile.mkdtemp(prefix="kinetra-ckpt-")
+        d = Path(tempfile.mkdtemp(prefix="kinetra-ckpt-")).as_uri()
+        spark.conf.set("spark.checkpoint.dir", d)
+    elif not urlparse(d).scheme:
+        # A bare path belongs to the default file system: the one the session began
+        # with, also if that setting changes later.
+        fs, p = _hadoop_path(spark, d)
+        d = fs.makeQualified(p).toString()
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

@@ -11,6 +11,11 @@ even when the file is split across tasks.  Tokenising, shape checks, strict
 number parsing and the unnest of the blocks are all Catalyst expressions
 (split / transform / slice / inline), so every split of every file is parsed
 in parallel inside whole-stage codegen, with no Python on the hot path.
+
+Files are UTF-8.  The reader decodes them as ISO-8859-1, one character per byte, so
+that nothing is replaced on the way in: only lines that hold other bytes than ASCII
+are turned back into bytes and judged by ``is_valid_utf8``.  A line that holds a
+genuine U+FFFD is a line like others; a broken byte rejects its line.
 """
 
 from __future__ import annotations
@@ -38,7 +43,7 @@ _LINE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "nullValue": "\u0002",
     "mode": "PERMISSIVE",
-    "encoding": "UTF-8",
+    "encoding": "ISO-8859-1",
     "columnNameOfCorruptRecord": "_whole",
 }
 # A line that holds the reader's separator fills ``_whole``; its text is kept
@@ -55,7 +60,8 @@ REJECT_SEPARATOR = "control_character"
 def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Text lines of the ragged files below ``path`` with file lineage.
 
-    Columns: source_file, line, _block_start (byte offset of the split).
+    Columns: source_file, line, _utf8 (its bytes are valid; else ``line`` has
+    U+FFFD for the broken ones), _block_start (byte offset of the split).
     """
     reader = spark.read.schema(_LINE_SCHEMA).options(**_LINE_OPTIONS)
     if glob:
@@ -77,26 +83,32 @@ def read_lines_stream(spark: SparkSession, path: str, glob: str | None = None,
 
 
 def _with_lineage(df: DataFrame) -> DataFrame:
+    read = F.coalesce("_whole", "line")
+    text = F.encode(read, "ISO-8859-1").cast("string")      # the line's own bytes
+    ascii_only = ~read.rlike(r"[^\x00-\x7f]")
     out = df.select(
         F.col("_metadata.file_name").alias("source_file"),
-        F.coalesce("_whole", "line").alias("line"),
+        F.when(ascii_only, read).otherwise(F.make_valid_utf8(text)).alias("line"),
+        (ascii_only | F.is_valid_utf8(text)).alias("_utf8"),
         F.col("_metadata.file_block_start").alias("_block_start"),
     )
-    # Blank (whitespace-only) lines carry no record.
-    return out.filter(F.col("line").isNotNull() & (strip_ws("line") != ""))
+    # Blank (whitespace-only) lines carry no record; the search ends at the
+    # first character that is none.
+    return out.filter(F.col("line").rlike(r"(?U)\S"))
 
 
 def tokenize(lines: DataFrame) -> DataFrame:
     """Add ``fields`` (array<string>): strip the line, drop trailing ';',
     split, strip every field.  Lines of printable ASCII (white space is the
     blank only) are trimmed and split literally, their fields trimmed where
-    they are used; other lines take the Unicode patterns."""
+    they are used; other lines take the Unicode patterns first."""
     line = F.col("line")
-    literal = F.split(F.rtrim(F.rtrim(F.trim(line), F.lit(DELIMITER))), DELIMITER, -1)
+    literal = F.rtrim(F.rtrim(F.trim(line), F.lit(DELIMITER)))
     body = F.regexp_replace(strip_ws("line"), f"{DELIMITER}+$", "")
     body = F.regexp_replace(body, r"(?U)\s+$", "")
-    patterned = F.split(body, rf"(?U)\s*{DELIMITER}\s*", -1)
-    return lines.withColumn("fields", F.when(line.rlike(r"[^\x20-\x7e]"), patterned).otherwise(literal))
+    patterned = F.regexp_replace(body, rf"(?U)\s*{DELIMITER}\s*", DELIMITER)
+    return lines.withColumn("fields", F.split(
+        F.when(line.rlike(r"[^\x20-\x7e]"), patterned).otherwise(literal), DELIMITER, -1))
 
 
 def _parse_columns() -> dict[str, Column]:
@@ -132,7 +144,7 @@ def _reject_reason() -> Column:
     header_bad = (F.col("track_id").isNull() | F.col("traveled_d").isNull()
                   | F.col("avg_speed").isNull())
     nums_bad = ~F.col("nums_syntax_ok") | F.exists(F.col("nums"), lambda x: x.isNull())
-    return (F.when(F.col("line").contains("\ufffd"), REJECT_ENCODING)
+    return (F.when(~F.col("_utf8"), REJECT_ENCODING)
             .when(F.col("line").contains(_LINE_OPTIONS["sep"]), REJECT_SEPARATOR)
             .when(n < FIXED_FIELDS, REJECT_TOO_FEW)
             .when((n - FIXED_FIELDS) % BLOCK_FIELDS != 0, REJECT_REMAINDER)

@@ -298,6 +298,51 @@ def test_schema_sync_keeps_files_and_takes_empty_batches(spark, tmp_dir):
     assert got == {"k1": ("1", None), "k2": ("5", "n"), "k3": ("seven", "n")}
 
 
+def test_a_column_that_comes_back_has_lost_its_values(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    cols = "trajectory_point_sk string, source_file string, note string"
+    merge = lambda rows, schema: incremental.merge_into(
+        spark, path, spark.createDataFrame(rows, schema))
+    merge([("a", "f", "old")], cols)
+    merge([("b", "g")], "trajectory_point_sk string, source_file string")
+    merge([("c", "h", "new")], cols)
+    got = {r.trajectory_point_sk: r.note for r in incremental.read_table(spark, path).collect()}
+    assert got == {"a": None, "b": None, "c": "new"}
+
+
+def test_refresh_follows_the_batch_and_not_the_clock(spark, tmp_dir):
+    """Two batches of one load time, one of an earlier time, and a replayed epoch."""
+    src, root = f"{tmp_dir}/in", f"{tmp_dir}/raw"
+    row = "{}; Car; 10; 5; " + "37.9; 23.7; 5; 0; 0; 0.0; 37.9; 23.7; 6; 0; 0; 0.04\n"
+    for name, track in (("a.csv", 1), ("b.csv", 2), ("c.csv", 3)):
+        write_text(src, name, HEADER + row.format(track))
+    at = dt.datetime(2024, 5, 1)
+    facts = lambda: sorted((r.source_file, r.frame_idx) for r in incremental.read_table(
+        spark, f"{root}/fct_trajectory_points").collect())
+    for epoch, name, stamp in ((0, "a.csv", at), (1, "b.csv", at), (1, "b.csv", at),
+                               (2, "c.csv", at - dt.timedelta(hours=1))):
+        ingest.load_epoch(ragged.read_lines(spark, src, name), epoch, root, loaded_at=stamp, refresh_fact=True)
+    assert facts() == [(f, i) for f in ("a.csv", "b.csv", "c.csv") for i in (0, 1)]
+    # an epoch that was loaded but not merged goes with the next one
+    write_text(src, "d.csv", HEADER + row.format(4))
+    lines = ragged.read_lines(spark, src, "d.csv")
+    ragged.RaggedBatch(ragged.parse(lines)).tracks.select("source_file", "track_id").write.parquet(
+        f"{root}/{ingest.LEDGER}/epoch=3")
+    load.load_batch(ragged.RaggedBatch(ragged.parse(lines)), root, loaded_at=at)
+    write_text(src, "e.csv", HEADER + row.format(5))
+    ingest.load_epoch(ragged.read_lines(spark, src, "e.csv"), 4, root, loaded_at=at, refresh_fact=True)
+    assert facts() == [(f"{f}.csv", i) for f in "abcde" for i in (0, 1)]
+    assert not os.path.exists(f"{root}/{ingest.LEDGER}/epoch=4")
+
+
+def test_digest_finds_a_missing_frame_beside_a_stale_one(spark):
+    frames = lambda *idx: spark.createDataFrame([(i,) for i in idx], "frame_idx int").agg(
+        incremental.frame_digest().alias("d")).first().d
+    assert frames(0, 1, 2) == frames(2, 0, 1)
+    others = [frames(0, 1, 3), frames(0, 1, 1), frames(0, 0, 0), frames(0, 1), frames(0, 1, 2, 2), frames(1, 1, 1)]
+    assert frames(0, 1, 2) not in others and len(set(others)) == len(others)
+
+
 def test_paths_without_scheme_belong_to_the_default_file_system(spark, tmp_dir):
     from kinetra.session import path_exists
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -105,6 +105,25 @@ def test_entry_runs(spark):
     assert F is not None and ragged_batch is not None
 
 
+def test_sql_functions_are_inlined(spark):
+    p = plan(QUERIES["sql_track_deltas"](spark, SF))
+    assert "ASIN(" in p and "md5(" in p
+    assert not any(word in p for word in ("haversine_meters(", "surrogate_key(", "PythonUDF", "BatchEvalPython",
+                                          "ScalaUDF", "SQLFunction"))
+
+
+def test_sql_functions_treat_nulls_like_the_column_functions(spark):
+    from kinetra.functions import columns, sql
+    sql.register(spark)
+    df = spark.createDataFrame([(None, "x", 1.0), ("x", None, None), ("a", "b", float("nan")), (None, None, -3.0)],
+                               "a string, b string, v double")
+    got = df.selectExpr("surrogate_key(array(a, b)) k", "speed_bucket(v) s",
+                        "haversine_meters(v, 1, 2, 3) d").collect()
+    want = df.select(columns.surrogate_key("a", "b").alias("k"), columns.speed_bucket("v").alias("s"),
+                     columns.haversine_m("v", F.lit(1), F.lit(2), F.lit(3)).alias("d")).collect()
+    assert [(r.k, r.s, str(r.d)) for r in got] == [(r.k, r.s, str(r.d)) for r in want]
+
+
 def test_sql_over_registered_views(spark):
     w = events_wh(spark, SF)
     w.register_views(spark, prefix="t_")

@@ -148,3 +148,18 @@ def test_undecodable_bytes_rejected(spark, tmp_dir):
     b = ragged.read_ragged(spark, tmp_dir, "bad_bytes.csv")
     assert [r.track_id for r in b.tracks.collect()] == [1]
     assert [r.reject_reason for r in b.rejects.collect()] == ["bad_encoding"]
+
+
+def test_bytes_decide_about_encoding(spark, tmp_dir):
+    """A genuine U+FFFD loads, a broken byte rejects its line and no other."""
+    good = "1; Vo\u00edture\ufffd; 1; 2; 37.9; 23.7; 5; 0; 0; 0.0\n"
+    path = os.path.join(tmp_dir, "bytes.csv")
+    with open(path, "wb") as fh:
+        fh.write(HEADER.encode() + good.encode() + b"2; Ca\xffr; 1; 2\n" + b"3; Car\xc3; 1; 2\n"
+                 + "4; \u8eca\U0001f697; 1; 2\n".encode() + "\u00a0 \u3000\n".encode() + b"5; Car; 1; 2\r\n")
+    batch = ragged.read_ragged(spark, tmp_dir, "bytes.csv")
+    assert [(r.track_id, r.vehicle_type) for r in batch.tracks.orderBy("track_id").collect()] == [
+        (1, "Vo\u00edture\ufffd"), (4, "\u8eca\U0001f697"), (5, "Car")]
+    assert batch.points.count() == 1
+    assert sorted((r.first_field, r.reject_reason, r.line) for r in batch.rejects.collect()) == [
+        ("2", "bad_encoding", "2; Ca\ufffdr; 1; 2"), ("3", "bad_encoding", "3; Car\ufffd; 1; 2")]
