@@ -62,14 +62,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
         d = Path(tempfile.mkdtemp(prefix="kinetra-ckpt-")).as_uri()
         spark.conf.set("spark.checkpoint.dir", d)
-    elif not urlparse(d).scheme:
-        # A bare path belongs to the default file system: the one the session began
-        # with, also if that setting changes later.
-        fs, p = _hadoop_path(spark, d)
-        d = fs.makeQualified(p).toString()
-        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
+    if not urlparse(d).scheme:
+        # A bare path belongs to the default file system: the one that the context
+        # qualified it with (as <folder>/<id>), also if that setting changes later.
+        held = spark.sparkContext.getCheckpointDir().rsplit("/", 1)[0]
+        if urlparse(held).path.rstrip("/") == d.rstrip("/"):
+            return held
     return str(d)
 
 
