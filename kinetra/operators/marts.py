@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinetra.functions.columns import surrogate_key
-from kinetra.functions.quantiles import percentiles_of_counts, value_counts
+from kinetra.functions.order_statistics import class_counts, in_order, percentiles
+from kinetra.operators import speed_partials
 from kinetra.session import materialize
 
 FACT_COLUMNS = [
@@ -63,29 +64,63 @@ def speeds_by_type(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame)
         F.sum("_c").alias("_c")), "speeds-by-type")
 
 
-def agg_speed_by_vehicle_type(fct: DataFrame, dim_trk: DataFrame,
-                              vehicle_types: DataFrame) -> DataFrame:
-    """Count, mean, extremes, deviation and percentiles per type, all from the
-    same speed counts."""
-    counts = speeds_by_type(fct, dim_trk, vehicle_types)
-    v, c = F.col("_v"), F.col("_c")
-    basic = materialize(counts.groupBy(*TYPE_KEYS).agg(
-        F.sum(c).alias("observation_count"),
-        F.sum(F.when(v.isNotNull(), c)).alias("_n"),
-        (F.sum(v * c) / F.sum(F.when(v.isNotNull(), c))).alias("avg_speed_kmh"),
-        F.min(v).alias("min_speed_kmh"), F.max(v).alias("max_speed_kmh")), "speed-means")
-    # squared distances from the known mean: as exact as a two-pass deviation
-    spread = counts.join(basic.select(*TYPE_KEYS, "avg_speed_kmh", "_n"), TYPE_KEYS).groupBy(
-        *TYPE_KEYS, "_n").agg(F.sum(c * (v - F.col("avg_speed_kmh")) * (v - F.col("avg_speed_kmh")))
-                              .alias("_ss")).select(
-        *TYPE_KEYS, F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1)))
-        .alias("stddev_speed_kmh"))
-    pct = percentiles_of_counts(counts, TYPE_KEYS, {"median_speed_kmh": 0.5, "p95_speed_kmh": 0.95})
-    return basic.join(spread, TYPE_KEYS, "left").join(pct, TYPE_KEYS, "left").select(
+def _values_and_owners(fct: DataFrame, dim_trk: DataFrame) -> tuple[DataFrame, DataFrame]:
+    values = fct.select(F.col("track_sk").alias("_owner"), F.col("speed_kmh").alias("_v")).filter("_v IS NOT NULL")
+    owners = dim_trk.select(F.col("track_sk").alias("_owner"), F.col("vehicle_type_sk").alias("_group"))
+    return values, owners.filter("_group IS NOT NULL")
+
+
+def agg_speed_by_vehicle_type(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,
+                              by_type: DataFrame | None = None) -> DataFrame:
+    """Count, mean, extremes, deviation and exact percentiles per type.
+
+    All but the percentiles come from merged partials (``by_type``, or made from the
+    frames); the percentiles read the fact's speeds, of which only those near a
+    percentile are shuffled."""
+    dim_trk = materialize(dim_trk.select("track_sk", "vehicle_type_sk"), "track-types")
+    by_type = materialize(by_type if by_type is not None else speed_partials.of_types(fct, dim_trk),
+                          "speeds-by-type")
+    values, owners = _values_and_owners(fct, dim_trk)
+    found = percentiles(values, owners, by_type.withColumnRenamed("vehicle_type_sk", "_group"),
+                        {"median": 0.5, "p95": 0.95})
+    pct = fct.sparkSession.createDataFrame(
+        [(g, q["median"], q["p95"]) for g, q in found.items()],
+        "vehicle_type_sk string, median_speed_kmh double, p95_speed_kmh double")
+    return speed_partials.moments(by_type, vehicle_types).join(pct, "vehicle_type_sk", "left").select(
         *TYPE_KEYS, "observation_count", "avg_speed_kmh", "min_speed_kmh", "max_speed_kmh",
         "stddev_speed_kmh", "median_speed_kmh", "p95_speed_kmh")
 
 
+def speed_box(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,
+              by_type: DataFrame | None = None) -> DataFrame:
+    """Box plot per type with speeds: quartiles, Tukey whiskers (1.5 IQR) and outliers.
+    The fences cut the axis into classes, whose counts and extremes say the rest."""
+    dim_trk = materialize(dim_trk.select("track_sk", "vehicle_type_sk"), "track-types")
+    by_type = materialize(by_type if by_type is not None else speed_partials.of_types(fct, dim_trk),
+                          "speeds-by-type")
+    values, owners = _values_and_owners(fct, dim_trk)
+    found = percentiles(values, owners, by_type.withColumnRenamed("vehicle_type_sk", "_group"),
+                        {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    fences = {g: (q["q1"] - 1.5 * (q["q3"] - q["q1"]), q["q3"] + 1.5 * (q["q3"] - q["q1"]))
+              for g, q in found.items()}
+    bounds = in_order(x for f in fences.values() for x in f)
+    place = {str(u): i for i, u in enumerate(bounds)}
+    counts = class_counts(values, owners, bounds)
+    rows = []
+    for g, q in found.items():
+        lo, hi = (2 * place[str(x)] + 1 for x in fences[g])
+        inside = [r for c, r in counts[g].items() if lo <= c <= hi]
+        total = sum(r.n for r in counts[g].values())
+        low = [r.low for r in inside]
+        rows.append((g, q["q1"], q["median"], q["q3"], q["q3"] - q["q1"],
+                     in_order(low)[0] if low else None, in_order(r.high for r in inside)[-1] if low else None,
+                     total - sum(r.n for r in inside), total))
+    box = fct.sparkSession.createDataFrame(
+        rows, "vehicle_type_sk string, q1 double, median double, q3 double, iqr double, lower_whisker double, "
+              "upper_whisker double, outlier_count long, observation_count long")
+    return box.join(vehicle_types.select(*TYPE_KEYS), "vehicle_type_sk").drop("vehicle_type_sk")
+
+
 def points_by_type(fct: DataFrame, dim_trk: DataFrame, vehicle_types: DataFrame,
                    cols: list[str]) -> DataFrame:
     """Fact rows with their vehicle type (for the sketch, which takes rows)."""

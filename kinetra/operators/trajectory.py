@@ -15,8 +15,12 @@ def points_with_deltas(stg_points: DataFrame, chunk_size: int = DEFAULT_CHUNK) -
     """Each frame with its predecessor in the same track (by frame_idx, gaps
     allowed), time/speed deltas, great-circle step distance and speed bucket.
     The first frame of a track has NULL predecessor and NULL deltas."""
-    w = with_predecessor(stg_points, ["track_sk"], "frame_idx", LAGGED,
-                         prefix="prev_", chunk_size=chunk_size)
+    return with_deltas(with_predecessor(stg_points, ["track_sk"], "frame_idx", LAGGED,
+                                        prefix="prev_", chunk_size=chunk_size))
+
+
+def with_deltas(w: DataFrame) -> DataFrame:
+    """Deltas, step distance and speed bucket of frames that have their ``prev_*``."""
     return w.select(
         "*",
         (F.col("seconds_since_start") - F.col("prev_seconds_since_start")).alias("delta_time_sec"),

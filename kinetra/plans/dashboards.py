@@ -7,8 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinetra.functions.quantiles import percentiles_of_counts
-from kinetra.operators.marts import speeds_by_type
+from kinetra.operators import marts
 from kinetra.session import materialize
 
 HISTOGRAM_BINS = 30
@@ -31,22 +30,12 @@ def fleet_mix(dim_track: DataFrame, vehicle_types: DataFrame) -> DataFrame:
                          (F.col("track_count") / total).alias("share"))
 
 
-def speed_box_by_type(fct: DataFrame, dim_track: DataFrame, vehicle_types: DataFrame) -> DataFrame:
-    """Box plot per type: quartiles, Tukey whiskers (1.5 IQR), outlier count,
-    all from the speed counts of the types."""
-    counts = speeds_by_type(fct, dim_track, vehicle_types).filter("_v IS NOT NULL")
-    by_name = ["vehicle_type_name"]
-    q = percentiles_of_counts(counts, by_name, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    q = materialize(q.select("*", (F.col("q3") - F.col("q1")).alias("iqr")), "box-quartiles")
-    lo = F.col("q1") - 1.5 * F.col("iqr")
-    hi = F.col("q3") + 1.5 * F.col("iqr")
-    v, c = F.col("_v"), F.col("_c")
-    inside = (v >= lo) & (v <= hi)
-    return counts.join(q, by_name).groupBy(*by_name, "q1", "median", "q3", "iqr").agg(
-        F.min(F.when(inside, v)).alias("lower_whisker"),
-        F.max(F.when(inside, v)).alias("upper_whisker"),
-        F.sum(F.when(~inside, c).otherwise(0)).alias("outlier_count"),
-        F.sum(c).alias("observation_count"))
+def speed_box_by_type(fct: DataFrame, dim_track: DataFrame, vehicle_types: DataFrame,
+                      by_type: DataFrame | None = None) -> DataFrame:
+    """Box plot per type (see ``marts.speed_box``)."""
+    return marts.speed_box(fct, dim_track, vehicle_types, by_type).select(
+        "vehicle_type_name", "q1", "median", "q3", "iqr", "lower_whisker", "upper_whisker",
+        "outlier_count", "observation_count")
 
 
 def speed_histogram(fct: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:

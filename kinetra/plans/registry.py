@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 
 from kinetra.functions import sql as sql_functions
 from kinetra.functions.columns import surrogate_key
-from kinetra.operators import incremental, load, marts, quality
+from kinetra.operators import incremental, load, marts, quality, speed_partials
 from kinetra.operators.load import first_wins
 from kinetra.plans import dashboards
 from kinetra.plans.warehouse import Warehouse, run_transform
 from kinetra.schemas import POINT_KEY, TRACK_KEY
 from kinetra.session import replace_table, scratch_path
 from kinetra.sources import ragged, testdata
-from kinetra.streaming import ingest
+from kinetra.streaming import deltas, ingest
 
 # Fixed values of the test scenarios (the oracle uses the same).
 RAGGED_LOADED_AT = "2024-01-01 00:00:00"
@@ -224,6 +224,45 @@ def q_agg_speed_by_type(spark, sf_dir):
     return _agg_view(events_wh(spark, sf_dir).agg_speed_by_vehicle_type)
 
 
+def _partials_of_two_runs(spark, sf_dir) -> tuple[DataFrame, Warehouse]:
+    """Stored partials after two incremental runs: the second brings a file of its own
+    and new frames of one that was there; the other file's partials are from the first."""
+    w = events_wh(spark, sf_dir)
+    late = (F.col("source_file") == "part2") | (
+        (F.col("source_file") == "part1") & (F.col("loaded_at") >= F.lit(INCREMENTAL_SPLIT)))
+    root = scratch_path(spark, "two-runs")
+    first = incremental.merge_into(spark, f"{root}/fact", Warehouse(
+        w.raw_tracks, w.raw_points.filter(~late)).fct_points)
+    fact = incremental.read_table(spark, f"{root}/fact")
+    speed_partials.refresh(spark, f"{root}/partials", fact, w.dim_track, first)
+    second = incremental.merge_into(spark, f"{root}/fact", w.fct_points.filter(late))
+    fact = incremental.read_table(spark, f"{root}/fact")
+    speed_partials.refresh(spark, f"{root}/partials", fact, w.dim_track, second)
+    return speed_partials.stored(spark, f"{root}/partials"), w
+
+
+def q_speed_moments_merged(spark, sf_dir):
+    """The speed mart's moments from stored partials alone."""
+    partials, w = _partials_of_two_runs(spark, sf_dir)
+    m = speed_partials.moments(speed_partials.of_stored(partials), w.dim_vehicle_type)
+    return m.select("vehicle_type_sk", "vehicle_type_name", "observation_count",
+                    *[r6(c).alias(c) for c in ["avg_speed_kmh", "min_speed_kmh", "max_speed_kmh",
+                                               "stddev_speed_kmh"]])
+
+
+#: Rank error that the merged sketches must keep, as a share of the speeds.
+SKETCH_RANK_ERROR = 0.02
+
+
+def q_speed_sketch_merged(spark, sf_dir):
+    """Whether percentiles of the merged sketches keep the rank error."""
+    partials, w = _partials_of_two_runs(spark, sf_dir)
+    q = speed_partials.sketch_percentiles(speed_partials.of_stored(partials), w.dim_vehicle_type, {
+        "median_speed_kmh": 0.5, "p95_speed_kmh": 0.95}).withColumnRenamed("m", "observation_count")
+    speeds = marts.speeds_by_type(w.fct_points, w.dim_track, w.dim_vehicle_type)
+    return marts.approx_rank_errors(q, speeds, accuracy=int(1 / SKETCH_RANK_ERROR))
+
+
 def q_agg_speed_approx(spark, sf_dir):
     """Whether the sketch's percentiles keep their promised rank error."""
     w = events_wh(spark, sf_dir)
@@ -370,7 +409,7 @@ def q_fleet_mix(spark, sf_dir):
 
 def q_speed_box_by_type(spark, sf_dir):
     w = events_wh(spark, sf_dir)
-    b = dashboards.speed_box_by_type(w.fct_points, w.dim_track, w.dim_vehicle_type)
+    b = dashboards.speed_box_by_type(w.speeds, w.dim_track, w.dim_vehicle_type)
     return b.select("vehicle_type_name", *[r6(c).alias(c) for c in
                                            ["q1", "median", "q3", "iqr", "lower_whisker",
                                             "upper_whisker"]],
@@ -444,6 +483,20 @@ def q_stream_fact_refresh(spark, sf_dir):
     return fact_view(f).withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
 
 
+def q_stream_track_deltas(spark, sf_dir):
+    """Frames that arrive in two micro-batches, with a restart between them."""
+    w = events_wh(spark, sf_dir)
+    base = scratch_path(spark, "stream-deltas")
+    later = F.col("loaded_at") >= F.lit(INCREMENTAL_SPLIT)
+    for part in (~later, later):
+        w.stg_points.filter(part).write.mode("append").parquet(f"{base}/in")
+        deltas.run_deltas(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", w.stg_points.schema)
+    return spark.read.parquet(f"{base}/out").filter("NOT late").select(
+        "trajectory_point_sk", "track_sk", "frame_idx", "prev_speed_kmh",
+        "prev_seconds_since_start", "prev_latitude", "prev_longitude", "delta_time_sec",
+        "delta_speed_kmh", r6("delta_distance_m").alias("delta_distance_m"), "speed_bucket")
+
+
 QUERIES: dict[str, Query] = {
     "ragged_headers": q_ragged_headers,
     "ragged_unnest": q_ragged_unnest,
@@ -465,6 +518,8 @@ QUERIES: dict[str, Query] = {
     "fct_points": q_fct_points,
     "agg_speed_by_type": q_agg_speed_by_type,
     "agg_speed_by_type_distributed": q_agg_speed_by_type,      # the only plan there is
+    "speed_moments_merged": q_speed_moments_merged,
+    "speed_sketch_merged": q_speed_sketch_merged,
     "agg_speed_approx": q_agg_speed_approx,
     "incremental_new_rows": q_incremental_new_rows,
     "incremental_new_rows_by_key": q_incremental_new_rows_by_key,
@@ -491,4 +546,5 @@ QUERIES: dict[str, Query] = {
     "accel_sample_hash": q_accel_sample_hash,
     "stream_ragged_load": q_stream_ragged_load,
     "stream_fact_refresh": q_stream_fact_refresh,
+    "stream_track_deltas": q_stream_track_deltas,
 }

@@ -16,7 +16,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetra.operators import incremental, load, marts, quality, staging, trajectory
+from kinetra.operators import (incremental, load, marts, quality, speed_partials, staging,
+                               trajectory)
 from kinetra.operators.sequence import DEFAULT_CHUNK
 from kinetra.session import materialize, replace_table
 from kinetra.sources import testdata
@@ -73,12 +74,24 @@ class Warehouse:
             return self._tables["fct_trajectory_points"]
         return marts.fct_points(self.points_with_deltas)
 
+    @cached_property
+    def speeds(self) -> DataFrame:
+        """(track_sk, source_file, speed_kmh) of the fact: of the written table, or else
+        written for the statistics that read them more than once.  The fact takes these
+        columns from staging as they are."""
+        cols = ["track_sk", "source_file", "speed_kmh"]
+        if "fct_trajectory_points" in self._tables:
+            return self.fct_points.select(*cols)
+        return materialize(self.stg_points.select(*cols), "speeds")
+
     @cached_property
     def agg_speed_by_vehicle_type(self) -> DataFrame:
         if "agg_speed_by_vehicle_type" in self._tables:
             return self._tables["agg_speed_by_vehicle_type"]
+        partials = self._tables.get("speed_partials")
         return marts.agg_speed_by_vehicle_type(
-            self.fct_points, self.dim_track, self.dim_vehicle_type)
+            self.speeds, self.dim_track, self.dim_vehicle_type,
+            speed_partials.of_stored(partials) if partials is not None else None)
 
     def register_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
         """Expose the layers to ``spark.sql`` as temp views (lazy: a view is
@@ -140,7 +153,9 @@ def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_id: str
     1. source freshness of both raw tables (an ``error`` stops the run);
     2. table models rebuilt below ``out_root`` (new folder, then swap), except
        the fact, which is merged incrementally (new frames only: after the
-       high-water mark, or with ``new_rows="keys"`` every missing key);
+       high-water mark, or with ``new_rows="keys"`` every missing key); the speed
+       partials of the files that the merge touched are made anew, and the speed
+       aggregate takes its moments and sketches from the stored partials;
     3. all declared checks and the two assertions, after every write;
     4. models (status, rows, start, seconds) and check results appended to the
        run history; error-level failures raise.
@@ -165,8 +180,11 @@ def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_id: str
                 else:
                     new = incremental.new_fact_rows(w.stg_points, incremental.high_water_mark(fact),
                                                     w.chunk_size)
-                incremental.merge_into(spark, path, new)
+                touched = incremental.merge_into(spark, path, new)
                 table = incremental.read_table(spark, path)
+                partials = f"{out_root}/speed_partials"
+                speed_partials.refresh(spark, partials, table, w.dim_track, touched)
+                w = w.with_table("speed_partials", speed_partials.stored(spark, partials))
             else:
                 table = replace_table(MODEL[name](w), path)
             entry["rows"] = table.count()      # from the files' footers
