@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,22 +55,23 @@ def held_out() -> Column:
 
 def codes(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """(code of each symbol under its ``order`` predecessors, texts' ends)."""
-    gap = np.full(order, START, np.int64)
-    parts = []
-    for t in texts:
-        parts += [gap, np.frombuffer(t, np.uint8).astype(np.int64), [END]]
-    run = np.concatenate(parts) if parts else np.zeros(0, np.int64)
     size = np.array([len(t) + 1 for t in texts], np.int64)
     ends = np.cumsum(size)
+    if not texts:
+        return np.zeros(0, np.int64), ends
+    gap = bytes(order)
+    run = np.frombuffer(b"".join([x for t in texts for x in (gap, t, b"\0")]), np.uint8).astype(np.int64)
+    last = np.cumsum(size + order) - 1
     own = np.ones(len(run), bool)           # symbols that are predicted
-    first = np.cumsum(size + order) - size - order
     for j in range(order):
-        own[first + j] = False
-    at = np.flatnonzero(own)
-    out = np.zeros(len(at), np.int64)
-    for j in range(order, -1, -1):
-        out = (out << SYMBOL_BITS) | run[at - j]
-    return out, ends
+        at = last - size - j
+        run[at], own[at] = START, False
+    run[last] = END
+    # the symbol of each place and, shifted in from behind it, those before
+    out = run.copy()
+    for j in range(1, order + 1):
+        out[j:] |= run[:-j] << (SYMBOL_BITS * j)
+    return out[own], ends
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -283,7 +285,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
                         text = text.as_py().lower()
                         tokens = text.split()
                         tokens.append(b"")
-                        c = np.array([known.get(t, 0) for t in tokens])
+                        c = np.fromiter(map(known.get, tokens, repeat(0)), np.int64, len(tokens))
                         base = float(np.log10(c + 0.5).sum()) - len(tokens) * share
                         u, n = np.unique(codes([text], order)[0], return_counts=True)
                         out.append((doc, held, len(tokens), int((c > 0).sum()), n_all, base,
