@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from kinetra.session import materialize
 
 LENGTH, GRAM = 400, 50
-SHARD_BYTES, GROUP_BYTES = 4 << 20, 1 << 20
+SHARD_BYTES, GROUP_BYTES = 4 << 20, 4 << 20
 SEGMENT = 1 << 20                # window starts that are hashed at once
 _POSITION = np.uint64((1 << 24) - 1)
 
