@@ -227,10 +227,45 @@ def log_probabilities(grams: DataFrame, order: int) -> DataFrame:
     return out
 
 
+class Table:
+    """A block's codes and their values, by the upper bits of a multiplied code: the
+    codes of a bucket lie together, most buckets hold one or none."""
+
+    def __init__(self, keys: np.ndarray, vals: np.ndarray):
+        self.shift = np.uint64(64 - max(1, int(2 * len(keys)).bit_length()))
+        bucket = self._bucket(keys)
+        order = np.argsort(bucket, kind="stable")
+        self.keys, self.vals = keys[order], vals[order]
+        self.starts = np.searchsorted(bucket[order], np.arange(1 << int(64 - int(self.shift)))).astype(np.int32)
+
+    def _bucket(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """Values of codes that are all in the table."""
+        at = self.starts[self._bucket(codes)]
+        todo = np.flatnonzero(self.keys[at] != codes)
+        while len(todo):
+            at[todo] += 1
+            todo = todo[self.keys[at[todo]] != codes[todo]]
+        return self.vals[at]
+
+
 OUT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
        "base_score double, score double")
 
 
+def _sums(texts: list[bytes], logs: Table, order: int) -> Iterator[float]:
+    """Sum of the symbols' logarithms of each text, some texts at a time."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > CHUNK_BYTES or i == len(texts) - 1:
+            found, ends = codes(texts[first:i + 1], order)
+            yield from np.add.reduceat(logs.of(found), np.r_[0, ends[:-1]]).tolist()
+            first, size = i + 1, 0
+
+
 def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     blocks = _blocks(docs)
@@ -260,8 +295,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, known, parts = None, {}, []
-        keys = vals = np.zeros(0)
+        now, known, parts, logs = None, {}, [], None
         share = math.log10(n_all + 0.5 * (v_all + 1))
         for b in batches:
             block, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -277,19 +311,15 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
                     parts.append((part.column(3).to_numpy(), part.column(4).to_numpy()))
                 else:
                     if parts:
-                        keys, vals = (np.concatenate(x) for x in zip(*parts))
-                        order_ = np.argsort(keys)
-                        keys, vals, parts = keys[order_], vals[order_], []
-                    for text, doc, held in zip(part.column(2), part.column(3).to_pylist(),
-                                               part.column(5).to_pylist()):
-                        text = text.as_py().lower()
+                        logs, parts = Table(*(np.concatenate(x) for x in zip(*parts))), []
+                    texts = [t.as_py().lower() for t in part.column(2)]
+                    for text, logp, doc, held in zip(texts, _sums(texts, logs, order),
+                                                     part.column(3).to_pylist(), part.column(5).to_pylist()):
                         tokens = text.split()
                         tokens.append(b"")
                         c = np.fromiter(map(known.get, tokens, repeat(0)), np.int64, len(tokens))
                         base = float(np.log10(c + 0.5).sum()) - len(tokens) * share
-                        u, n = np.unique(codes([text], order)[0], return_counts=True)
-                        out.append((doc, held, len(tokens), int((c > 0).sum()), n_all, base,
-                                    float(vals[np.searchsorted(keys, u)] @ n)))
+                        out.append((doc, held, len(tokens), int((c > 0).sum()), n_all, base, logp))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), (
