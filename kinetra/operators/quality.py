@@ -1,10 +1,8 @@
 """Declared data-quality checks and their evaluation.
 
 Every declared check becomes one result row (model, column, test, failures,
-severity, status).  Row-wise checks (not_null, between) of one model are
-evaluated together in a single aggregation pass; the unique, accepted-values
-and relationships checks of one column read its value counts (partial
-aggregation first).  Failure counts follow the generic test definitions:
+severity, status).  All checks of all models are one aggregation with one pass
+over each model (see ``evaluate``).  Failure counts follow the generic test definitions:
 not_null / between / relationships count rows, unique counts duplicated
 values, accepted_values counts distinct unaccepted values (NULL passes).
 """
@@ -13,13 +11,20 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import json
 import time
+from collections import defaultdict
 from dataclasses import dataclass
+from functools import reduce
+from itertools import count
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetra.schemas import SPEED_BUCKETS, VEHICLE_TYPES
+from kinetra.session import materialize
+
 
 @dataclass(frozen=True)
 class Check:
@@ -103,72 +108,81 @@ def _status(failures: F.Column, severity: F.Column) -> F.Column:
     return (F.when(failures == 0, "pass").when(severity == "warn", "warn").otherwise("fail"))
 
 
-def _row_wise(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All not_null / between checks of one model in one aggregation pass."""
-    exprs = []
-    for c in checks:
-        col = F.col(c.column)
-        if c.test == "not_null":
-            bad = col.isNull()
-        else:
-            cond = F.expr(c.row_condition) if c.row_condition else F.lit(True)
-            bad = cond & ~((col >= F.lit(c.low)) & (col <= F.lit(c.high)))
-        exprs.append(F.count_if(bad).alias(f"c{len(exprs)}"))
-    agg = df.agg(*exprs)
-    rows = F.array(*[
-        F.struct(F.lit(model).alias("model"), F.lit(c.column).alias("column_name"),
-                 F.lit(c.test).alias("test_name"), F.col(f"c{i}").cast("long").alias("failures"),
-                 F.lit(c.severity).alias("severity"))
-        for i, c in enumerate(checks)])
-    return agg.select(F.inline(rows))
+def _bad(c: Check) -> F.Column:
+    """Whether a row fails a not_null or between check."""
+    col = F.col(c.column)
+    if c.test == "not_null":
+        return col.isNull()
+    cond = F.expr(c.row_condition) if c.row_condition else F.lit(True)
+    return cond & ~((col >= F.lit(c.low)) & (col <= F.lit(c.high)))
+
+
+ROW_WISE = ("not_null", "between")
+
+
+def check_entries(models: dict[str, DataFrame], row_wise: dict[Check, int],
+                  columns: dict[tuple[str, str], int]) -> DataFrame:
+    """(id, v) of every model in one pass over each: an entry per row and checked
+    column with the column's value, and one without a value per row and failed
+    row-wise check."""
+    parts = []
+    for model in dict.fromkeys([*(c.model for c in row_wise), *(m for m, _ in columns)]):
+        failed = [F.when(_bad(c), F.struct(F.lit(i).alias("id"), F.lit(None).cast("string").alias("v")))
+                  for c, i in row_wise.items() if c.model == model]
+        values = [F.struct(F.lit(i).alias("id"), F.col(c).cast("string").alias("v"))
+                  for (m, c), i in columns.items() if m == model]
+        entries = [F.array(*values)] if values else []
+        if failed:
+            entries.append(F.filter(F.array(*failed), lambda x: x.isNotNull()))
+        parts.append(models[model].select(F.inline(F.concat(*entries))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def evaluate(models: dict[str, DataFrame], checks: list[Check] = CHECKS,
              tests: set[str] | None = None) -> DataFrame:
-    """One row per check.  Checks of one model share passes: all not_null and
-    between checks are one aggregate; a column's accepted_values, unique and
-    relationships checks read the counts of its values, grouped once."""
-    parts: list[DataFrame] = []
-    selected = [c for c in checks if (tests is None or c.test in tests) and c.model in models]
-    row_wise: dict[str, list[Check]] = {}
-    by_column: dict[tuple[str, str], list[Check]] = {}
-    for c in selected:
-        if c.test in ("not_null", "between"):
-            row_wise.setdefault(c.model, []).append(c)
-        else:
-            by_column.setdefault((c.model, c.column), []).append(c)
-    for model, cs in row_wise.items():
-        parts.append(_row_wise(model, models[model], cs))
-    for (model, column), cs in by_column.items():
-        parts.append(_by_value(models, model, column, cs))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("status", _status(F.col("failures"), F.col("severity")))
-
+    """One row per check.
 
-def _by_value(models: dict[str, DataFrame], model: str, column: str, checks: list[Check]) -> DataFrame:
-    """Checks on the values of one column, from their counts: a hot value
-    collapses in the map tasks, and parents are joined once per value."""
-    counts = models[model].filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    failures = []
-    for i, c in enumerate(checks):
-        if c.test == "unique":
-            bad = F.count_if(F.col("_n") > 1)
-        elif c.test == "accepted_values":
-            bad = F.count_if(~F.col("_v").isin(list(c.values)))
-        else:
-            parent = models[c.parent].select(F.col(c.parent_column).alias("_v")).filter(
-                "_v IS NOT NULL").distinct().withColumn(f"_has{i}", F.lit(True))
-            counts = counts.join(parent, "_v", "left")
-            bad = F.coalesce(F.sum(F.when(F.col(f"_has{i}").isNull(), F.col("_n"))), F.lit(0))
-        failures.append(bad.cast("long").alias(f"c{i}"))
-    rows = F.array(*[F.struct(
-        F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(c.test).alias("test_name"),
-        F.col(f"c{i}").alias("failures"), F.lit(c.severity).alias("severity"))
-        for i, c in enumerate(checks)])
-    return counts.agg(*failures).select(F.inline(rows))
+    Every model is read once.  Its rows become entries (check or column, value), which
+    one aggregation counts; partial counts collapse hot values in the map tasks.  The
+    counts, written once, say the rest: a value counted twice is not unique, an entry of
+    a row-wise check is a failure, and the values of a foreign key and of its parent meet
+    in a second, smaller aggregation.  Values are compared themselves, not their hashes."""
+    selected = [c for c in checks if (tests is None or c.test in tests) and c.model in models]
+    number = count()
+    row_wise = {c: next(number) for c in selected if c.test in ROW_WISE}
+    related = [c for c in selected if c.test == "relationships"]
+    columns = {k: next(number) for k in dict.fromkeys(
+        [(c.model, c.column) for c in selected if c.test not in ROW_WISE]
+        + [(c.parent, c.parent_column) for c in related])}
+    counts = materialize(check_entries(models, row_wise, columns).groupBy("id", "v").agg(
+        F.count(F.lit(1)).alias("n")), "check-values")
+
+    known = F.col("v").isNotNull()
+    strange = [(F.col("id") == columns[c.model, c.column]) & ~F.col("v").isin(list(c.values))
+               for c in selected if c.test == "accepted_values"]
+    by_id = counts.groupBy("id").agg(
+        F.sum("n").alias("entries"), F.count_if(known & (F.col("n") > 1)).alias("repeated"),
+        F.count_if(known & reduce(or_, strange, F.lit(False))).alias("strange"))
+    sides = defaultdict(list)       # id of a column -> its part in relationships
+    for i, c in enumerate(related):
+        sides[str(columns[c.model, c.column])].append({"rel": i, "parent": False})
+        sides[str(columns[c.parent, c.parent_column])].append({"rel": i, "parent": True})
+    side = F.from_json(F.lit(json.dumps(sides)), "map<string,array<struct<rel:int,parent:boolean>>>")
+    orphans = counts.filter(known).select("v", "n", F.inline(F.try_element_at(side, F.col("id").cast("string")))
+                                          ).groupBy("rel", "v").agg(
+        F.max("parent").alias("has"), F.sum(F.when(~F.col("parent"), F.col("n"))).alias("n")).groupBy("rel").agg(
+        F.sum(F.when(~F.col("has"), F.col("n"))).alias("orphans"))
+
+    rows = [(c.model, c.column, c.test, c.severity, row_wise.get(c, columns.get((c.model, c.column))),
+             related.index(c) if c in related else -1) for c in selected]
+    listed = counts.sparkSession.createDataFrame(
+        rows, "model string, column_name string, test_name string, severity string, id int, rel int")
+    test = F.col("test_name")
+    failures = (F.when(test == "unique", F.col("repeated")).when(test == "accepted_values", F.col("strange"))
+                .when(test == "relationships", F.col("orphans")).otherwise(F.col("entries")))
+    return listed.join(by_id, "id", "left").join(orphans, "rel", "left").select(
+        "model", "column_name", "test_name", F.coalesce(failures, F.lit(0)).cast("long").alias("failures"),
+        "severity").withColumn("status", _status(F.col("failures"), F.col("severity")))
 
 
 def assert_max_speed(dim_track: DataFrame) -> DataFrame:

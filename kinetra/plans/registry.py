@@ -23,7 +23,7 @@ from kinetra.operators.load import first_wins
 from kinetra.plans import dashboards
 from kinetra.plans.warehouse import Warehouse, run_transform
 from kinetra.schemas import POINT_KEY, TRACK_KEY
-from kinetra.session import replace_table, scratch_path
+from kinetra.session import materialize, replace_table, scratch_path
 from kinetra.sources import ragged, testdata
 from kinetra.streaming import deltas, ingest
 
@@ -56,7 +56,7 @@ def ragged_batch(spark: SparkSession, sf_dir: str) -> ragged.RaggedBatch:
 
 def ragged_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Raw tables as the loader would write them (first-wins per key)."""
-    b = ragged_batch(spark, sf_dir)
+    b = ragged.RaggedBatch(materialize(ragged_batch(spark, sf_dir).slim().parsed, "parsed"))
     stamp = F.lit(RAGGED_LOADED_AT).cast("timestamp_ntz")
     tracks = first_wins(b.tracks, TRACK_KEY).withColumn("loaded_at", stamp)
     points = first_wins(b.points, POINT_KEY).withColumn("loaded_at", stamp)
@@ -353,7 +353,7 @@ def flawed_ragged_wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The transform run as deployed, over the flawed raw layer: raw tables
     and table models written first, checks afterwards over what is stored."""
     root = scratch_path(spark, "warehouse")
-    t, p = flawed(*ragged_raw(spark, sf_dir))
+    t, p = flawed(*[materialize(x, "raw") for x in ragged_raw(spark, sf_dir)])
     return Warehouse(replace_table(t, root + "/raw_tracks", "source_file"),
                      replace_table(p, root + "/raw_trajectory_points", "source_file")).materialize(root)
 

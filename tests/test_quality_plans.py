@@ -26,6 +26,19 @@ def test_accepted_values_null_passes_and_counts_distinct(spark):
     assert res.failures == 2 and res.status == "fail"
 
 
+def test_each_model_is_read_once(spark, monkeypatch):
+    """One scan per model, however many checks of however many kinds name it."""
+    from kinetra.plans.registry import flawed_ragged_wh
+    seen = {}
+    monkeypatch.setattr(quality, "materialize", lambda df, name: seen.setdefault(name, df))
+    models = flawed_ragged_wh(spark, SF).models()
+    quality.evaluate(models)
+    p = seen["check-values"]._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("Relation [") == sum(m._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+                                        for m in models.values())
+    assert p.count("Aggregate [id") == 1
+
+
 def test_warn_severity(spark):
     df = spark.createDataFrame([(20.0,)], "lon_acceleration_ms2 double")
     checks = [c for c in quality.CHECKS if c.column == "lon_acceleration_ms2"]
