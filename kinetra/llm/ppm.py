@@ -43,6 +43,7 @@ ORDER = 4
 END, START, SYMBOL_BITS = 256, 257, 9
 SYMBOLS = 257                  # bytes and the end
 CHUNK_BYTES = 1 << 20          # texts counted at once
+ROWS_AT_ONCE = 64              # texts scored at once
 KEPT_WORDS = 200_000           # distinct words a task gathers before it emits them
 
 COUNTS = "block long, word binary, code long, n long"
@@ -232,14 +233,15 @@ class Table:
     codes of a bucket lie together, most buckets hold one or none."""
 
     def __init__(self, keys: np.ndarray, vals: np.ndarray):
-        self.shift = np.uint64(64 - max(1, int(2 * len(keys)).bit_length()))
+        self.shift = np.uint64(64 - max(1, len(keys).bit_length()))
         bucket = self._bucket(keys)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(bucket).astype(np.int32)
         self.keys, self.vals = keys[order], vals[order]
-        self.starts = np.searchsorted(bucket[order], np.arange(1 << int(64 - int(self.shift)))).astype(np.int32)
+        size = np.bincount(bucket, minlength=1 << (64 - int(self.shift))).astype(np.int32)
+        self.starts = np.cumsum(size, dtype=np.int32) - size
 
     def _bucket(self, codes: np.ndarray) -> np.ndarray:
-        return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.uint32)
 
     def of(self, codes: np.ndarray) -> np.ndarray:
         """Values of codes that are all in the table."""
@@ -266,6 +268,15 @@ def _sums(texts: list[bytes], logs: Table, order: int) -> Iterator[float]:
             first, size = i + 1, 0
 
 
+def _scored(part: pa.RecordBatch, logs: Table, order: int) -> Iterator[tuple]:
+    """(text, sum of logarithms, doc_id, held_out) of the texts of a batch, a few
+    texts in memory at a time."""
+    for i in range(0, len(part), ROWS_AT_ONCE):
+        few = part.slice(i, ROWS_AT_ONCE)
+        texts = [t.as_py().lower() for t in few.column(2)]
+        yield from zip(texts, _sums(texts, logs, order), few.column(3).to_pylist(), few.column(5).to_pylist())
+
+
 def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     blocks = _blocks(docs)
@@ -312,9 +323,7 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 else:
                     if parts:
                         logs, parts = Table(*(np.concatenate(x) for x in zip(*parts))), []
-                    texts = [t.as_py().lower() for t in part.column(2)]
-                    for text, logp, doc, held in zip(texts, _sums(texts, logs, order),
-                                                     part.column(3).to_pylist(), part.column(5).to_pylist()):
+                    for text, logp, doc, held in _scored(part, logs, order):
                         tokens = text.split()
                         tokens.append(b"")
                         c = np.fromiter(map(known.get, tokens, repeat(0)), np.int64, len(tokens))
