@@ -10,13 +10,15 @@ excluded from all counts.  Below the empty context every symbol not seen is
 equally likely.  Texts end with a symbol of their own, so the scores are log10
 probabilities of whole texts.  Texts are UTF-8 with A-Z lower-cased.
 
-How it is spread: a *block* is one split of the input files.  Its task emits
-the distinct words and contexts of its texts with their training counts; Spark
+How it is spread: a *block* is a run of rows of one file, so many that it holds
+``BLOCK_BYTES`` of text at the corpus' mean length.  It is told by file and row
+number alone, so it is the same in every scan, however the files are split.  Tasks
+emit the distinct words and contexts of their blocks with the training counts; Spark
 sums them over all blocks, gives every distinct context-and-symbol its log
 probability (a join per trie level, only for what had to escape), and sends
-each block the words and contexts it holds.  A task then scores the block's
-texts, one batch at a time.  Nothing is broadcast whose size grows with the
-corpus, and memory follows the size of a split.
+each block the words and contexts it holds.  A task then scores a block's
+texts, one batch at a time, and one block after the other.  Nothing is broadcast
+whose size grows with the corpus, and memory follows the size of a block.
 
 Defined cases: null and empty texts hold only the end; repeated rows are
 counted and scored each; a null doc_id counts as training; with no training
@@ -45,6 +47,8 @@ SYMBOLS = 257                  # bytes and the end
 CHUNK_BYTES = 1 << 20          # texts counted at once
 ROWS_AT_ONCE = 64              # texts scored at once
 KEPT_WORDS = 200_000           # distinct words a task gathers before it emits them
+BLOCK_BYTES = 8 << 20          # text of a block at the mean length
+MOST_TASKS = 50_000            # beyond them a task scores several blocks in turn
 
 COUNTS = "block long, word binary, code long, n long"
 
@@ -131,20 +135,24 @@ class _Block:
              pa.array(grams, pa.int64()), pa.array(n, pa.int64())], ["block", "word", "code", "n"])
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """block, doc_id, held_out, text (UTF-8)."""
+def _blocks(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(block, doc_id, held_out, text (UTF-8)) and the number of tasks to score them."""
     try:
-        docs.select("_metadata.file_path")
-    except AnalysisException:                # not read from files
+        docs.select("_metadata.row_index")
+    except AnalysisException:                # rows without numbers
         docs = materialize(docs.select("doc_id", "text"), "texts")
-    return docs.select(F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("block"),
+    size = docs.agg(F.count(F.lit(1)).alias("rows"),
+                    F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0)).alias("bytes")).first()
+    rows = max(1, BLOCK_BYTES * size.rows // max(1, size.bytes))
+    tasks = min(MOST_TASKS, max(1, -(-size.bytes // BLOCK_BYTES)))
+    return docs.select(F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows)).alias("block"),
                        "doc_id", held_out().alias("held_out"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")), tasks
 
 
 def count(blocks: DataFrame, order: int) -> DataFrame:
-    """Distinct words and codes of each block with their training counts (a
-    block that holds many words emits some of them more than once)."""
+    """Distinct words and codes of each block with their training counts (a block
+    of many words, or one cut by a split, emits some of them more than once)."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: _Block | None = None
         for b in batches:
@@ -279,7 +287,7 @@ def _scored(part: pa.RecordBatch, logs: Table, order: int) -> Iterator[tuple]:
 
 def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    blocks = _blocks(docs)
+    blocks, tasks = _blocks(docs)
     counts = materialize(count(blocks, order), "block-counts")
 
     # a word occurs in each block a few times at most, so no group is hot
@@ -336,4 +344,4 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
                         pa.float64()))],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return rows.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, OUT)
+    return rows.repartition(tasks, "block").sortWithinPartitions("block", "kind").mapInArrow(run, OUT)
