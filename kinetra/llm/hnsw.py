@@ -5,7 +5,8 @@ task builds the graph of a shard.  Its beam width starts at ``BEAM`` and is
 doubled until an audit passes: vectors turned away from stored ones to a
 cosine of exactly the threshold must find them again in at least ``RECALL`` of
 the cases, and stored vectors the neighbours that brute force over the shard
-finds.  Then every class queries every shard (a grid of query blocks and
+finds.  A shard that fails its audit even with a beam as wide as itself (rows that no
+link reaches) is searched by brute force in blocks.  Then every class queries every shard (a grid of query blocks and
 shards, each a task).  A query whose whole beam lies above the threshold is
 repeated with twice the beam, so a group larger than the beam is found whole.
 What comes near the threshold is verified by cosine in double precision and
@@ -17,7 +18,8 @@ blocks of each dimension from its count of classes, so that either stays near
 ``TASK_BYTES``: a larger table makes more tasks, not larger ones.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
-components link with nothing; vectors of different length are not compared;
+components link with nothing; vectors of different length are not compared; of equal
+vectors none is first (each counts the others, the least id names them);
 repeated rows count as vectors of their own; extra columns are ignored; an
 empty table gives no rows.
 """
@@ -159,6 +161,7 @@ class Layer:
 class Graph:
     layers: list[Layer] = field(default_factory=list)   # the lowest is the last
     beam: int = BEAM
+    exact: bool = False             # links do not reach every row: compare with all
 
     def enter(self, q: np.ndarray, down_to: int) -> np.ndarray:
         """Entry rows for layer ``down_to`` by descent from the top."""
@@ -175,6 +178,13 @@ class Graph:
         """(query, row) pairs of similarity ``least`` or more."""
         out_q, out_r = [], []
         base = self.layers[-1]
+        if self.exact:
+            batch = max(16, min(BATCH, (1 << 22) // max(base.size, 1)))
+            for i in range(0, len(q), batch):
+                row, col = np.nonzero(q[i:i + batch] @ base.vec.T >= least)
+                out_q.append(row + i)
+                out_r.append(col)
+            return np.concatenate(out_q or [np.zeros(0, int)]), np.concatenate(out_r or [np.zeros(0, int)])
         todo, beam = np.arange(len(q)), beam or self.beam
         while len(todo):
             beam = min(beam, base.size)
@@ -217,8 +227,9 @@ def build(vec: np.ndarray, seed: int, least: float, degree: int = DEGREE) -> tup
             entry = np.where(entry < done, entry, 0)
             layer.insert(new, entry, degree)
             done += len(new)
-    while graph.beam < len(vec) and audit(graph, vec, rng, least) < RECALL:
+    while (recall := audit(graph, vec, rng, least)) < RECALL and graph.beam < len(vec):
         graph.beam *= 2
+    graph.exact = recall < RECALL
     return graph, order
 
 

@@ -83,3 +83,15 @@ def test_tasks_grow_in_number_and_not_in_size(spark):
     assert {r.shards for r in hnsw.deal(known).collect()} == {hnsw.SHARDS}
     got = sorted(tuple(r) for r in hnsw.near_duplicates(df, task_bytes=25 * each).collect())
     assert got == brute(rows)
+
+
+def test_a_shard_that_fails_its_audit_is_searched_whole(monkeypatch):
+    rng = np.random.default_rng(8)
+    v = hnsw.unit(np.repeat(rng.standard_normal((60, 12)), 5, 0).astype(np.float32)
+                  + 0.02 * rng.standard_normal((300, 12)).astype(np.float32))
+    monkeypatch.setattr(hnsw, "_diverse", lambda sim, ids, vec, m: np.full((len(ids), m), -1))  # no links at all
+    graph, order = hnsw.build(v, 0, 0.9)
+    assert graph.exact and graph.beam >= len(v)
+    q, r = graph.near(v, 0.9)
+    want = np.argwhere(v @ v[order].T >= 0.9)
+    assert sorted(zip(q.tolist(), r.tolist())) == sorted(map(tuple, want.tolist()))
