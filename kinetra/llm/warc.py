@@ -15,7 +15,8 @@ jumping doubles the distance per round, so the rounds grow with the logarithm
 of the blocks of a file.  Records cut by a magic inside their payload are put
 together from their segments and digested then.
 
-Defined cases: a null html is an empty payload; null urls have no target line;
+Defined cases: a null html is an empty payload; bytes that are not UTF-8 are
+kept as they are; null urls have no target line;
 line breaks in a url become spaces; rows with an equal payload that share the
 smallest page_id are all responses; other columns are ignored; an empty table
 gives no rows.  Where a chain breaks (a truncated file), the records before
@@ -44,27 +45,28 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record(page_id, url, payload: bytes, refers_to) -> str:
+def _record(page_id, url: bytes | None, payload: bytes, refers_to) -> bytes:
     revisit = refers_to is not None
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}{CLOSE}"
+    http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}{CLOSE}"
+            ).encode()
     lines = [f"WARC-Type: {'revisit' if revisit else 'response'}",
              f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
              "WARC-Date: 2024-01-01T00:00:00Z",
              f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}"]
-    if url is not None:
-        lines.append("WARC-Target-URI: " + " ".join(url.splitlines()))
     if revisit:
         lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {PROFILE}"]
     size = len(http) + (0 if revisit else len(payload))
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {size}"]
-    body = http if revisit else http + payload.decode("utf-8", "surrogateescape")
-    return MAGIC + "\r\n".join(lines) + CLOSE + body
+    head = [line.encode() for line in lines]
+    if url is not None:
+        head.insert(4, b"WARC-Target-URI: " + b" ".join(url.splitlines()))
+    return MAGIC.encode() + b"\r\n".join(head) + CLOSE.encode() + http + (b"" if revisit else payload)
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
     """Write the pages as WARC files; payloads of fewer than ``least`` bytes
     are never revisits.  Only ids and digests are shuffled."""
-    own = pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"),
+    own = pages.select("page_id", F.col("url").cast("binary").alias("url"), F.coalesce(F.col("html").cast("binary"),
                                                     F.lit("").cast("binary")).alias("payload"))
     own = own.withColumn("sha", F.sha1("payload")).withColumn("bytes", F.length("payload"))
     ids = materialize(own.filter(F.col("bytes") >= least).select("page_id", "sha", "bytes"),
@@ -84,9 +86,10 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
             ids, urls, payloads, refers = (c for c in b.columns)
             yield pa.RecordBatch.from_arrays([pa.array(
                 [_record(i.as_py(), u.as_py(), p.as_py(), r.as_py())
-                 for i, u, p, r in zip(ids, urls, payloads, refers)], pa.string())], ["value"])
+                 for i, u, p, r in zip(ids, urls, payloads, refers)], pa.binary())], ["value"])
 
-    marked.mapInArrow(build, "value string").write.option("lineSep", CLOSE).text(path)
+    # the cast to text keeps the bytes, whatever they are
+    marked.mapInArrow(build, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", CLOSE).text(path)
 
 
 SEGMENT = ("file string, block long, at long, size long, succ long, leaves long, page_id long, "

@@ -63,3 +63,18 @@ def test_repeated_rows_are_all_responses(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert [(r[0], r[3]) for r in got(warc.round_trip(pages))] == [
         (1, "response"), (1, "response"), (2, "revisit")]
+
+
+def test_payloads_of_any_bytes(spark):
+    raw = [(1, b"\xff\xfe<html>"), (2, b"ok"), (3, b"\xff\xfe<html>"), (4, b"\xc3" + warc.MAGIC.encode() + b"\x80\x00"),
+           (5, b"\xed\xa0\x80"), (6, None)]
+    pages = spark.createDataFrame([(i, "h\xe9" if i % 2 else None, h) for i, h in raw],
+                                  "page_id long, url string, html binary")
+    for rows in (pages, pages.withColumn("html", pages.html.cast("string")).withColumn(
+            "url", warc.F.lit(b"http://\xff\n/x").cast("string"))):
+        found = {r.page_id: r for r in warc.round_trip(rows).collect()}
+        assert len(found) == len(raw)
+        for i, h in raw:
+            r = found[i]
+            assert r.payload_bytes == len(h or b"") and r.payload_digest == warc.base32_sha1(h or b"")
+            assert (r.record_type, r.refers_to) == (("revisit", 1) if i == 3 else ("response", None))
