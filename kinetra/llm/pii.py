@@ -8,10 +8,15 @@ are code points, ends are exclusive.
 Kinds: ``email``, ``ip``, ``card`` and ``phone`` follow the fixed definitions
 of the query's contract (leftmost, non-overlapping per kind); ``url`` and
 ``account`` are added by the method: an address after a scheme, and the value
-after an identifier cue.
-
-Defined cases: a null or empty text has no spans; repeated rows are scored
-each; an empty table gives no rows; other columns are ignored.
+after an identifier cue.  What a cue announces is validated by its kind: an IBAN
+by length and remainder 97, a social security number by its parts, an account by 6
+to 17 digits (grouped by single spaces or hyphens), a passport by letters and
+digits; these need no sign between cue and value.  Other values need one (``:``,
+``=``, ``#``, "no", "number") and a digit.
+
+Defined cases: a null or empty text has no spans; texts of any length are read
+whole; of overlapping candidates of a kind the leftmost counts; repeated rows are
+scored each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +46,12 @@ _QUAD = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _DIGIT_CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])*")
 _PHONE_RUN = re.compile(r"[ ().0-9-]*")
 _URL_REST = re.compile(r"[^\s<>\"']+")
-_ACCOUNT = re.compile(r"\s*(?:[:=#]|no\.?|number)\s*[\"']?([A-Za-z0-9][A-Za-z0-9_-]{5,})")
+_LEAD = r"(?:\s*(?:no\.?|nr\.?|number)(?![A-Za-z]))?\s*[:=#]?\s*[\"']?(?<!\w)"
+_SIGNED = re.compile(r"\s*(?:(?:no\.?|nr\.?|number)\s*[:=#]?|[:=#])\s*[\"']?([A-Za-z0-9][A-Za-z0-9_-]{5,})")
+_IBAN = re.compile(_LEAD + r"([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,50})")
+_SSN = re.compile(_LEAD + r"((?!000|666|9)[0-9]{3}([- ]?)(?!00)[0-9]{2}\2(?!0000)[0-9]{4})(?![\w-])")
+_ACCOUNT = re.compile(_LEAD + r"([0-9](?:[ -]?[0-9]){5,16})(?![\w-])")
+_PASSPORT = re.compile(_LEAD + r"([A-Za-z]{0,2}[0-9]{6,9})(?![\w-])")
 _WORD = re.compile(r"\w")
 
 
@@ -92,6 +102,40 @@ def _phone(text: str, plus: int) -> int | None:
     return run if run > plus + 3 and text[run - 1] in _DIGITS else None
 
 
+def _iban(text: str, at: int) -> tuple[int, int] | None:
+    """The longest run of groups after ``at`` that is a valid IBAN."""
+    chain = _IBAN.match(text, at)
+    if not chain:
+        return None
+    start, end = chain.span(1)
+    while end > start:
+        value = text[start:end].replace(" ", "").upper()
+        if len(value) < 15:
+            return None
+        if len(value) <= 34 and not _WORD.match(text[end:end + 1]):
+            moved = value[4:] + value[:4]
+            if int("".join(str(int(c, 36)) for c in moved)) % 97 == 1:
+                return start, end
+        end = max(text.rfind(" ", start, end), start)
+    return None
+
+
+def _announced(cue: str, text: str, at: int) -> tuple[int, int] | None:
+    """The span of the value that ``cue``, which ends at ``at``, announces."""
+    if cue == "iban":
+        return _iban(text, at)
+    if cue == "ssn":
+        found = _SSN.match(text, at)
+        return found.span(1) if found else None
+    shape = {"account": _ACCOUNT, "acct": _ACCOUNT, "passport": _PASSPORT}.get(cue)
+    found = shape and shape.match(text, at)
+    if not found:
+        found = _SIGNED.match(text, at)
+        if not found or not any(c in _DIGITS for c in found.group(1)):
+            return None
+    return found.span(1)
+
+
 def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     """All spans of a text, by kind in the order of KINDS, then start."""
     if not text:
@@ -133,10 +177,9 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
                     past["url"] = end
                     out["url"].append((first, end))
         elif first >= past["account"] and not (first and _WORD.match(text[first - 1])):
-            value = _ACCOUNT.match(text, last + 1)
-            if value and any(c in _DIGITS for c in value.group(1)):
-                past["account"] = value.end(1)
-                out["account"].append(value.span(1))
+            if span := _announced(text[first:last + 1].lower(), text, last + 1):
+                past["account"] = span[1]
+                out["account"].append(span)
     return [(k, a, b) for k in KINDS for a, b in out[k]]
 
 

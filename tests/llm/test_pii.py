@@ -72,6 +72,24 @@ def test_added_kinds_and_masking():
         assert pii.masked(clean) == clean
 
 
+def test_announced_values():
+    def accounts(text):
+        return [text[a:b] for k, a, b in pii.find_spans(text) if k == "account"]
+
+    for text, value in (
+            ("IBAN DE89370400440532013000", "DE89370400440532013000"),
+            ("IBAN: DE89 3704 0044 0532 0130 00 BIC COBADEFF", "DE89 3704 0044 0532 0130 00"),
+            ("iban: gb82 west 1234 5698 7654 32.", "gb82 west 1234 5698 7654 32"),
+            ("account number: 12345678", "12345678"), ("Account 1234 5678 90, paid", "1234 5678 90"),
+            ("acct #AB-12345", "AB-12345"), ("ssn 123-45-6789", "123-45-6789"), ("SSN: 123456789", "123456789"),
+            ("passport no. C01234567", "C01234567"), ('token = "1beb58b8"', "1beb58b8")):
+        assert accounts(text) == [value], text
+    for clean in ("IBAN DE88370400440532013000", "IBAN: DE89 3704", "ssn 000-12-3456", "ssn 123-45-67890",
+                  "ssn 666-45-6789", "account 2024", "accounts 12345678", "account12345678", "passport of 2024",
+                  "token 12345678", "iban " + "A" * 40, "IBAN: DE89370400440532013000X"):
+        assert accounts(clean) == [], clean
+
+
 def test_report_and_redact(spark):
     rows = [(1, "a.b@c.de and 10.0.0.1", "x", 3), (1, "a.b@c.de and 10.0.0.1", "x", 3), (2, None, None, None),
             (3, "", "y", 0), (None, "+49 30 1234567", "z", 1), (4, "x" * 200_000 + " a@b.cc", "w", 1)]
