@@ -15,7 +15,8 @@ accuracy; the middle of equally good ones).  The published score is
 Defined cases: null and empty texts have the features of an empty text; rows
 without a label, or with a null or other label than 0 and 1, are scored but
 not learned from; a null doc_id counts as training but joins no label;
-repeated rows are scored each; without rows of both labels nothing can be
+repeated rows are scored each; texts of any length are read whole; a score at the
+threshold is kept; without rows of both labels nothing can be
 learned and every score is 0.75; extra columns are ignored.
 """
 
@@ -173,7 +174,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     judged by its own text, whatever its doc_id; features are computed again
     for that, so no text is shuffled."""
     model = fit(materialize(featurise(docs), "features"), labels)
-    at, extra = docs.columns.index("text"), "__features"
+    at, extra = docs.columns.index("text"), max(docs.columns, key=len) + "_features"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

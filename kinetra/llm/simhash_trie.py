@@ -265,6 +265,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
 
     # by shuffle at every size: the copies of a corpus fit no broadcast
     firsts = without(docs, gone.hint("merge"), "left_anti")
+    name = max(docs.columns, key=len) + "_hash"           # no column of the table
     return without(firsts, often, "left_anti").unionByName(
-        without(firsts, often, "left_semi").withColumn("__tid", tid)
-        .dropDuplicates(["doc_id", "__tid"]).drop("__tid"))
+        without(firsts, often, "left_semi").withColumn(name, tid)
+        .dropDuplicates(["doc_id", name]).drop(name))

@@ -38,6 +38,48 @@ def test_preferences_are_learned():
     assert np.corrcoef(x @ w, s)[0, 1] > 0.98
 
 
+def test_scores_against_a_plain_fit(spark):
+    """The whole operator again in plain Python: features, preferences, descent on
+    the same loss by another optimiser, threshold by trying every cut."""
+    docs, labels = (spark.read.parquet(f"{SF}/../sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    quality = {r.doc_id: r.quality for r in labels.collect() if r.doc_id in rows and r.quality in (0, 1)}
+    x = {i: np.array(q.features((t or "").encode())) for i, t in rows.items()}
+    train = {i: y for i, y in quality.items() if zlib.crc32(str(i).encode()) % 4 != 2}
+    got = {r.doc_id: r.score for r in q.score(docs, labels).collect()}
+    raw = {i: np.log(s / (1 - s)) for i, s in got.items()}
+
+    # scores are one linear function of the features, 0.7 at a threshold
+    ids = sorted(rows)
+    a = np.stack([np.r_[x[i], 1.0] for i in ids])
+    w, *_ = np.linalg.lstsq(a, np.array([raw[i] for i in ids]), rcond=None)
+    assert np.abs(a @ w - [raw[i] for i in ids]).max() < 1e-5
+    # no other weights have a smaller loss on all preferences than those by more than the sampling of pairs
+    good, bad = (np.stack([x[i] for i in sorted(train) if train[i] == y]) for y in (1, 0))
+    scale = np.vstack([good, bad]).std(0)
+    scale[scale < 1e-12] = np.inf
+    d = ((good[:, None] - bad[None]) / scale).reshape(-1, good.shape[1])
+
+    def loss(v):
+        return np.logaddexp(0, -d @ v).mean() + 0.5e-3 * v @ v
+
+    v = np.zeros(d.shape[1])
+    for _ in range(4000):
+        v += 0.5 * ((d / (1 + np.exp(d @ v))[:, None]).mean(0) - 1e-3 * v)
+    mine = w[:-1] * np.where(np.isinf(scale), 0, scale)
+    assert loss(mine) < 1.25 * loss(v) + 1e-3
+    plain = np.array([x[i] @ np.where(np.isinf(scale), 0, v / scale) for i in ids])
+    assert np.corrcoef(plain, [raw[i] for i in ids])[0, 1] > 0.99
+    # balanced accuracy of the threshold: none of all cuts is better by more than a quantile step
+    y = np.array([train[i] for i in ids if i in train])
+    s = np.array([got[i] for i in ids if i in train])
+
+    def right(cut):
+        return (s[y == 1] >= cut).mean() + (s[y == 0] < cut).mean()
+
+    assert right(0.7) >= max(map(right, s)) - 0.02
+
+
 def test_edges(spark):
     docs = spark.createDataFrame(
         [(1, "good words here", 1, "e"), (2, None, 1, "e"), (3, "", 1, "e"), (3, "", 1, "e"), (None, "BAD!! BAD!!", 0, "e"),
@@ -51,3 +93,5 @@ def test_edges(spark):
     assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows)
     assert q.score(docs.limit(0), labels).count() == 0
     assert q.keep_good(docs, labels).columns == docs.columns
+    clash = docs.withColumnRenamed("x", "__features")
+    assert q.keep_good(clash, labels).columns == clash.columns
