@@ -47,7 +47,7 @@ SYMBOLS = 257                  # bytes and the end
 CHUNK_BYTES = 1 << 20          # texts counted at once
 ROWS_AT_ONCE = 64              # texts scored at once
 KEPT_WORDS = 200_000           # distinct words a task gathers before it emits them
-BLOCK_BYTES = 8 << 20          # text of a block at the mean length
+BLOCK_BYTES = 12 << 20         # text of a block at the mean length
 MOST_TASKS = 50_000            # beyond them a task scores several blocks in turn
 
 COUNTS = "block long, word binary, code long, n long"
