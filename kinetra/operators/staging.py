@@ -2,36 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinetra.functions.columns import surrogate_key
 
 
+def track_columns() -> dict[str, Column]:
+    return {
+        "track_sk": surrogate_key("source_file", "track_id"),
+        "source_file": F.col("source_file"),
+        "track_id": F.col("track_id"),
+        "vehicle_type": F.col("vehicle_type"),
+        "total_distance_m": F.col("traveled_d"),
+        "avg_speed_kmh": F.col("avg_speed"),
+        "loaded_at": F.col("loaded_at"),
+    }
+
+
+def point_columns() -> dict[str, Column]:
+    return {
+        "trajectory_point_sk": surrogate_key("source_file", "track_id", "frame_idx"),
+        "track_sk": surrogate_key("source_file", "track_id"),
+        "source_file": F.col("source_file"),
+        "track_id": F.col("track_id"),
+        "frame_idx": F.col("frame_idx"),
+        "latitude": F.col("lat"),
+        "longitude": F.col("lon"),
+        "speed_kmh": F.col("speed"),
+        "lon_acceleration_ms2": F.col("lon_acc"),
+        "lat_acceleration_ms2": F.col("lat_acc"),
+        "seconds_since_start": F.col("time_sec"),
+        "loaded_at": F.col("loaded_at"),
+    }
+
+
+def _renamed(raw: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return raw.select(*[c.alias(n) for n, c in columns.items()])
+
+
 def stg_tracks(raw_tracks: DataFrame) -> DataFrame:
-    return raw_tracks.select(
-        surrogate_key("source_file", "track_id").alias("track_sk"),
-        "source_file",
-        "track_id",
-        "vehicle_type",
-        F.col("traveled_d").alias("total_distance_m"),
-        F.col("avg_speed").alias("avg_speed_kmh"),
-        "loaded_at",
-    )
+    return _renamed(raw_tracks, track_columns())
 
 
 def stg_points(raw_points: DataFrame) -> DataFrame:
-    return raw_points.select(
-        surrogate_key("source_file", "track_id", "frame_idx").alias("trajectory_point_sk"),
-        surrogate_key("source_file", "track_id").alias("track_sk"),
-        "source_file",
-        "track_id",
-        "frame_idx",
-        F.col("lat").alias("latitude"),
-        F.col("lon").alias("longitude"),
-        F.col("speed").alias("speed_kmh"),
-        F.col("lon_acc").alias("lon_acceleration_ms2"),
-        F.col("lat_acc").alias("lat_acceleration_ms2"),
-        F.col("time_sec").alias("seconds_since_start"),
-        "loaded_at",
-    )
+    return _renamed(raw_points, point_columns())

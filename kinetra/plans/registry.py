@@ -11,15 +11,18 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinetra import catalog
 from kinetra.functions import sql as sql_functions
 from kinetra.functions.columns import surrogate_key
 from kinetra.operators import incremental, load, marts, quality, speed_partials
 from kinetra.operators.load import first_wins
+from kinetra.operators.observed import Observed
 from kinetra.plans import dashboards
 from kinetra.plans.warehouse import Warehouse, run_transform
 from kinetra.schemas import POINT_KEY, TRACK_KEY
@@ -336,6 +339,16 @@ def q_fact_schema_sync(spark, sf_dir):
     return fact_view(incremental.read_table(spark, path))
 
 
+def q_fact_publish(spark, sf_dir):
+    """The fact behind a catalog name: older frames with a wrong bucket first, then all
+    files' partitions switched to the whole fact."""
+    w = events_wh(spark, sf_dir)
+    name, root = f"fct_{uuid.uuid4().hex[:12]}", scratch_path(spark, "published")
+    old = w.fct_points.filter(F.col("loaded_at") < F.lit(INCREMENTAL_SPLIT)).withColumn("speed_bucket", F.lit("OLD"))
+    catalog.publish(old, name, root, "source_file")
+    return fact_view(catalog.publish(w.fct_points, name, root, "source_file"))
+
+
 # ---------------------------------------------------------------------------
 # K. data quality (over the ragged warehouse: it has real violations)
 
@@ -349,13 +362,14 @@ def flawed(tracks: DataFrame, points: DataFrame) -> tuple[DataFrame, DataFrame]:
             points.unionByName(points.filter((k % 60 == 2) & (F.col("frame_idx") == 0))))
 
 
-def flawed_ragged_wh(spark: SparkSession, sf_dir: str) -> Warehouse:
+def flawed_ragged_wh(spark: SparkSession, sf_dir: str, seen: Observed | None = None) -> Warehouse:
     """The transform run as deployed, over the flawed raw layer: raw tables
-    and table models written first, checks afterwards over what is stored."""
+    and table models written first, checks afterwards over what is stored (or, with
+    ``seen``, row-wise ones by the writes)."""
     root = scratch_path(spark, "warehouse")
     t, p = flawed(*[materialize(x, "raw") for x in ragged_raw(spark, sf_dir)])
-    return Warehouse(replace_table(t, root + "/raw_tracks", "source_file"),
-                     replace_table(p, root + "/raw_trajectory_points", "source_file")).materialize(root)
+    return Warehouse(*[replace_table(df, f"{root}/{name}", "source_file", seen and seen.watch(name))
+                       for name, df in (("raw_tracks", t), ("raw_trajectory_points", p))]).materialize(root, seen)
 
 
 def _dq(tests: set[str] | None):
@@ -364,6 +378,15 @@ def _dq(tests: set[str] | None):
     return run
 
 
+def _dq_observed(tests: set[str]):
+    """Row-wise checks from the metrics of the run's own writes."""
+    def run(spark, sf_dir):
+        seen = Observed(tests=tests)
+        flawed_ragged_wh(spark, sf_dir, seen)
+        return seen.results(spark)
+    return run
+
+
 def q_dq_max_speed(spark, sf_dir):
     # Over the events warehouse: its speeds reach ~490 km/h, so rows return.
     return quality.assert_max_speed(events_wh(spark, sf_dir).dim_track)
@@ -526,11 +549,12 @@ QUERIES: dict[str, Query] = {
     "incremental_swapped_frames": q_incremental_swapped_frames,
     "fact_merge": q_fact_merge,
     "fact_schema_sync": q_fact_schema_sync,
-    "dq_not_null": _dq({"not_null"}),
+    "fact_publish": q_fact_publish,
+    "dq_not_null": _dq_observed({"not_null"}),
     "dq_unique": _dq({"unique"}),
     "dq_accepted_values": _dq({"accepted_values"}),
     "dq_relationships": _dq({"relationships"}),
-    "dq_between": _dq({"between"}),
+    "dq_between": _dq_observed({"between"}),
     "dq_max_speed": q_dq_max_speed,
     "dq_negative_distance": q_dq_negative_distance,
     "dq_report": q_dq_report,

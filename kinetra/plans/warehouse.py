@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from kinetra.operators import (incremental, load, marts, quality, speed_partials, staging,
                                trajectory)
+from kinetra.operators.observed import Observed
 from kinetra.operators.sequence import DEFAULT_CHUNK
 from kinetra.session import materialize, replace_table
 from kinetra.sources import testdata
@@ -117,12 +118,14 @@ class Warehouse:
         return Warehouse(self.raw_tracks, self.raw_points, self.chunk_size,
                          {**self._tables, name: table})
 
-    def materialize(self, root: str) -> "Warehouse":
+    def materialize(self, root: str, seen: Observed | None = None) -> "Warehouse":
         """Rebuild the table models below ``root`` (each written beside the
-        old table, then swapped) and return a warehouse that reads them."""
+        old table, then swapped) and return a warehouse that reads them.  ``seen``
+        counts their row-wise checks while they are written."""
         w = self
         for name in TABLE_MODELS:
-            w = w.with_table(name, replace_table(MODEL[name](w), f"{root}/{name}", PARTITIONED.get(name)))
+            w = w.with_table(name, replace_table(MODEL[name](w), f"{root}/{name}", PARTITIONED.get(name),
+                                                 seen and seen.watch(name)))
         return w
 
     def models(self) -> dict[str, DataFrame]:

@@ -136,16 +136,19 @@ def write_text_file(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def replace_table(df, path: str, partition_col: str | None = None):
+def replace_table(df, path: str, partition_col: str | None = None, watch=None):
     """Rebuild a Parquet table: write a new folder beside it, then swap the
     folders.  The old table is readable until the new one is complete, and a
-    failed write leaves it as it was.  Returns a reader with ``df``'s schema."""
+    failed write leaves it as it was.  ``watch`` (DataFrame -> DataFrame of the same
+    columns) is the last step before the write, after its shuffle.  Returns a reader
+    with ``df``'s schema."""
+    watch = watch or (lambda rows: rows)
     spark = df.sparkSession
     new, old = (f"{path.rstrip('/')}.{word}-{uuid.uuid4().hex[:8]}" for word in ("new", "old"))
     if partition_col:
-        for_partitioned_write(df, partition_col).write.partitionBy(partition_col).parquet(new)
+        watch(for_partitioned_write(df, partition_col)).write.partitionBy(partition_col).parquet(new)
     else:
-        df.write.parquet(new)
+        watch(df).write.parquet(new)
     fs, p = _hadoop_path(spark, path)
     to_old, from_new = (_hadoop_path(spark, x)[1] for x in (old, new))
     had = fs.exists(p)

@@ -1,0 +1,103 @@
+"""Publishing through the catalog: every reader sees the old or the new table."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from kinetra import catalog
+
+
+@pytest.fixture
+def name(spark):
+    n = f"pub_{uuid.uuid4().hex[:8]}"
+    yield n
+    spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def ids(spark, name):
+    return sorted(r[0] for r in spark.table(name).select("id").collect())
+
+
+def between_statements(spark, monkeypatch, look):
+    """Call ``look`` before and after every SQL statement of a publication."""
+    real = type(spark).sql
+
+    def sql(self, text, *a, **kw):
+        if text.startswith("ALTER"):
+            look()
+        out = real(self, text, *a, **kw)
+        if text.startswith("ALTER"):
+            look()
+        return out
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+
+
+def test_readers_see_old_or_new(spark, tmp_dir, name, monkeypatch):
+    root = "file://" + tmp_dir
+    catalog.publish(spark.range(3), name, root)
+    assert ids(spark, name) == [0, 1, 2]
+    seen = []
+    between_statements(spark, monkeypatch, lambda: seen.append(len(ids(spark, name))))
+    catalog.publish(spark.range(5), name, root)
+    assert seen == [3, 5] and ids(spark, name) == [0, 1, 2, 3, 4]
+    # a table may be rebuilt from itself
+    catalog.publish(spark.table(name).filter("id > 2"), name, root)
+    assert ids(spark, name) == [3, 4]
+    assert catalog.drop_unused(spark, name, root) == 2 and ids(spark, name) == [3, 4]
+
+
+def test_a_write_that_dies_changes_nothing(spark, tmp_dir, name):
+    root = "file://" + tmp_dir
+    catalog.publish(spark.range(3), name, root)
+    where = catalog.locations(spark, name)
+    dies = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") < 900, F.col("id")).otherwise(
+        F.raise_error(F.lit("lost")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        catalog.publish(dies, name, root)
+    assert ids(spark, name) == [0, 1, 2] and catalog.locations(spark, name) == where
+    catalog.drop_unused(spark, name, root)          # what the dead write left
+    assert ids(spark, name) == [0, 1, 2] and len([d for d in os.listdir(tmp_dir) if d.startswith(name)]) == 1
+
+
+def test_columns_are_added_but_not_lost(spark, tmp_dir, name):
+    root = "file://" + tmp_dir
+    catalog.publish(spark.range(2), name, root)
+    catalog.publish(spark.range(2).withColumn("x", F.lit("a")), name, root)
+    assert sorted(map(tuple, spark.table(name).collect())) == [(0, "a"), (1, "a")]
+    for bad in (spark.range(2), spark.range(2).withColumn("x", F.lit(1))):
+        with pytest.raises(catalog.SchemaConflict):
+            catalog.publish(bad, name, root)
+    assert spark.table(name).columns == ["id", "x"]
+    catalog.publish(spark.table(name).limit(0), name, root)
+    assert ids(spark, name) == []
+
+
+def test_partitions_are_switched_one_by_one(spark, tmp_dir, name, monkeypatch):
+    root = "file://" + tmp_dir
+
+    def rows(*pairs):
+        return spark.createDataFrame(list(pairs), "source_file string, id long")
+
+    def state():
+        return sorted(map(tuple, spark.table(name).select("source_file", "id").collect()))
+
+    odd = "it's a/b=c %.csv"
+    catalog.publish(rows(("a", 1), ("b", 2), (odd, 3)), name, root, "source_file")
+    assert state() == [("a", 1), ("b", 2), (odd, 3)]
+    seen = []
+    between_statements(spark, monkeypatch, lambda: seen.append(state()))
+    catalog.publish(rows(("a", 10), ("a", 11), (odd, 30), ("new", 4)), name, root, "source_file")
+    want = [("a", 10), ("a", 11), ("b", 2), (odd, 30), ("new", 4)]
+    assert state() == sorted(want)
+    for s in seen:          # each partition is whole: old, new, or not there yet
+        for value, old, new in (("a", [1], [10, 11]), ("b", [2], [2]), (odd, [3], [30]), ("new", [], [4])):
+            assert [i for v, i in s if v == value] in (old, new)
+    before = state()
+    catalog.publish(rows(("a", 1)).limit(0), name, root, "source_file")
+    assert state() == before
+    assert catalog.drop_unused(spark, name, root, "source_file") == 1 and state() == before

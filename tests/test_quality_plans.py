@@ -39,6 +39,36 @@ def test_each_model_is_read_once(spark, monkeypatch):
     assert p.count("Aggregate [id") == 1
 
 
+def test_checks_observed_at_the_write_equal_a_scan(spark):
+    """Every row-wise check of every model, from the metrics of one run's writes."""
+    from kinetra.operators.observed import Observed
+    from kinetra.plans.registry import flawed_ragged_wh
+    seen = Observed()
+    models = flawed_ragged_wh(spark, SF, seen).models()
+    got = sorted(map(tuple, seen.results(spark).collect()))
+    assert len(got) == 52 and {"pass", "fail"} <= {r[5] for r in got}
+    assert got == sorted(map(tuple, quality.evaluate(models, tests=set(quality.ROW_WISE)).collect()))
+
+
+def test_observed_metrics_sit_in_the_writing_stage(spark, tmp_dir):
+    """Above the shuffle of a partitioned write, and once for an empty table."""
+    from kinetra.operators.observed import Observed
+    from kinetra.session import for_partitioned_write, replace_table
+    df = spark.createDataFrame([("f", 1, None, 1.0, 2.0, None)] * 3,
+                               "source_file string, track_id int, vehicle_type string, traveled_d double, "
+                               "avg_speed double, loaded_at timestamp")
+    seen = Observed()
+    p = seen.watch("raw_tracks")(for_partitioned_write(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert p.index("CollectMetrics") < p.index("RebalancePartitions")
+    for rows, n in ((df, 3), (df.limit(0), 0)):
+        seen = Observed(tests={"not_null"})
+        out = replace_table(rows, f"file://{tmp_dir}/raw_tracks", "source_file", seen.watch("raw_tracks"))
+        assert out.columns == df.columns and out.count() == n
+        failed = {(r.model, r.column_name): r.failures for r in seen.results(spark).collect()}
+        assert failed["raw_tracks", "loaded_at"] == n and failed["stg_tracks", "vehicle_type"] == n
+        assert failed["stg_tracks", "track_sk"] == failed["raw_tracks", "track_id"] == 0
+
+
 def test_warn_severity(spark):
     df = spark.createDataFrame([(20.0,)], "lon_acceleration_ms2 double")
     checks = [c for c in quality.CHECKS if c.column == "lon_acceleration_ms2"]
