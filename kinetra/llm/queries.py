@@ -129,6 +129,41 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(body_chars + CASE WHEN opens THEN 16 + role_chars ELSE 8 END
            + CASE WHEN closes THEN 7 ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM pieces GROUP BY conv_id""",
+    # Every pair of a dimension in double precision; components by walking the links from
+    # each vector.  A vector is divided by its greatest component first, as the operator does.
+    "op4_embeddings": """
+WITH RECURSIVE sized AS (
+  SELECT vec_id, len(embedding) AS dim, [CAST(x AS DOUBLE) FOR x IN embedding] AS v,
+    coalesce(len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+             AND len([x FOR x IN embedding IF x <> 0]) > 0, false) AS fit
+  FROM embeddings),
+own AS (
+  SELECT vec_id, dim, [x / list_max([abs(y) FOR y IN v]) FOR x IN v] AS v FROM sized WHERE fit),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM own a JOIN own b ON a.dim = b.dim AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.9),
+reach AS (
+  SELECT vec_id AS root, vec_id AS node FROM sized
+  UNION SELECT r.root, l.b FROM reach r JOIN links l ON l.a = r.node),
+least AS (SELECT root, min(node) AS component_id FROM reach GROUP BY root),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM sized JOIN least ON root = vec_id LEFT JOIN counted ON a = vec_id""",
+    # Base 32 writes 20 bits (5 hexadecimal digits) as 4 letters.
+    "op5_warc": """
+WITH own AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages),
+told AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS h,
+         min(page_id) OVER (PARTITION BY payload) AS first_id
+  FROM own)
+SELECT page_id, payload_bytes,
+  list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS INTEGER) >> (5 * (3 - i % 4))) & 31) + 1, 1)
+    FOR i IN [CAST(r AS INTEGER) FOR r IN range(32)]], 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first_id THEN first_id END AS refers_to
+FROM told""",
     # Straight from the definitions: a document's failed filters as letters; a step
     # removes those that fail its letter and none of the letters before it.
     "op13_filters": """
