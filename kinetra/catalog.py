@@ -15,6 +15,7 @@ partitions of the batch (source files of a run), not of the table.
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,32 @@ class SchemaConflict(ValueError):
     """The new rows lack a column of the table, or hold it with another type."""
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """How the rows of each partition are dealt to files: tables with equal buckets are
+    joined and windowed by the columns ``by`` without a shuffle."""
+
+    number: int
+    by: tuple[str, ...]
+    sort: tuple[str, ...]
+
+    def clause(self) -> str:
+        by, sort = (", ".join(f"`{c}`" for c in cols) for cols in (self.by, self.sort))
+        return f"CLUSTERED BY ({by}) SORTED BY ({sort}) INTO {self.number} BUCKETS"
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: Buckets,
+                   partition_col: str | None = None) -> DataFrame:
+    """Write ``df`` to ``path`` as the new table ``table`` and return a reader.  Rows that
+    are dealt by the buckets already are only sorted; others make a file per task and
+    bucket, so deal them (``repartition``) first."""
+    w = df.write.format("parquet").bucketBy(buckets.number, *buckets.by).sortBy(*buckets.sort)
+    if partition_col:
+        w = w.partitionBy(partition_col)
+    w.option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def _text(value: str) -> str:
     """A SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -46,12 +73,14 @@ def _sync_columns(df: DataFrame, table: str) -> None:
         df.sparkSession.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(df, added)})")
 
 
-def publish(df: DataFrame, table: str, root: str, partition_col: str | None = None) -> DataFrame:
+def publish(df: DataFrame, table: str, root: str, partition_col: str | None = None,
+            buckets: Buckets | None = None) -> DataFrame:
     """Make the catalog's ``table`` hold the rows of ``df`` (with ``partition_col``: make
     its partitions that occur in ``df`` hold them; the others stay).  Folders are made
     below ``root``; the table is created where there is none.  ``df`` may read the table
     itself.  Columns can be added, not dropped or retyped (``SchemaConflict``).  Without
-    rows a table is emptied, a partitioned one stays as it is.  Returns a reader."""
+    rows a table is emptied, a partitioned one stays as it is.  ``buckets`` (partitioned
+    tables only, the same at every call) bucket the files.  Returns a reader."""
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{table}-{uuid.uuid4().hex[:12]}"
     exists = spark.catalog.tableExists(table)
@@ -66,13 +95,18 @@ def publish(df: DataFrame, table: str, root: str, partition_col: str | None = No
         return spark.table(table)
 
     names = [c for c in df.columns if c != partition_col] + [partition_col]
-    for_partitioned_write(df.select(*names), partition_col).write.partitionBy(partition_col).parquet(path)
+    if buckets:
+        own = f"{table}_{uuid.uuid4().hex[:12]}"
+        write_bucketed(df.select(*names), own, path, buckets, partition_col)
+        spark.sql(f"DROP TABLE {own}")  # an external table: its files stay
+    else:
+        for_partitioned_write(df.select(*names), partition_col).write.partitionBy(partition_col).parquet(path)
     if exists:
         _sync_columns(df, table)
     else:
         home = f"{root.rstrip('/')}/{table}-partitions"
         spark.sql(f"CREATE TABLE {table} ({_columns(df, names)}) USING parquet PARTITIONED BY (`{partition_col}`) "
-                  f"LOCATION {_text(home)}")
+                  f"{buckets.clause() if buckets else ''} LOCATION {_text(home)}")
     known = {r[0] for r in _partitions(spark, table, partition_col)}
     for value, folder in _written(spark, path, partition_col):
         spec = f"PARTITION (`{partition_col}` = {_text(value)})"

@@ -19,14 +19,19 @@ from pyspark.sql import functions as F
 DEFAULT_CHUNK = 4096
 
 
+def chunk_of(order_col: str, chunk_size: int = DEFAULT_CHUNK) -> Column:
+    return F.floor(F.col(order_col) / F.lit(chunk_size))
+
+
 def with_predecessor(df: DataFrame, group_cols: list[str], order_col: str,
                      value_cols: list[str], prefix: str = "prev_",
-                     chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+                     chunk_size: int = DEFAULT_CHUNK, chunk_col: str | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the group in
-    ``order_col`` order (NULL on the first row), like ``lag(c)``."""
-    chunk = "_seq_chunk"
+    ``order_col`` order (NULL on the first row), like ``lag(c)``.  ``chunk_col`` names a
+    column that holds ``chunk_of(order_col)``, by which the rows may lie dealt already."""
+    chunk = chunk_col or "_seq_chunk"
     keys = group_cols + [chunk]
-    d = df.withColumn(chunk, F.floor(F.col(order_col) / F.lit(chunk_size)))
+    d = df if chunk_col else df.withColumn(chunk, chunk_of(order_col, chunk_size))
     w = Window.partitionBy(*keys).orderBy(order_col)
     lagged = d.select(
         "*",
@@ -47,7 +52,7 @@ def with_predecessor(df: DataFrame, group_cols: list[str], order_col: str,
     j = lagged.join(carry, keys, "left")
     first_in_chunk = F.col("_seq_prev_ord").isNull()
     out = j.select(
-        *[c for c in d.columns if c != chunk and c not in {prefix + v for v in value_cols}],
+        *[c for c in d.columns if c != "_seq_chunk" and c not in {prefix + v for v in value_cols}],
         *[F.when(first_in_chunk, F.col("_seq_carry")[c]).otherwise(F.col(prefix + c))
           .alias(prefix + c) for c in value_cols],
     )

@@ -11,12 +11,13 @@ from kinetra.operators.sequence import DEFAULT_CHUNK, with_predecessor
 LAGGED = ["speed_kmh", "seconds_since_start", "latitude", "longitude"]
 
 
-def points_with_deltas(stg_points: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+def points_with_deltas(stg_points: DataFrame, chunk_size: int = DEFAULT_CHUNK,
+                       chunk_col: str | None = None) -> DataFrame:
     """Each frame with its predecessor in the same track (by frame_idx, gaps
     allowed), time/speed deltas, great-circle step distance and speed bucket.
     The first frame of a track has NULL predecessor and NULL deltas."""
     return with_deltas(with_predecessor(stg_points, ["track_sk"], "frame_idx", LAGGED,
-                                        prefix="prev_", chunk_size=chunk_size))
+                                        prefix="prev_", chunk_size=chunk_size, chunk_col=chunk_col))
 
 
 def with_deltas(w: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from kinetra import catalog
 from kinetra.functions import sql as sql_functions
 from kinetra.functions.columns import surrogate_key
-from kinetra.operators import incremental, load, marts, quality, speed_partials
+from kinetra.operators import colocated, incremental, load, marts, quality, speed_partials
 from kinetra.operators.load import first_wins
 from kinetra.operators.observed import Observed
 from kinetra.plans import dashboards
@@ -339,6 +339,26 @@ def q_fact_schema_sync(spark, sf_dir):
     return fact_view(incremental.read_table(spark, path))
 
 
+#: Buckets of the registered query; a job chooses them by its data (``colocated.buckets``).
+FACT_BUCKETS = 8
+
+
+def q_fact_colocated(spark, sf_dir):
+    """The older fact and all frames in tables bucketed alike, then one refresh.  The
+    fact holds some of the newer frames already, loaded long ago and without a speed."""
+    w = events_wh(spark, sf_dir)
+    old = F.col("loaded_at") < F.lit(INCREMENTAL_SPLIT).cast("timestamp_ntz")
+    early = w.fct_points.filter(~old & (F.col("track_id") % 10 == 3)).withColumn(
+        "speed_kmh", F.lit(None).cast("double")).withColumn(
+        "loaded_at", F.lit("2020-01-01").cast("timestamp_ntz"))
+    stored = Warehouse(w.raw_tracks, w.raw_points.filter(old)).fct_points.unionByName(early)
+    tag, root = uuid.uuid4().hex[:12], scratch_path(spark, "colocated")
+    points, fact = f"points_{tag}", f"fct_{tag}"
+    colocated.publish_points(w.stg_points, points, root, FACT_BUCKETS)
+    colocated.publish_fact(stored, fact, root, FACT_BUCKETS)
+    return fact_view(colocated.refresh(spark, points, fact, root, FACT_BUCKETS))
+
+
 def q_fact_publish(spark, sf_dir):
     """The fact behind a catalog name: older frames with a wrong bucket first, then all
     files' partitions switched to the whole fact."""
@@ -550,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "fact_merge": q_fact_merge,
     "fact_schema_sync": q_fact_schema_sync,
     "fact_publish": q_fact_publish,
+    "fact_colocated": q_fact_colocated,
     "dq_not_null": _dq_observed({"not_null"}),
     "dq_unique": _dq({"unique"}),
     "dq_accepted_values": _dq({"accepted_values"}),
