@@ -366,3 +366,30 @@ def test_a_cluster_needs_a_shared_checkpoint_folder():
         master="yarn", getCheckpointDir=lambda: None))
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(bare)
+
+
+def test_a_crowded_file_is_written_by_several_tasks(spark, tmp_dir, monkeypatch):
+    """Whatever AQE splits: one file's rows, first merged and then merged again."""
+    from kinetra import session
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    path = os.path.join(tmp_dir, "t")
+    rows = spark.range(1000).selectExpr("concat('k', id) AS trajectory_point_sk", "if(id < 10, NULL, 'f') AS source_file",
+                                        "id AS x")
+    for df in (rows.filter("x < 900"), rows):
+        spark.conf.set(coalesce, "false")
+        try:
+            incremental.merge_into(spark, path, df)
+        finally:
+            spark.conf.unset(coalesce)
+        assert len([f for f in os.listdir(f"{path}/source_file=f") if f.endswith(".parquet")]) > 1
+    assert sorted(map(tuple, spark.read.parquet(path).select("x", "source_file").collect())) == [
+        (i, None if i < 10 else "f") for i in range(1000)]
+
+
+def test_equal_hashes_are_no_duplicates(spark, monkeypatch):
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    monkeypatch.setattr(incremental.F, "xxhash64", lambda *_: incremental.F.lit(1).cast("long"))
+    assert not incremental.holds_twice(rows, "k")
+    assert incremental.holds_twice(rows.unionByName(rows.limit(1)), "k")
+    assert incremental.holds_twice(rows.unionByName(rows.filter("k IS NULL")), "k")
