@@ -393,3 +393,16 @@ def test_equal_hashes_are_no_duplicates(spark, monkeypatch):
     assert not incremental.holds_twice(rows, "k")
     assert incremental.holds_twice(rows.unionByName(rows.limit(1)), "k")
     assert incremental.holds_twice(rows.unionByName(rows.filter("k IS NULL")), "k")
+
+
+def test_only_repeated_tracks_are_aggregated(spark, monkeypatch):
+    """First row per key, as an aggregate over all frames gives it, with few and with many tracks."""
+    batch = ragged.RaggedBatch(sample(spark).slim().parsed)
+    want = sorted(map(str, load.first_wins(batch.points, load.POINT_KEY).collect()))
+    given = []
+    monkeypatch.setattr(load, "first_wins", lambda df, *a, f=load.first_wins: given.append(df.count()) or f(df, *a))
+    for few in (10, 0):
+        monkeypatch.setattr(load, "FEW_TRACKS", few)
+        got = load.distinct_points(batch)
+        assert sorted(map(str, got.select(*load.first_wins(batch.points, load.POINT_KEY).columns).collect())) == want
+    assert given[0] < batch.points.count()

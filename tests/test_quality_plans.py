@@ -175,3 +175,29 @@ def test_sql_over_registered_views(spark):
         FROM t_fct_trajectory_points GROUP BY 1, 2""")
     want = QUERIES["density_grid"](spark, SF)
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_checks_keep_no_value_that_occurs_once(spark, monkeypatch):
+    """A unique column's values are counted packed; only repeated ones are written."""
+    seen = {}
+    monkeypatch.setattr(quality, "materialize", lambda df, name: seen.setdefault(name, df.localCheckpoint()))
+    keys = ["0" * 32, "0" * 32, "f" * 32, "F" * 32, "f" * 31, "", None, None]
+    df = spark.createDataFrame([(k,) for k in keys], "trajectory_point_sk string")
+    assert quality.evaluate({"stg_points": df}, tests={"unique"}).first().failures == 1
+    assert {r.n for r in seen["check-values"].collect()} == {2}
+    lengths = df.select(F.length(quality.packed(F.col("trajectory_point_sk"))).alias("n")).collect()
+    assert [r.n for r in lengths] == [17, 17, 17, 33, 32, 1, None, None]
+
+
+def test_keys_are_hashed_after_the_shuffles(spark, tmp_dir):
+    from kinetra.operators import staging, trajectory
+    raw = spark.createDataFrame([("f", 1, i, 38.0, 23.7, float(i), 0.0, 0.0, float(i)) for i in range(3)],
+                                "source_file string, track_id int, frame_idx int, lat double, lon double, speed double, "
+                                "lon_acc double, lat_acc double, time_sec double").withColumn(
+        "loaded_at", F.current_timestamp())
+    raw.write.parquet(f"{tmp_dir}/raw")
+    rows = trajectory.points_with_deltas(staging.stg_points(spark.read.parquet(f"{tmp_dir}/raw")))
+    lines = plan(rows).split("== Initial Plan ==")[-1].splitlines()
+    last_hash = max(i for i, x in enumerate(lines) if "md5(" in x)
+    assert last_hash < min(i for i, x in enumerate(lines) if "Exchange" in x)
+    assert [r.prev_speed_kmh for r in rows.orderBy("frame_idx").collect()] == [None, 0.0, 1.0]
