@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -80,3 +81,31 @@ def test_production_length_repeated_rows_and_empty(spark):
     assert got == [(0, 400, 400, 1), (1, 30000, 30000, 1), (1, 30000, 30000, 1), (2, 400, 400, 1),
                    (3, 399, 0, 0), (5, 401, 401, 1)]
     assert sd.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_memory_of_a_shard():
+    """Positions take four bytes: sorting takes less than 50 bytes for one of text."""
+    r = random.Random(4)
+    texts = []
+    for _ in range(150):
+        text = bytearray(r.choices(b"abcdefgh ", k=700))
+        for _ in range(3):
+            text[r.randrange(700)] = 35
+            texts.append(bytes(text))
+    tracemalloc.start()
+    sd.repeated_windows(texts, 400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 * sum(map(len, texts))
+
+
+def test_shards_are_whole_groups_within_the_limit():
+    r = random.Random(5)
+    rows = [(m, (m, i, b"x" * r.randint(1, 40))) for m in range(200) for i in range(r.choice([2, 2, 3, 30]))]
+    got = list(sd.shards(iter(rows), 300))
+    assert [x for part in got for x in part] == [x for _, x in rows]
+    groups = [{m for m, *_ in part} for part in got]
+    assert sum(map(len, groups)) == 200
+    assert all(len(g) == 1 or sum(len(t) for *_, t in part) <= 300 for g, part in zip(groups, got))
+    assert any(len(g) > 1 for g in groups) and any(sum(len(t) for *_, t in part) > 300 for part in got)
+    assert list(sd.shards(iter([]), 300)) == []
