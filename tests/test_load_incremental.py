@@ -406,3 +406,47 @@ def test_only_repeated_tracks_are_aggregated(spark, monkeypatch):
         got = load.distinct_points(batch)
         assert sorted(map(str, got.select(*load.first_wins(batch.points, load.POINT_KEY).columns).collect())) == want
     assert given[0] < batch.points.count()
+
+
+def test_stored_tracks_are_told_without_their_frames(spark, tmp_dir, monkeypatch):
+    """A second load of the same lines neither unnests nor joins frames of stored tracks."""
+    appended = []
+    append = load._append
+    monkeypatch.setattr(load, "_append", lambda rows, root, name, *a, **k: appended.append(name) or append(
+        rows, root, name, *a, **k))
+    load.load_batch(sample(spark), tmp_dir)
+    assert sorted(appended) == ["tracks", "trajectory_points", "trajectory_points"]
+    appended.clear()
+    assert load.load_batch(sample(spark), tmp_dir).points_inserted == 0
+    assert sorted(appended) == ["tracks", "trajectory_points"]
+
+
+@pytest.mark.parametrize("few", [1_000_000, 0, 2])
+def test_missing_frames_of_stored_tracks_are_added(spark, tmp_dir, monkeypatch, few):
+    monkeypatch.setattr(load, "FEW_TRACKS", few)
+    block = "1; 1; {}; 1; 1; 1; "
+    lines = {1: 3, 2: 64, 3: 65, 4: 130, 5: 0, 6: 70, 7: 2, 8: 63, 9: 5}    # track: frames
+
+    def batch(n, more=()):
+        text = HEADER + "".join(f"{t}; Car; 1.0; 1.0; " + "".join(block.format(i) for i in range(k)) + "\n"
+                                for t, k in [*n.items(), *more])
+        write_text(os.path.join(tmp_dir, "src"), "a.csv", text)
+        return ragged.read_ragged(spark, os.path.join(tmp_dir, "src"), "a.csv")
+
+    root = os.path.join(tmp_dir, "raw")
+    load.load_batch(batch({1: 2, 2: 63, 3: 64, 4: 130, 5: 0, 6: 80, 8: 63}), root)
+    # stored frames 1 of track 4 and 69 of track 6 get lost, 100 rows repeat
+    kept = spark.createDataFrame(load.stored(spark, root, "trajectory_points").filter(
+        "NOT (track_id = 4 AND frame_idx = 1) AND NOT (track_id = 6 AND frame_idx = 69)").collect(), load.SCHEMAS[
+            "trajectory_points"])
+    shutil.rmtree(os.path.join(root, "trajectory_points"))
+    load._append(kept.unionByName(kept.filter("track_id = 4 AND frame_idx >= 30")), root, "trajectory_points")
+    old = {(r.track_id, r.frame_idx) for r in kept.collect()}
+    more = [(7, 4), (2, 10)]                                   # tracks on several lines
+    want = {(t, i) for t, k in [*lines.items(), *more] for i in range(k)} - old
+    got = load.load_batch(batch(lines, more), root)
+    assert got.points_inserted == len(want) == 1 + 1 + 1 + 1 + 1 + 4 + 5
+    now = load.stored(spark, root, "trajectory_points")
+    assert {(r.track_id, r.frame_idx) for r in now.collect()} == old | want
+    assert now.count() == len(old) + 100 + len(want)
+    assert load.load_batch(batch(lines, more), root).points_inserted == 0
