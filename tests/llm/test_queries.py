@@ -41,7 +41,7 @@ def test_query(spark, name):
 @pytest.mark.parametrize("name", ORACLE)
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("conversations", "documents", "labels"):
+    for t in ("conversations", "documents", "embeddings", "labels", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     want = con.execute(ORACLE[name])
