@@ -156,3 +156,12 @@ def test_frames_move_once_for_the_fact(spark, tmp_dir):
 def test_orders_and_items_move_once_for_the_files(spark):
     plan = testdata.ragged_lines(spark, SF, 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_more_row_wise_checks_than_bits(spark):
+    n = 2 * quality.BITS + 5
+    df = spark.createDataFrame([tuple(None if (i + r) % 3 == 0 else i for i in range(n)) for r in range(2)],
+                               ", ".join(f"c{i} int" for i in range(n)))
+    checks = [quality.Check("m", f"c{i}", "not_null") for i in range(n)]
+    got = {r.column_name: r.failures for r in quality.evaluate({"m": df}, checks=checks).collect()}
+    assert got == {f"c{i}": sum((i + r) % 3 == 0 for r in range(2)) for i in range(n)}
